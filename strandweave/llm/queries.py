@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, chat, token_counts
+from . import audio, bpe, chat, decontaminate, lines, quality, token_counts
 from .common import read
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -65,5 +65,20 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_token_counts, op6_byte_bpe, op7_media_columns)}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", (~quality.may_learn(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.least("doc_id", F.coalesce("first_doc", "doc_id")).alias("class_id"), "n_lines", F.col("n_removed").alias("n_links"), "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op3_token_counts, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op10_line_dedup)}
 ORACLES = {"op1_chat_format": OP1_SQL}

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_SLICE = 1 << 20
+_SLICE = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = np.zeros(256, dtype=bool)
@@ -87,7 +87,7 @@ def words(column: pa.Array) -> Words:
         inside = _WORD[part]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         cuts = offsets[np.searchsorted(offsets, at, "right") : np.searchsorted(offsets, stop, "left")] - at
-        cuts = cuts[(cuts > 0) & (cuts < len(part))]
+        cuts = np.unique(cuts[(cuts > 0) & (cuts < len(part))])
         cuts = cuts[inside[cuts] & inside[cuts - 1]]  # a word can't cross documents
         s = edge[inside[edge]]
         e = edge[~inside[edge]]
