@@ -31,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from .scan import mix, slices, words
 
@@ -67,7 +69,7 @@ def expand(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class ItemIndex:
     """Inverted index of one shard of items, scores as multiples of the items' thresholds."""
 
-    items: np.ndarray  # ids
+    items: list  # ids
     vocab: np.ndarray  # sorted term hashes
     seen: np.ndarray  # by the low 16 bits of a hash: may it be in vocab?
     first: np.ndarray  # postings of each term: CSR over post_item, post_value
@@ -113,7 +115,7 @@ def build_index(ids: list, texts: list[str], window: int = 128, share: float = 0
         cut, n = int(found.first[1]), min(GRAM, len(found.hash))
         answer = found.hash[max(0, cut - n + 1) :] if cut < len(found.hash) else found.hash[:0]  # n-grams that reach into the answer
         parts.append((n, np.unique(grams(found.hash[:cut], n) if cut >= n else found.hash[:0]), np.unique(grams(answer, n))))
-    return ItemIndex(np.array(ids), vocab, seen, first, item, value, block_first, item[start] // block, block_max, essential, float(top[weak].sum()), parts, block, window)
+    return ItemIndex(list(ids), vocab, seen, first, item, value, block_first, item[start] // block, block_max, essential, float(top[weak].sum()), parts, block, window)
 
 
 def retrieve(index: ItemIndex, hashes: np.ndarray, doc: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,53 +170,70 @@ def contained(part: np.ndarray, have: np.ndarray) -> float:
 OUTPUT = "doc_id {0}, item_id {1}, bm25 double, question_overlap double, answer_overlap double"
 
 
+def _shards(items: DataFrame, item_id: str, item_text: str, window: int, share: float, shard_bytes: int):
+    """Broadcast indexes of the items, one at a time; each holds at most about ``shard_bytes`` of text."""
+    spark = items.sparkSession
+    slim = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    size = slim.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    shards = int(size // shard_bytes) + 1
+    for shard in range(shards):
+        own = slim.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard) if shards > 1 else slim
+        bounded = sorted(own.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]) if r["item_id"] is not None else (False, 0, r["text"]))
+        yield spark.sparkContext.broadcast(build_index([r["item_id"] for r in bounded], [r["text"] for r in bounded], window, share))
+
+
+def verified(index: ItemIndex, column: pa.Array, overlap: float) -> list[tuple]:
+    """(row, item number, score, question overlap, answer overlap) of all matches in one slice of texts."""
+    w = words(column)
+    position = np.arange(len(w.hash)) - w.first[w.doc] if len(w.hash) else np.zeros(0, np.int64)
+    doc, item, score = retrieve(index, w.hash, w.doc, position)
+    kept = []
+    for d in np.unique(doc):
+        own = w.hash[w.first[d] : w.first[d + 1]]
+        have = {}
+        for j in np.flatnonzero(doc == d):
+            n, *halves = index.parts[item[j]]
+            if n not in have:
+                have[n] = np.unique(grams(own, n)) if len(own) >= n else own[:0]
+            q, a = (contained(x, have[n]) for x in halves)
+            if q >= overlap and a >= overlap:
+                kept.append((int(d), int(item[j]), round(float(score[j]), 6), round(q, 6), round(a, 6)))
+    return kept
+
+
 def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", overlap: float = 0.5, window: int = 128, share: float = 0.6, shard_bytes: int = 4 << 20) -> DataFrame:
     """A row for each document and item that it contains: doc_id, item_id, bm25 (in item thresholds), question_overlap, answer_overlap.
 
     Repeated items give repeated rows, repeated document rows too.
     """
-    spark = docs.sparkSession
-    types = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    slim = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    size = slim.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = int(size // shard_bytes) + 1
+    schema = _parse_datatype_string(OUTPUT.format(docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = None
-    for shard in range(shards):  # each index is bounded by shard_bytes; one round unless the items outgrow it
-        own = slim.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard) if shards > 1 else slim
-        bounded = sorted(own.collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
-        shared = spark.sparkContext.broadcast(build_index([r["item_id"] for r in bounded], [r["text"] for r in bounded], window, share))
-        part = rows.mapInArrow(_matcher(shared, overlap, types), OUTPUT.format(*types))
+    for shared in _shards(items, item_id, item_text, window, share, shard_bytes):
+
+        def run(batches, shared=shared):
+            index, arrow = shared.value, to_arrow_schema(schema)
+            for batch in batches:
+                for part in slices(batch, "text", 4 << 20):
+                    kept = verified(index, part.column(1), overlap)
+                    ids = pa.array([index.items[k[1]] for k in kept], arrow.field("item_id").type)
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([k[0] for k in kept], pa.int64())), ids, *[pa.array([k[c] for k in kept], pa.float64()) for c in (2, 3, 4)]], schema=arrow)
+
+        part = rows.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _matcher(shared, overlap: float, types: tuple[str, str]):
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = _parse_datatype_string(OUTPUT.format(*types))
-
-    def run(batches):
-        index, arrow = shared.value, to_arrow_schema(schema)
-        for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                w = words(part.column(1))
-                position = np.arange(len(w.hash)) - w.first[w.doc] if len(w.hash) else np.zeros(0, np.int64)
-                doc, item, score = retrieve(index, w.hash, w.doc, position)
-                kept = []
-                for d in np.unique(doc):
-                    own = w.hash[w.first[d] : w.first[d + 1]]
-                    have = {}
-                    for j in np.flatnonzero(doc == d):
-                        n, *halves = index.parts[item[j]]
-                        if n not in have:
-                            have[n] = np.unique(grams(own, n)) if len(own) >= n else own[:0]
-                        q, a = (contained(x, have[n]) for x in halves)
-                        if q >= overlap and a >= overlap:
-                            kept.append((d, item[j], round(float(score[j]), 6), round(q, 6), round(a, 6)))
-                rows = part.column(0).take(pa.array([k[0] for k in kept], pa.int64()))
-                ids = pa.array([index.items[k[1]].item() if hasattr(index.items[k[1]], "item") else index.items[k[1]] for k in kept], arrow.field("item_id").type)
-                yield pa.RecordBatch.from_arrays([rows, ids, *[pa.array([k[c] for k in kept], pa.float64()) for c in (2, 3, 4)]], schema=arrow)
-
-    return run
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", overlap: float = 0.5, window: int = 128, share: float = 0.6, shard_bytes: int = 4 << 20) -> DataFrame:
+    """The documents that contain none of the items, with all their columns; a narrow map for each shard of items."""
+    place = items.columns[0]
+    for shared in _shards(items, place, item_text, window, share, shard_bytes):
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                for part in slices(batch, text, 4 << 20):
+                    gone = {k[0] for k in verified(shared.value, part.column(part.schema.get_field_index(text)), overlap)}
+                    yield part.take(pa.array([i for i in range(part.num_rows) if i not in gone], pa.int64()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, chat, decontaminate, lines, quality, token_counts
+from . import audio, bpe, chat, decontaminate, lines, neardup, quality, token_counts
 from .common import read
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -41,6 +41,10 @@ FROM rows GROUP BY conv_id
 """
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"))
     return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
@@ -80,5 +84,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.least("doc_id", F.coalesce("first_doc", "doc_id")).alias("class_id"), "n_lines", F.col("n_removed").alias("n_links"), "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_token_counts, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op10_line_dedup)}
 ORACLES = {"op1_chat_format": OP1_SQL}
