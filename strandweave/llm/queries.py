@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, chat, decontaminate, lines, neardup, quality, token_counts
+from . import audio, bpe, chat, decontaminate, lines, neardup, pii, quality, secret_scan, token_counts
 from .common import read
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -69,6 +69,12 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "secrets")
+    joined = F.array_join(F.transform("secrets", lambda x: F.concat_ws(":", x["rule"], x["s"].cast("string"), x["e"].cast("string"))), ",")
+    return found.select("doc_id", F.size("secrets").cast("bigint").alias("n_secrets"), F.array_max(F.transform("secrets", lambda x: x["score"])).alias("top_score"), joined.alias("spans"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -79,10 +85,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).select("doc_id", (~quality.may_learn(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    joined = lambda rows: F.array_join(F.transform(rows, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
+    base = F.filter("pii", lambda x: x["base"])
+    counts = [F.expr(f"CAST(size(filter(pii, x -> x.base AND x.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.least("doc_id", F.coalesce("first_doc", "doc_id")).alias("class_id"), "n_lines", F.col("n_removed").alias("n_links"), "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op4_secret_scan, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op9_personal_data, op10_line_dedup)}
 ORACLES = {"op1_chat_format": OP1_SQL}
