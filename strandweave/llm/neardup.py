@@ -14,8 +14,9 @@ agree with the probability Jaccard similarity of the documents.
    near copies sends one row a class.
 3. Pairs are verified by the exact Jaccard similarity of the 5-gram sets.
 4. Components are found by alternating large and small stars.
-5. Larger buckets that still hold several components send all their pairs across
-   components, which are verified in turn: no link between components is lost.
+5. Larger buckets that still hold several components are compared again, across
+   components, in blocks of bounded width; pairs are verified inside the block and
+   only links leave it, so no link between components is lost.
 
 Documents without words are never duplicates.  Null text counts as empty.  Rows
 are grouped whatever their ids; the class id is the lowest doc_id of the group
@@ -42,6 +43,7 @@ from .sketch import sketch
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 SMALL = 16
+WIDE = 2048
 APART = 30  # registers whose bits may differ: six standard deviations at a similarity of 0.8
 _STEP = np.uint64(0xD1342543DE82EF95)
 BAND_ROWS = "key bigint, cls bigint, size int, low bigint, high bigint"
@@ -132,7 +134,7 @@ class Buckets:
 
     def __init__(self, table: pa.Table):
         get = lambda c: table.column(c).to_numpy()
-        key, cls = get("key"), get("cls")
+        key, cls = get("block" if "block" in table.column_names else "key"), get("cls")
         order = np.lexsort((cls, key))
         k, c = key[order], cls[order]
         order = order[np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]]
@@ -201,15 +203,37 @@ def _first_round(batches, threshold: float):
 
 
 def _across(batches, threshold: float):
-    """All pairs of larger buckets that pass the filters and join two components."""
+    """Links between components within blocks of larger buckets: pairs that pass the filters are verified here, so only links leave the task."""
     schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
-    for table in _groups(batches, "key"):
+    failed: set = set()
+    for table in _groups(batches, "block"):
         b = Buckets(table)
+        sets = dict(zip(table.column("cls").to_pylist(), table.column("grams").to_pylist(), strict=True))
+        root: dict[int, int] = {}
+
+        def find(x: int, root=root) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        links = []
         for c, e in b.pairs(np.arange(len(b.key)), 0, 1 << 62):
             apart = b.comp[c] != b.comp[e]
             c, e = c[apart], e[apart]
             ok = b.alike(c, e, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(b.cls[c[ok]]), pa.array(b.cls[e[ok]])], schema=schema)
+            for i, j in zip(c[ok].tolist(), e[ok].tolist(), strict=True):
+                u, v = int(b.cls[i]), int(b.cls[j])
+                x, y = find(int(b.comp[i])), find(int(b.comp[j]))
+                if x == y or (u, v) in failed:
+                    continue
+                if jaccard(np.frombuffer(sets[u], "<u4"), np.frombuffer(sets[v], "<u4")) >= threshold - 1e-9:
+                    root[x] = y
+                    links.append((u, v))
+                else:
+                    if len(failed) > 500_000:
+                        failed.clear()
+                    failed.add((u, v))
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], schema=schema)
 
 
 def _wanted(batches, shared):
@@ -299,26 +323,31 @@ def _grouped(df: DataFrame, doc_id: str, text: str, threshold: float) -> DataFra
     dealt = docs.mapInArrow(_bands, BAND_ROWS).repartition(F.col("key")).sortWithinPartitions("key")
     found = materialise(dealt.mapInArrow(partial(_first_round, threshold=threshold), FOUND), "near-candidates")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs.distinct(), "near-pairs")
-        ends = pairs.select("cls").unionByName(pairs.select(F.col("other").alias("cls")))
-        held = spark.sparkContext.broadcast(np.packbits(sketch(ends, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
-        sets = docs.mapInArrow(partial(_wanted, shared=held), "cls bigint, grams binary").groupBy("cls").agg(F.first("grams").alias("grams"))
-        one = pairs.join(sets, "cls").select("cls", "other", F.col("grams").alias("a"))
-        two = one.join(sets.select(F.col("cls").alias("other"), F.col("grams").alias("b")), "other").select("cls", "other", "a", "b")
-        return materialise(two.mapInArrow(partial(_verify, threshold=threshold), "cls bigint, other bigint"), "near-links")
+    def sets_of(classes: DataFrame) -> DataFrame:
+        held = spark.sparkContext.broadcast(np.packbits(sketch(classes, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
+        return docs.mapInArrow(partial(_wanted, shared=held), "cls bigint, grams binary").groupBy("cls").agg(F.first("grams").alias("grams"))
 
-    links = verify(found.where("kind = 0").select("cls", "other"))
+    pairs = materialise(found.where("kind = 0").select("cls", "other").distinct(), "near-pairs")
+    sets = sets_of(pairs.select("cls").unionByName(pairs.select(F.col("other").alias("cls"))))
+    one = pairs.join(sets, "cls").select("cls", "other", F.col("grams").alias("a"))
+    two = one.join(sets.select(F.col("cls").alias("other"), F.col("grams").alias("b")), "other").select("cls", "other", "a", "b")
+    links = materialise(two.mapInArrow(partial(_verify, threshold=threshold), "cls bigint, other bigint"), "near-links")
     comps = components(links)
-    members = found.where("kind = 1").select(F.col("other").alias("key"), "cls", "size", "low", "high")
+    members = found.where("kind = 1").select(F.col("other").alias("key"), "cls", "size", "low", "high").dropDuplicates(["key", "cls"])
     if not members.isEmpty():
         named = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        rest = named.join(mixed, "key", "left_semi").repartition(F.col("key")).sortWithinPartitions("key")
-        more = materialise(rest.mapInArrow(partial(_across, threshold=threshold), "cls bigint, other bigint"), "near-across")
-        if not more.isEmpty():
-            links = materialise(links.unionByName(verify(more)), "near-links")
-            comps = components(links)
+        mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("key", F.ceil(F.col("n") / WIDE).cast("int").alias("parts"))
+        rest = materialise(named.join(mixed, "key"), "near-mixed")
+        if not rest.isEmpty():
+            # a bucket of n classes is cut into parts; each pair of parts is a block, so a block holds at most about 2 * WIDE classes
+            own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+            blocks = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.xxhash64("key", F.least(i, F.col("_own")), F.greatest(i, F.col("_own"))))
+            dealt = rest.withColumn("_own", own).withColumn("block", F.explode(blocks)).drop("_own", "parts")
+            dealt = dealt.join(sets_of(rest.select("cls")), "cls").repartition(F.col("block")).sortWithinPartitions("block")
+            more = materialise(dealt.mapInArrow(partial(_across, threshold=threshold), "cls bigint, other bigint"), "near-across")
+            if not more.isEmpty():
+                links = materialise(links.unionByName(more), "near-links")
+                comps = components(links)
     rows = docs.mapInArrow(_classes, "doc bigint, cls bigint")
     sizes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"))
     grouped = sizes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "cls"))
