@@ -28,6 +28,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +104,7 @@ def needed(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
 
 def lanes_of(n: np.ndarray) -> np.ndarray:
     """64-bit lanes of the bitmap of a set of n words."""
-    return np.select([n <= 32, n <= 128, n <= 320], [1, 2, 4], 8)
+    return np.select([n <= 48, n <= 160, n <= 400], [1, 2, 4], 8)
 
 
 def bitmaps(sets: LineSets) -> np.ndarray:
@@ -127,7 +128,8 @@ def fold(bits: np.ndarray) -> list[np.ndarray]:
 PREFIX = "token bigint, cls bigint, doc bigint, line int, n int, pos int, bits binary"
 
 
-def _prefixes(batches, shared, threshold: float, least: int):
+def _prefixes(batches, shared, threshold: float, least: int, words_held=None):
+    """Prefix rows; with ``words_held``, of the words that the filter may hold only."""
     schema = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("pos", pa.int32()), ("bits", pa.binary())])
     rank = shared.value
     for batch in batches:
@@ -142,6 +144,8 @@ def _prefixes(batches, shared, threshold: float, least: int):
             pos = np.arange(len(owner)) - np.repeat(sets.first[:-1], sets.n)
             length = sets.n - np.ceil(threshold * sets.n - 1e-9).astype(np.int64) + 1
             chosen = pos < np.repeat(length, sets.n)
+            if words_held is not None:
+                chosen &= _bits(words_held.value, _word_hash(sets.token[order]))
             line, token, pos = owner[chosen], sets.token[order][chosen], pos[chosen]
             folded, lanes = fold(bitmaps(sets)), lanes_of(sets.n)
             packed = np.empty(len(sets.n), object)
@@ -175,7 +179,7 @@ def _groups(batches, key: str):
 class Buckets:
     """Rows of whole buckets, each line once a bucket, in order of (token, position)."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, threshold: float):
         get = lambda c: table.column(c).to_numpy()
         token, doc, line, cls = get("token"), get("doc"), get("line"), get("cls")
         order = np.lexsort((line, doc, cls, token))
@@ -200,9 +204,18 @@ class Buckets:
             own = np.flatnonzero(self.lanes == wide)
             bits[own] = raw[at[own][:, None] + np.arange(8 * wide)].view(np.uint64)
             self.fold[wide] = bits
+        self.one = self.fold[1].ravel()
+        self.spare = np.minimum(255, self.n * (1 - threshold) / threshold + 1).astype(np.uint8)
 
     def alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> np.ndarray:
         """Which pairs of rows pass the length, positional and bitmap filters."""
+        # the words in which a line of n may differ from any partner that is alike
+        near = np.flatnonzero(np.bitwise_count(self.one[c] ^ self.one[e]) <= self.spare[c])
+        out = np.zeros(len(c), bool)
+        out[near] = self._alike(c[near], e[near], threshold)
+        return out
+
+    def _alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> np.ndarray:
         n, m = self.n[c], self.n[e]
         least = needed(n, m, threshold)
         ok = np.flatnonzero((np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9) & (1 + np.minimum(n - self.pos[c], m - self.pos[e]) - 1 >= least))
@@ -225,7 +238,7 @@ def _earliest(batches, threshold: float, every: bool):
     schema = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("e_cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("e_n", pa.int32()), ("more", pa.bool_())])
     sent: set = set()
     for table in _groups(batches, "token"):
-        b = Buckets(table)
+        b = Buckets(table, threshold)
         rows = np.arange(len(b.token))
         active = rows[(rows > b.start) & b.probe & ((b.doc > b.doc[b.start]) | (b.line > b.line[b.start]))]
         low, high, found = 0, 16, []
@@ -278,6 +291,15 @@ def _wanted_sets(batches, shared, least: int):
             yield pa.RecordBatch.from_arrays([pa.array(sets.cls), tokens], schema=schema)
 
 
+def _word_hash(token: np.ndarray) -> np.ndarray:
+    return mix(token & np.uint64(0xFFFFFFFF))
+
+
+def _packed_words(batch: pa.RecordBatch) -> np.ndarray:
+    """Hashes of the words of packed sets."""
+    return _word_hash(np.frombuffer(b"".join(x for x in batch.column(0).to_pylist() if x), "<u4").astype(np.uint64))
+
+
 def _bits(held: np.ndarray, h: np.ndarray) -> np.ndarray:
     slot = (h & np.uint64(BLOOM - 1)).astype(np.int64)
     return (held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
@@ -289,15 +311,16 @@ def _class_hashes(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _verify(batches, threshold: float):
-    schema = pa.schema([("cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("ok", pa.bool_()), ("more", pa.bool_())])
+    """Checks pairs on whole sets; a failed line with more candidates keeps its set for the second round."""
+    schema = pa.schema([("cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("ok", pa.bool_()), ("more", pa.bool_()), ("tokens", pa.binary())])
     for batch in batches:
-        a, b = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        ok = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            both = len(np.intersect1d(x, y))
-            ok.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ok, pa.bool_()), batch.column(5)], schema=schema)
+        ok, kept = [], []
+        for x, y, more in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+            both = len(np.intersect1d(u, v))
+            ok.append(both >= threshold * (len(u) + len(v) - both) - 1e-9)
+            kept.append(x if more and not ok[-1] else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ok, pa.bool_()), batch.column(5), pa.array(kept, pa.binary())], schema=schema)
 
 
 def _lines(batches, least: int):
@@ -325,23 +348,27 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tu
         sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary").groupBy("cls").agg(F.min("tokens").alias("tokens"))
         one = found.join(sets, "cls").select("cls", "e_cls", "e.e_doc", "e.e_line", F.col("tokens").alias("a"), "more")
         two = one.join(sets.withColumnRenamed("cls", "e_cls").withColumnRenamed("tokens", "b"), "e_cls").select("cls", "e_doc", "e_line", "a", "b", "more")
-        checked = two.mapInArrow(lambda x: _verify(x, threshold), "cls bigint, e_doc bigint, e_line int, ok boolean, more boolean")
+        checked = two.mapInArrow(lambda x: _verify(x, threshold), "cls bigint, e_doc bigint, e_line int, ok boolean, more boolean, tokens binary")
         good = F.when(F.col("ok"), F.struct("e_doc", "e_line"))
-        return materialise(checked.groupBy("cls").agg(F.min(good).alias("e"), F.max("more").alias("more")), "line-links")
+        return materialise(checked.groupBy("cls").agg(F.min(good).alias("e"), F.max("more").alias("more"), F.max("tokens").alias("tokens")), "line-links")
 
     checked = verify(search(prefixes, False))
     links = checked.where("e is not null").select("cls", "e.e_doc", "e.e_line")
-    open_ = checked.where("e is null and more").select("cls")
-    if not open_.isEmpty():
-        marked = prefixes.join(open_.withColumn("probe", F.lit(True)), "cls", "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
-        again = verify(search(marked, True))
-        links = links.unionByName(again.where("e is not null").select("cls", "e.e_doc", "e.e_line"))
+    open_ = checked.where("e is null and more").select("cls", "tokens")
+    if not open_.isEmpty():  # only the buckets of words that these lines hold are dealt again
+        held = spark.sparkContext.broadcast(np.packbits(sketch(open_.select("tokens"), BLOOM, _packed_words) > 0, bitorder="little"))  # 2 MB
+        some = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, held), PREFIX)
+        marked = some.join(open_.select("cls", F.lit(True).alias("probe")), "cls", "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
+        again = search(marked, True)
+        if not again.isEmpty():
+            links = links.unionByName(verify(again).where("e is not null").select("cls", "e.e_doc", "e.e_line"))
     return docs.mapInArrow(lambda x: _lines(x, least), "cls bigint, doc bigint, line int"), links
 
 
 def removals(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of that line."""
     lines, links = similar_lines(docs, threshold, least)
+    lines = materialise(lines, "lines")
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     classes = firsts.join(links, "cls", "left").where("times > 1 or e_doc is not null")
     hit = lines.join(classes, "cls")
@@ -372,10 +399,24 @@ def _apply(batch: pa.RecordBatch, column: str, least: int) -> list:
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> DataFrame:
     """The documents with their later lines removed from ``text``; appends n_lines (before), n_removed, n_near (of these, by similarity alone) and first_doc (the lowest document that a removed line repeats)."""
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    lost = removals(docs, threshold, least)
-    fields = [StructField(text, StringType()), StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("n_near", LongType()), StructField("first_doc", LongType())]
-    joined = df.join(lost.select(F.col("doc").alias("_doc"), F.col("lines").alias("_lines")), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)) == F.col("_doc"), "left").drop("_doc")
-    return with_arrow(joined, fields, partial(_apply, column=text, least=least), text).select(*[c for c in df.columns if c not in {"n_lines", "n_removed", "n_near", "first_doc"}], *[f.name for f in fields[1:]])
+    lost = materialise(removals(docs, threshold, least), "line-removals")
+    held = df.sparkSession.sparkContext.broadcast(np.packbits(sketch(lost.select("doc"), BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
+
+    @F.pandas_udf("boolean")
+    def may_lose(doc: pd.Series) -> pd.Series:
+        h = mix(doc.to_numpy(np.int64).astype(np.uint64))
+        return pd.Series(_bits(held.value, h) & _bits(held.value, h >> np.uint64(32)))
+
+    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST))
+    names = ["n_lines", "n_removed", "n_near", "first_doc"]
+    flagged = df.drop(*names).withColumn("_key", key).withColumn("_may", may_lose("_key"))
+    # texts that lose nothing stay where they are; only the others are shuffled to their removals
+    whole = flagged.where(~F.col("_may")).withColumn("n_lines", (F.length(F.coalesce(text, F.lit(""))) - F.length(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1).cast("bigint"))
+    whole = whole.withColumn("n_removed", F.lit(0).cast("bigint")).withColumn("n_near", F.lit(0).cast("bigint")).withColumn("first_doc", F.lit(None).cast("bigint"))
+    fields = [StructField(text, StringType()), *[StructField(n, LongType()) for n in names]]
+    joined = flagged.where("_may").join(lost.select(F.col("doc").alias("_key"), F.col("lines").alias("_lines")), "_key", "left")
+    order = [*[c for c in df.columns if c not in names], *names]
+    return whole.select(*order).unionByName(with_arrow(joined, fields, partial(_apply, column=text, least=least), text).select(*order))
 
 
 __all__ = ["dedup_lines", "removals", "similar_lines"]
