@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from .intervals import BLOCK, cluster, interval_join, running
 
 
@@ -26,7 +27,7 @@ def coverage(df: DataFrame, keys: Sequence[str], start: str = "start0", end: str
 
 def _until_next(df: DataFrame, keys: Sequence[str], at: str, block: int) -> DataFrame:
     """Appends the next position within keys (null for the last), block by block."""
-    df = df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint"))
+    df = cut(df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint")))
     firsts = df.groupBy(*keys, "_block").agg(F.min(at).alias("_first"))
     later = firsts.select(*keys, "_block", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_block")).alias("_later"))
     return df.withColumn("_next", F.lead(at).over(Window.partitionBy(*keys, "_block").orderBy(at))).join(later, [*keys, "_block"]).withColumn("_next", F.coalesce("_next", "_later")).drop("_later", "_block")
@@ -41,6 +42,7 @@ def above(runs: DataFrame, keys: Sequence[str], least: int, block: int = BLOCK)
 
 def low_islands(runs: DataFrame, keys: Sequence[str], most: int, gap: int, longest: int, block: int = BLOCK) -> DataFrame:
     """Stretches of depth <= ``most`` between covered positions; those at most ``gap`` positions apart are joined, and islands up to ``longest`` positions stay."""
+    runs = cut(runs)
     nexts = _until_next(runs, keys, "start0", block)
     holes = nexts.where(F.col("_next") > F.col("end0_excl")).select(*keys, F.col("end0_excl").alias("start0"), (F.col("_next") - 1).alias("_last"))
     low = runs.where(F.col("depth") <= most).select(*keys, "start0", (F.col("end0_excl") - 1).alias("_last")).unionByName(holes)
@@ -57,14 +59,13 @@ def window_islands(runs: DataFrame, keys: Sequence[str], params: DataFrame, bloc
     Nothing is expanded to single bases: the window sum is piecewise linear between
     run borders and the borders shifted by w, and each piece is solved for its crossing.
     """
-    sums = running(runs.withColumn("_area", F.col("depth") * (F.col("end0_excl") - F.col("start0"))), keys, "start0", {"_cum": ("_area", "sum")}, block)
     # slope of the cumulated coverage changes by depth at a run's ends; the window's slope is C'(p) - C'(p-w)
     ends = F.array(
         F.struct(F.col("start0").alias("at"), F.col("depth").alias("d")), F.struct(F.col("end0_excl").alias("at"), (-F.col("depth")).alias("d")),
         F.struct((F.col("start0") + F.col("window")).alias("at"), (-F.col("depth")).alias("d")), F.struct((F.col("end0_excl") + F.col("window")).alias("at"), F.col("depth").alias("d")),
     )
     own = [*keys, "window", "min_coverage"]
-    events = sums.select(*keys, "start0", "end0_excl", "depth").crossJoin(F.broadcast(params)).select(*own, F.explode(ends).alias("x")).select(*own, "x.at", "x.d").groupBy(*own, "at").agg(F.sum("d").alias("d"))
+    events = runs.select(*keys, "start0", "end0_excl", "depth").crossJoin(F.broadcast(params)).select(*own, F.explode(ends).alias("x")).select(*own, "x.at", "x.d").groupBy(*own, "at").agg(F.sum("d").alias("d"))
     slope = running(events, own, "at", {"slope": ("d", "sum")}, block)
     pieces = _until_next(slope, own, "at", block).where("_next is not null")
     pieces = pieces.withColumn("_gain", F.col("slope") * (F.col("_next") - F.col("at")))
@@ -85,6 +86,7 @@ def window_islands(runs: DataFrame, keys: Sequence[str], params: DataFrame, bloc
 
 def mean_depth(regions: DataFrame, runs: DataFrame, keys: Sequence[str], start: str = "start0", end: str = "end0") -> DataFrame:
     """Appends ``area`` (summed depth) and ``mean_depth`` of each region; regions must be distinct rows."""
+    regions = cut(regions)
     right = runs.select(*keys, F.col("start0").alias("_rs"), (F.col("end0_excl") - 1).alias("_re"), "depth")
     pairs = interval_join(regions, right, keys, (start, end, "_rs", "_re"))
     part = pairs.withColumn("_part", F.col("depth") * (F.least(end, "_re") - F.greatest(start, "_rs") + 1))

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+
 BIN = 1024
 BLOCK = 1 << 16
 
@@ -69,7 +71,7 @@ def running(df: DataFrame, keys: Sequence[str], at: str, values: dict[str, tuple
     window partition of its own; the blocks' totals (a row each) carry over.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}
-    df = df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint"))
+    df = cut(df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint")))
     totals = df.groupBy(*keys, "_block").agg(*[fold[f](c).alias(n) for n, (c, f) in values.items()])
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, "_block", *[fold[f](F.col(n)).over(before).alias(f"_before_{n}") for n, (_, f) in values.items()])
@@ -115,7 +117,7 @@ def cluster(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: int =
     low = df.withColumn("_s", F.col(start).cast("bigint")).withColumn("_e", F.col(end).cast("bigint"))
     reach = running(low, keys, "_s", {"_reach": ("_e", "max")}, block, ["_e"])
     # the reach before a row: the running maximum of the row in front of it
-    ordered = reach.withColumn("_block", F.floor(F.col("_s") / block).cast("bigint"))
+    ordered = cut(reach.withColumn("_block", F.floor(F.col("_s") / block).cast("bigint")))
     inside = Window.partitionBy(*keys, "_block").orderBy("_s", "_e")
     last = ordered.groupBy(*keys, "_block").agg(F.max("_reach").alias("_last"))
     carry = last.select(*keys, "_block", F.max("_last").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from .coverage import window_islands
 from .intervals import interval_join
 
@@ -27,6 +28,7 @@ def matched(regions: DataFrame, features: DataFrame, percent: int) -> DataFrame:
 def summary(regions: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     """Per parameter pair: regions, matched regions and features, and mean overlaps (of each one's best)."""
     own = ["window", "min_coverage"]
+    regions = cut(regions)
     hits = matched(regions, features, percent)
     by_ptr = hits.groupBy(*own, "contig", "strand", "start0", "end0").agg(F.max("ptr_overlap").alias("o")).groupBy(*own).agg(F.count(F.lit(1)).alias("n_ptr_matched"), F.avg("o").alias("mean_ptr_overlap"))
     by_atr = hits.groupBy(*own, "feature_id").agg(F.max("atr_overlap").alias("o")).groupBy(*own).agg(F.count(F.lit(1)).alias("n_atr_matched"), F.avg("o").alias("mean_atr_overlap"))
