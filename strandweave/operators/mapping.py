@@ -30,9 +30,10 @@ def chunk_reference(contigs: DataFrame, size: int, overlap: int) -> DataFrame:
 def windows(chunks: DataFrame, size: int, length: int) -> DataFrame:
     """(contig, p, base, colors): every window of ``length`` bases of the reference, owned by the chunk of its first base; windows over a barrier (``.``) are left out."""
     usable = F.least(F.lit(size), F.length("seq") - length + 1)
-    rows = chunks.where(usable >= 1).withColumn("_i", F.explode(F.sequence(F.lit(0), usable - 1)))
-    part = rows.select("contig", (F.col("chunk_start") + F.col("_i")).alias("p"), F.substring(F.col("seq"), F.col("_i") + 1, F.lit(length)).alias("_s")).where(~F.col("_s").contains("."))
-    return part.select("contig", "p", F.substring("_s", 1, 1).alias("base"), F.substring("_s", length, 1).alias("last"), encode_colors(F.col("_s")).alias("ref"))
+    # colours are encoded once a chunk; windows are slices of them
+    rows = chunks.where(usable >= 1).withColumn("_colors", encode_colors(F.col("seq"))).withColumn("_i", F.explode(F.sequence(F.lit(0), usable - 1)))
+    part = rows.select("contig", (F.col("chunk_start") + F.col("_i")).alias("p"), F.substring(F.col("seq"), F.col("_i") + 1, F.lit(length)).alias("_s"), F.substring(F.col("_colors"), F.col("_i") + 1, F.lit(length - 1)).alias("ref"))
+    return part.where(~F.col("_s").contains(".")).select("contig", "p", F.substring("_s", 1, 1).alias("base"), F.substring("_s", length, 1).alias("last"), "ref")
 
 
 def _valid_pairs(read: Column, ref: Column) -> Column:
@@ -48,7 +49,7 @@ def _valid_pairs(read: Column, ref: Column) -> Column:
     return F.aggregate(cells, F.struct(F.lit(0).alias("n"), F.lit(None).cast("int").alias("d")), step, lambda a: a["n"])
 
 
-def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adjacent: bool = False, chunk: int = 1 << 16) -> DataFrame:
+def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adjacent: bool = False, chunk: int = 1 << 10) -> DataFrame:
     """Hits (read_id, contig, pos0, strand, mm) of reads (read_id, primer, colors) with at most ``most`` mismatches.
 
     A read of ``length`` covers its first base, decoded from the primer and the
