@@ -16,7 +16,7 @@ then line number) has the same set, or one with a Jaccard similarity of
    have more candidates send them all in a second round; so no match is lost.
 5. Removals are joined back to the documents that have any.
 
-Words are identified by 40 bits of a 64-bit hash, equal sets by a 64-bit hash.
+Words are identified by 32 bits of a 64-bit hash, equal sets by a 64-bit hash.
 Null text counts as empty; a null doc_id counts as the lowest; rows with equal
 doc_id are ordered by line number only, so identical rows don't remove each
 other's lines.  Extra columns stay; ``n_lines``, ``n_removed``, ``n_near`` and
@@ -37,12 +37,12 @@ from pyspark.sql.types import LongType, StringType, StructField
 from .common import materialise, with_arrow
 from .decontaminate import expand
 from .scan import mix, slices, text_buffer, words
-from .sketch import levels, sketch
+from .sketch import add, blocks, levels, merged, sketch
 
 CELLS = 1 << 20
 BLOOM = 1 << 24
 LOWEST = -(1 << 63)
-_TOKEN_BITS = np.uint64(40)
+_TOKEN_BITS = np.uint64(32)
 _SALT = np.uint64(0x5851F42D4C957F2D)
 FOUND = "cls bigint, doc bigint, line int, n int, e_cls bigint, e_doc bigint, e_line int, e_n int, more boolean"
 
@@ -55,10 +55,10 @@ class LineSets:
         breaks = np.flatnonzero(w.data == 10)
         line = np.searchsorted(breaks, w.start)  # line feeds before the word
         number = line + w.doc
-        key = np.sort((number.astype(np.uint64) << _TOKEN_BITS) | (w.hash >> np.uint64(24)))
+        key = np.sort((number.astype(np.uint64) << _TOKEN_BITS) | (w.hash >> np.uint64(32)))
         key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
         owner = (key >> _TOKEN_BITS).astype(np.int64)
-        token = key & np.uint64((1 << 40) - 1)
+        token = key & np.uint64((1 << 32) - 1)
         start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(key) else np.zeros(0, np.int64)
         n = np.diff(np.r_[start, len(key)])
         big = n >= least
@@ -92,9 +92,23 @@ def _first_of_class(sets: LineSets, ids: np.ndarray) -> None:
     sets.keep(np.sort(order[np.r_[True, same[1:] != same[:-1]]]) if len(order) else order)
 
 
-def _token_hashes(batch: pa.RecordBatch, least: int) -> np.ndarray:
-    found = [LineSets(p.column(1), least).token for p in slices(batch, "text")]
-    return mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+SCAN = "kind int, cls bigint, doc bigint, line int, block int, counts binary"
+
+
+def _scan(batches, least: int):
+    """Kind 0: the class of each line.  Kind 1: this task's word counts."""
+    schema = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
+    total = np.zeros(CELLS, np.uint32)
+    for batch in batches:
+        for part in slices(batch, "text"):
+            ids, sets = _ids(part), LineSets(part.column(1), least)
+            add(total, mix(sets.token))
+            n = len(sets.n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(sets.cls), pa.array(ids[sets.doc] if n else np.zeros(0, np.int64)), pa.array(sets.line, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+    if total.any():
+        rows = blocks(total)
+        n = rows.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), rows.column(0), rows.column(1)], schema=schema)
 
 
 def needed(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
@@ -145,7 +159,7 @@ def _prefixes(batches, shared, threshold: float, least: int, words_held=None):
             length = sets.n - np.ceil(threshold * sets.n - 1e-9).astype(np.int64) + 1
             chosen = pos < np.repeat(length, sets.n)
             if words_held is not None:
-                chosen &= _bits(words_held.value, _word_hash(sets.token[order]))
+                chosen &= _bits(words_held.value, mix(sets.token[order]))
             line, token, pos = owner[chosen], sets.token[order][chosen], pos[chosen]
             folded, lanes = fold(bitmaps(sets)), lanes_of(sets.n)
             packed = np.empty(len(sets.n), object)
@@ -291,13 +305,14 @@ def _wanted_sets(batches, shared, least: int):
             yield pa.RecordBatch.from_arrays([pa.array(sets.cls), tokens], schema=schema)
 
 
-def _word_hash(token: np.ndarray) -> np.ndarray:
-    return mix(token & np.uint64(0xFFFFFFFF))
-
-
-def _packed_words(batch: pa.RecordBatch) -> np.ndarray:
-    """Hashes of the words of packed sets."""
-    return _word_hash(np.frombuffer(b"".join(x for x in batch.column(0).to_pylist() if x), "<u4").astype(np.uint64))
+def _prefix_words(batch: pa.RecordBatch, shared, threshold: float) -> np.ndarray:
+    """Hashes of the prefix words of packed sets."""
+    found = []
+    for packed in batch.column(0).to_pylist():
+        token = np.frombuffer(packed or b"", "<u4").astype(np.uint64)
+        level = shared.value[(mix(token) & np.uint64(CELLS - 1)).astype(np.int64)]
+        found.append(token[np.lexsort((token, level))][: len(token) - int(np.ceil(threshold * len(token) - 1e-9)) + 1])
+    return mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
 def _bits(held: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -323,18 +338,12 @@ def _verify(batches, threshold: float):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ok, pa.bool_()), batch.column(5), pa.array(kept, pa.binary())], schema=schema)
 
 
-def _lines(batches, least: int):
-    schema = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32())])
-    for batch in batches:
-        for part in slices(batch, "text"):
-            ids, sets = _ids(part), LineSets(part.column(1), least)
-            yield pa.RecordBatch.from_arrays([pa.array(sets.cls), pa.array(ids[sets.doc] if len(sets.doc) else np.zeros(0, np.int64)), pa.array(sets.line, pa.int32())], schema=schema)
-
-
 def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
     """(lines, links) of ``docs`` with columns doc and text: every line's class, and for each class that an earlier one resembles the earliest such line found."""
     spark = docs.sparkSession
-    rank = spark.sparkContext.broadcast(levels(sketch(docs, CELLS, partial(_token_hashes, least=least))))  # one byte a cell: 1 MB
+    scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
+    lines = scan.where("kind = 0").select("cls", "doc", "line")
+    rank = spark.sparkContext.broadcast(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
     prefixes = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least), PREFIX)
 
     def search(rows: DataFrame, every: bool) -> DataFrame:
@@ -355,20 +364,19 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tu
     checked = verify(search(prefixes, False))
     links = checked.where("e is not null").select("cls", "e.e_doc", "e.e_line")
     open_ = checked.where("e is null and more").select("cls", "tokens")
-    if not open_.isEmpty():  # only the buckets of words that these lines hold are dealt again
-        held = spark.sparkContext.broadcast(np.packbits(sketch(open_.select("tokens"), BLOOM, _packed_words) > 0, bitorder="little"))  # 2 MB
+    if not open_.isEmpty():  # only the buckets of these lines' prefixes are dealt again
+        held = spark.sparkContext.broadcast(np.packbits(sketch(open_.select("tokens"), BLOOM, partial(_prefix_words, shared=rank, threshold=threshold)) > 0, bitorder="little"))  # 2 MB
         some = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, held), PREFIX)
         marked = some.join(open_.select("cls", F.lit(True).alias("probe")), "cls", "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
         again = search(marked, True)
         if not again.isEmpty():
             links = links.unionByName(verify(again).where("e is not null").select("cls", "e.e_doc", "e.e_line"))
-    return docs.mapInArrow(lambda x: _lines(x, least), "cls bigint, doc bigint, line int"), links
+    return lines, links
 
 
 def removals(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of that line."""
     lines, links = similar_lines(docs, threshold, least)
-    lines = materialise(lines, "lines")
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     classes = firsts.join(links, "cls", "left").where("times > 1 or e_doc is not null")
     hit = lines.join(classes, "cls")

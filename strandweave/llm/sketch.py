@@ -23,15 +23,18 @@ def _rows(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([zlib.compress(counts[k].tobytes(), 1) for k in keys], pa.binary())], schema=_SCHEMA)
 
 
-def sketch(df: DataFrame, cells: int, hashes: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
-    """Counts of the hashes of all rows, by their lowest bits (``cells`` is a power of two, at least BLOCK)."""
+def add(total: np.ndarray, hashes: np.ndarray) -> None:
+    """Counts hashes into a task's own array."""
+    total += np.bincount((hashes & np.uint64(len(total) - 1)).astype(np.int64), minlength=len(total)).astype(np.uint32)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.uint32)
-        for batch in batches:
-            total += np.bincount((hashes(batch) & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint32)
-        if total.any():
-            yield _rows(dict(enumerate(total.reshape(-1, BLOCK))))
+
+def blocks(total: np.ndarray) -> pa.RecordBatch:
+    """A task's array as rows of compressed blocks."""
+    return _rows(dict(enumerate(total.reshape(-1, BLOCK))))
+
+
+def merged(rows: DataFrame, cells: int) -> np.ndarray:
+    """The sum of the arrays of all tasks, from their rows (block, counts)."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -42,16 +45,26 @@ def sketch(df: DataFrame, cells: int, hashes: Callable[[pa.RecordBatch], np.ndar
         if total:
             yield _rows(total)
 
-    blocks = cells // BLOCK
-    merged = df.mapInArrow(count, "block int, counts binary").repartition(min(32, blocks), "block").mapInArrow(merge, "block int, counts binary")
-    out = np.zeros((blocks, BLOCK), np.uint32)
-    for row in merged.collect():  # one row per block at most: the size of one sketch
+    n = cells // BLOCK
+    out = np.zeros((n, BLOCK), np.uint32)
+    for row in rows.repartition(min(32, n), "block").mapInArrow(merge, "block int, counts binary").collect():  # one row per block at most: the size of one sketch
         out[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return out.ravel()
 
 
+def sketch(df: DataFrame, cells: int, hashes: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """Counts of the hashes of all rows, by their lowest bits (``cells`` is a power of two, at least BLOCK)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, np.uint32)
+        for batch in batches:
+            add(total, hashes(batch))
+        if total.any():
+            yield blocks(total)
+
+    return merged(df.mapInArrow(count, "block int, counts binary"), cells)
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """Counts on a scale of 256 logarithmic levels (one byte a cell)."""
     return np.minimum(255, np.round(8 * np.log2(1 + counts.astype(np.float64)))).astype(np.uint8)
-
-
