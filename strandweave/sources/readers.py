@@ -130,7 +130,7 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
     c = F.split("value", "\t", -1)
     rows = spark.read.text(path).where(~F.col("value").startswith("#")).where(_well_formed())
     numbers = lambda x, t: F.transform(F.filter(F.split(x, ","), lambda v: v != ""), lambda v: v.cast(t))
-    names = types.TRANSCRIPTS.names
+    names = [x.split()[0] for x in types.TRANSCRIPTS.split(", ")]
     plain = {"bin": "int", "exon_count": "int", "id": "int", "tx_start": "bigint", "tx_end": "bigint", "cds_start": "bigint", "cds_end": "bigint"}
     out = []
     for i, n in enumerate(names):
