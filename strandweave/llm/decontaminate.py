@@ -93,7 +93,7 @@ def build_index(ids: list, texts: list[str], window: int = 128, share: float = 0
     item = pairs[:, 1].astype(np.int64)
     df = np.bincount(term, minlength=len(vocab))
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    value = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / max(1.0, length.mean())))
+    value = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / max(1.0, length.mean() if n else 1.0)))
     own = np.bincount(item, weights=value, minlength=n)
     reach = np.minimum(1, (window // 2) / np.maximum(1, length))  # the part of an item that a window surely holds
     value = value / np.maximum(share * own * reach, 1e-9)[item]
