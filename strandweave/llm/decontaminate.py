@@ -214,7 +214,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
         def run(batches, shared=shared):
             index, arrow = shared.value, to_arrow_schema(schema)
             for batch in batches:
-                for part in slices(batch, "text", 4 << 20):
+                for part in slices(batch, "text", 1 << 20):
                     kept = verified(index, part.column(1), overlap)
                     ids = pa.array([index.items[k[1]] for k in kept], arrow.field("item_id").type)
                     yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([k[0] for k in kept], pa.int64())), ids, *[pa.array([k[c] for k in kept], pa.float64()) for c in (2, 3, 4)]], schema=arrow)
@@ -231,7 +231,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", ite
 
         def run(batches, shared=shared):
             for batch in batches:
-                for part in slices(batch, text, 4 << 20):
+                for part in slices(batch, text, 1 << 20):
                     gone = {k[0] for k in verified(shared.value, part.column(part.schema.get_field_index(text)), overlap)}
                     yield part.take(pa.array([i for i in range(part.num_rows) if i not in gone], pa.int64()))
 

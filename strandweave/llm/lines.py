@@ -36,7 +36,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from .common import materialise, with_arrow
 from .decontaminate import expand
-from .scan import mix, slices, text_buffer, words
+from .scan import mix, release, slices, text_buffer, words
 from .sketch import add, blocks, levels, merged, sketch
 
 CELLS = 1 << 20
@@ -147,7 +147,7 @@ def _prefixes(batches, shared, threshold: float, least: int, words_held=None):
     schema = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("pos", pa.int32()), ("bits", pa.binary())])
     rank = shared.value
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in slices(batch, "text", 1 << 20):
             ids, sets = _ids(part), LineSets(part.column(1), least)
             _first_of_class(sets, ids)
             if not len(sets.n):
@@ -252,6 +252,7 @@ def _earliest(batches, threshold: float, every: bool):
     schema = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("e_cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("e_n", pa.int32()), ("more", pa.bool_())])
     sent: set = set()
     for table in _groups(batches, "token"):
+        release()
         b = Buckets(table, threshold)
         rows = np.arange(len(b.token))
         active = rows[(rows > b.start) & b.probe & ((b.doc > b.doc[b.start]) | (b.line > b.line[b.start]))]

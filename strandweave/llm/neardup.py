@@ -37,7 +37,7 @@ from pyspark.sql.types import LongType, StructField
 from .common import materialise, with_arrow
 from .decontaminate import expand, grams
 from .lines import BLOOM, _bits, _class_hashes, _groups
-from .scan import mix, slices, words
+from .scan import mix, release, slices, words
 from .sketch import sketch
 
 BANDS, ROWS = 24, 5
@@ -113,7 +113,7 @@ def _bands(batches):
     schema = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("size", pa.int32()), ("low", pa.int64()), ("high", pa.int64())])
     place = np.arange(REGISTERS, dtype=np.uint64)
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in slices(batch, "text", 1 << 20):
             s = Shingles(part.column(1))
             chosen = s.firsts()
             held = signatures(s, chosen=chosen)
@@ -173,6 +173,7 @@ def _first_round(batches, threshold: float):
     """Kind 0: a pair to verify.  Kind 1: a class of a larger bucket (other: the bucket)."""
     sent: set = set()
     for table in _groups(batches, "key"):
+        release()
         b = Buckets(table)
         rows = np.arange(len(b.key))
         found = []
@@ -240,7 +241,7 @@ def _wanted(batches, shared):
     schema = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
     held = shared.value
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text"):
             s = Shingles(part.column(1))
             chosen = s.firsts()
             h = mix(s.cls[chosen].astype(np.uint64))
@@ -266,7 +267,7 @@ def _verify(batches, threshold: float):
 def _classes(batches):
     schema = pa.schema([("doc", pa.int64()), ("cls", pa.int64())])
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text"):
             s = Shingles(part.column(1))
             yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(s.cls, mask=s.n == 0)], schema=schema)
 

@@ -8,6 +8,7 @@ neither a Python string per word nor an array per whole batch is ever built.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -112,7 +113,15 @@ def words(column: pa.Array) -> Words:
     return Words(h, s, e, doc, first, data, offsets)
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Gives freed memory back to the system, so that idle Python workers hold little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text each, whole rows only."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
@@ -124,6 +133,7 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa
         total += int(size)
     if at < batch.num_rows:
         yield batch.slice(at, batch.num_rows - at)
+    release()
 
 
 def word_hash(word: str) -> int:
