@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandweave.lineage import cut
 from strandweave.operators import alignments, assembly, counting, coverage, extension, intervals, junctions, mapping, ntr, pairs, seeds, simulate, variants
 
 
@@ -63,7 +64,7 @@ def test_coverage_and_windows_equal_dense_form(spark):
     draw = random.Random(6)
     rows = [(draw.choice("AB"), s := draw.randrange(300), s + draw.randrange(1, 25)) for _ in range(80)]
     df = spark.createDataFrame([(c, "+", s, e) for c, s, e in rows], "contig string, strand string, start0 bigint, end0 bigint")
-    runs = coverage.coverage(df, ["contig", "strand"], block=32).localCheckpoint()
+    runs = cut(coverage.coverage(df, ["contig", "strand"], block=32))
     depth = dense(rows)
     got = {(r.contig, p): r.depth for r in runs.collect() for p in range(r.start0, r.end0_excl)}
     assert got == depth
