@@ -1,7 +1,9 @@
 """Pattern matches with code point positions, by SQL functions only.
 
 ``split`` and ``regexp_extract_all`` give what lies between the matches and the
-matches themselves; running lengths give their places.
+matches themselves; running lengths give their places.  Collecting the places of
+one text copies an array for each match, so that cost grows with the square of the
+matches of a single text (thousands are no matter).
 """
 
 from __future__ import annotations
