@@ -26,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their later lines; those that lose lines and have no text left go."""
-    kept = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    kept = lines.dedup_lines(docs, least=1).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

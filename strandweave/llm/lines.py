@@ -2,12 +2,15 @@
 
 A line is its set of words.  A line is removed if an earlier line (order: doc_id,
 then line number) has the same set, or one with a Jaccard similarity of
-``threshold`` or more; lines of fewer than ``least`` different words stay.
+``threshold`` or more; lines of fewer than ``least`` different words stay (the
+registered query and the pipeline use 1: only lines without a word stay).
 
 1. All words of all documents are counted into a fixed-size sketch, which gives
    one total order of words, rarest first (ties by hash).  Any total order keeps
    the join exact; rarity keeps its buckets small.
 2. Each line sends a row for every word of its prefix (n - ceil(t n) + 1 words).
+   Lines too short to reach the threshold with any other set (up to three words
+   at 0.8) send none: equal sets are found by grouping, not by the join.
 3. In a word's bucket each line looks for its earliest predecessor that passes
    the length, positional and bitmap filters, none of which drops a match.  A
    search stops at the first find, so a large group of like lines costs a few
@@ -150,6 +153,7 @@ def _prefixes(batches, shared, threshold: float, least: int, words_held=None):
         for part in slices(batch, "text", 1 << 20):
             ids, sets = _ids(part), LineSets(part.column(1), least)
             _first_of_class(sets, ids)
+            sets.keep(np.flatnonzero(sets.n >= threshold * (sets.n + 1) - 1e-9))  # n words can at best match n + 1
             if not len(sets.n):
                 continue
             level = rank[(mix(sets.token) & np.uint64(CELLS - 1)).astype(np.int64)]

@@ -1,8 +1,11 @@
+import hashlib
 import random
 import re
 
 import pyarrow.parquet as pq
 
+import corpus_pipeline
+from strandweave.llm import queries
 from strandweave.llm.lines import dedup_lines
 
 
@@ -67,3 +70,20 @@ def test_edges(spark):
     got = sorted(((r["doc_id"] or 0), r["text"], r["n_removed"]) for r in out.collect() if r["text"] is not None)
     assert got == sorted([(2, "", 0), (3, "a b c d e f", 0), (4, "kept", 1), (5, long, 0), (6, "", 1), (0, "g h i j k l", 0), (7, "", 1), (8, "m n o p q r", 0), (8, "m n o p q r", 0)])
     assert dedup_lines(df.where("false")).count() == 0
+
+
+def test_short_lines_equal_brute_force(spark):
+    draw = random.Random(8)
+    rows = [(d, "\n".join(" ".join(f"w{draw.randrange(9)}" for _ in range(draw.randrange(0, 7))) for _ in range(6))) for d in range(60)]
+    rows += [(100, "All rights reserved.\n--\n\na b c d"), (101, "All rights reserved.\n--\n\na b c d e"), (102, "reserved: all rights\na b c\na b c d e f")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in dedup_lines(df, least=1).collect()} == brute_force(rows, least=1)
+
+
+def test_registered_query_takes_short_lines(spark, tmp_path):
+    rows = [(1, "All rights reserved.\nIetzte."), (2, "All rights reserved.\nother words"), (3, "Ietzte.")]
+    spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["kept_sha256"] for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in [(1, rows[0][1]), (2, "other words"), (3, "")]}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()}
+    assert kept == {1: rows[0][1], 2: "other words"}

@@ -1,5 +1,7 @@
 """The pipeline against plain Python versions of its stages."""
 
+from functools import partial
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -50,3 +52,10 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, SF).count() >= 2
     assert corpus_pipeline.near_stage(spark, odd, SF).where("doc_id = 2").count() == 1
+
+
+def test_stages_take_short_lines(spark, monkeypatch):
+    """The same stages where every line with a word takes part in line dedup."""
+    monkeypatch.setattr(test_lines, "brute_force", partial(test_lines.brute_force, least=1))
+    got = {r.doc_id: (r.text, np.frombuffer(r.ids, "<u4").tolist()) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == expected(spark) and got
