@@ -19,6 +19,10 @@ registered query and the pipeline use 1: only lines without a word stay).
    have more candidates send them all in a second round; so no match is lost.
 5. Removals are joined back to the documents that have any.
 
+``linked_lines`` asks for more than removals: every pair of classes that is alike,
+so its search doesn't stop at the first find, and a group of like classes costs
+all its pairs.
+
 Words are identified by 32 bits of a 64-bit hash, equal sets by a 64-bit hash.
 Null text counts as empty; a null doc_id counts as the lowest; rows with equal
 doc_id are ordered by line number only, so identical rows don't remove each
@@ -251,15 +255,15 @@ class Buckets:
         return out
 
 
-def _earliest(batches, threshold: float, every: bool):
-    """Each line's earliest predecessor in each bucket that passes the filters; with ``every``, all of the probing lines'."""
+def _earliest(batches, threshold: float, every: bool, whole: bool = False):
+    """Each line's earliest predecessor in each bucket that passes the filters; with ``every``, all of the probing lines'; with ``whole``, also those at its own place (of a row with the same id)."""
     schema = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("e_cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("e_n", pa.int32()), ("more", pa.bool_())])
     sent: set = set()
     for table in _groups(batches, "token"):
         release()
         b = Buckets(table, threshold)
         rows = np.arange(len(b.token))
-        active = rows[(rows > b.start) & b.probe & ((b.doc > b.doc[b.start]) | (b.line > b.line[b.start]))]
+        active = rows[(rows > b.start) & b.probe & ((b.doc > b.doc[b.start]) | (b.line > b.line[b.start]) | whole)]
         low, high, found = 0, 16, []
         while len(active):
             reach = np.minimum(active - b.start[active], high) - low
@@ -269,7 +273,7 @@ def _earliest(batches, threshold: float, every: bool):
                 step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
                 c = active[owner]
                 e = b.start[c] + low + step
-                ok = b.alike(c, e, threshold) & ((b.doc[e] < b.doc[c]) | (b.line[e] < b.line[c]))
+                ok = b.alike(c, e, threshold) & ((b.doc[e] < b.doc[c]) | (b.line[e] < b.line[c]) | whole)
                 c, e = c[ok], e[ok]
                 if not every and len(c):
                     first = np.r_[True, c[1:] != c[:-1]]
@@ -343,12 +347,47 @@ def _verify(batches, threshold: float):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ok, pa.bool_()), batch.column(5), pa.array(kept, pa.binary())], schema=schema)
 
 
+def _verify_pairs(batches, threshold: float):
+    """The pairs (cls, other) whose whole sets are alike."""
+    schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+            both = len(np.intersect1d(u, v, assume_unique=True))
+            ok.append(both >= threshold * (len(u) + len(v) - both) - 1e-9)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(ok, pa.bool_()))
+
+
+def _scanned(docs: DataFrame, least: int):
+    """Every line's class, and the broadcast order of words."""
+    scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
+    rank = docs.sparkSession.sparkContext.broadcast(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
+    return scan.where("kind = 0").select("cls", "doc", "line"), rank
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """(cls, tokens): the word sets of ``classes``, and of the few more that the filter lets pass."""
+    held = docs.sparkSession.sparkContext.broadcast(np.packbits(sketch(classes, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
+    return docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary").groupBy("cls").agg(F.min("tokens").alias("tokens"))
+
+
+def all_links(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(lines, pairs) of ``docs`` with columns doc and text: every line's class, and every pair of classes (cls < other) that are alike."""
+    lines, rank = _scanned(docs, least)
+    dealt = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least), PREFIX).repartition(F.col("token")).sortWithinPartitions("token")
+    found = dealt.mapInArrow(lambda x: _earliest(x, threshold, True, True), FOUND)
+    found = materialise(found.select(F.least("cls", "e_cls").alias("cls"), F.greatest("cls", "e_cls").alias("other")).distinct(), "line-candidates")
+    sets = _sets_of(docs, found.select("cls").unionByName(found.select(F.col("other").alias("cls"))), least)
+    one = found.join(sets, "cls").select("cls", "other", F.col("tokens").alias("a"))
+    two = one.join(sets.select(F.col("cls").alias("other"), F.col("tokens").alias("b")), "other").select("cls", "other", "a", "b")
+    return lines, materialise(two.mapInArrow(lambda x: _verify_pairs(x, threshold), "cls bigint, other bigint"), "line-pairs")
+
+
 def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
     """(lines, links) of ``docs`` with columns doc and text: every line's class, and for each class that an earlier one resembles the earliest such line found."""
     spark = docs.sparkSession
-    scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
-    lines = scan.where("kind = 0").select("cls", "doc", "line")
-    rank = spark.sparkContext.broadcast(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
+    lines, rank = _scanned(docs, least)
     prefixes = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least), PREFIX)
 
     def search(rows: DataFrame, every: bool) -> DataFrame:
@@ -358,8 +397,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tu
 
     def verify(found: DataFrame) -> DataFrame:
         ends = found.select("cls").unionByName(found.select(F.col("e_cls").alias("cls")))
-        held = spark.sparkContext.broadcast(np.packbits(sketch(ends, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
-        sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary").groupBy("cls").agg(F.min("tokens").alias("tokens"))
+        sets = _sets_of(docs, ends, least)
         one = found.join(sets, "cls").select("cls", "e_cls", "e.e_doc", "e.e_line", F.col("tokens").alias("a"), "more")
         two = one.join(sets.withColumnRenamed("cls", "e_cls").withColumnRenamed("tokens", "b"), "e_cls").select("cls", "e_doc", "e_line", "a", "b", "more")
         checked = two.mapInArrow(lambda x: _verify(x, threshold), "cls bigint, e_doc bigint, e_line int, ok boolean, more boolean, tokens binary")
@@ -381,7 +419,10 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tu
 
 def removals(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of that line."""
-    lines, links = similar_lines(docs, threshold, least)
+    return _removals(*similar_lines(docs, threshold, least))
+
+
+def _removals(lines: DataFrame, links: DataFrame) -> DataFrame:
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     classes = firsts.join(links, "cls", "left").where("times > 1 or e_doc is not null")
     hit = lines.join(classes, "cls")
@@ -412,7 +453,11 @@ def _apply(batch: pa.RecordBatch, column: str, least: int) -> list:
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> DataFrame:
     """The documents with their later lines removed from ``text``; appends n_lines (before), n_removed, n_near (of these, by similarity alone) and first_doc (the lowest document that a removed line repeats)."""
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    lost = materialise(removals(docs, threshold, least), "line-removals")
+    return _without(df, removals(docs, threshold, least), doc_id, text, least)
+
+
+def _without(df: DataFrame, lost: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
+    lost = materialise(lost, "line-removals")
     held = df.sparkSession.sparkContext.broadcast(np.packbits(sketch(lost.select("doc"), BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
 
     @F.pandas_udf("boolean")
@@ -432,4 +477,36 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
     return whole.select(*order).unionByName(with_arrow(joined, fields, partial(_apply, column=text, least=least), text).select(*order))
 
 
-__all__ = ["dedup_lines", "removals", "similar_lines"]
+def linked_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> DataFrame:
+    """``dedup_lines`` from all links, with class_id and n_links appended.
+
+    class_id is the lowest document that is connected by equal or similar lines,
+    over any number of steps; n_links counts a document's lines whose class has
+    further lines, and the verified links of its classes to other classes.
+    """
+    from .neardup import components  # which imports this module
+
+    docs = df.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)).alias("doc"), F.col(text).alias("text"))
+    lines, pairs = all_links(docs, threshold, least)
+    firsts = materialise(lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times")), "line-classes")
+    both = pairs.unionByName(pairs.select(F.col("other").alias("cls"), F.col("cls").alias("other")))
+    place = firsts.select("cls", "first")
+    placed = both.join(place, "cls").join(place.select(F.col("cls").alias("other"), F.col("first").alias("e")), "other")
+    degrees = materialise(placed.groupBy("cls").agg(F.count(F.lit(1)).alias("degree"), F.min("e").alias("e"), F.first("first").alias("first")), "line-degrees")
+    links = degrees.where("e < first").select("cls", "e.doc", "e.line").toDF("cls", "e_doc", "e_line")
+    out = _without(df, _removals(lines, links), doc_id, text, least)
+    # a class joins its documents to its first one, and alike classes join their first documents
+    classes = firsts.join(degrees.select("cls", "degree"), "cls", "left").where("times > 1 or degree is not null").select("cls", F.col("first.doc").alias("v"), "times", F.coalesce("degree", F.lit(0)).alias("degree"))
+    held = lines.groupBy("cls", "doc").agg(F.count(F.lit(1)).alias("k")).join(classes, "cls")
+    counted = held.withColumn("links", F.when(F.col("times") > 1, F.col("k")).otherwise(0) + F.col("degree"))
+    counted = materialise(counted.select("doc", "v", "links"), "line-members")
+    edges = counted.select(F.col("doc").alias("cls"), F.col("v").alias("other")).unionByName(placed.select(F.col("first.doc").alias("cls"), F.col("e.doc").alias("other")))
+    named = components(edges).select(F.col("node").alias("_key"), F.nullif("comp", F.lit(LOWEST)).alias("class_id"))
+    totals = counted.groupBy(F.col("doc").alias("_key")).agg(F.sum("links").alias("n_links"))
+    keyed = out.drop("class_id", "n_links").withColumn("_key", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)))
+    found = keyed.join(totals, "_key", "left").join(named.withColumn("_in", F.lit(True)), "_key", "left")
+    found = found.withColumn("class_id", F.when(F.col("_in"), F.col("class_id")).otherwise(F.col(doc_id).cast("bigint")))
+    return found.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("bigint")).drop("_key", "_in")
+
+
+__all__ = ["all_links", "dedup_lines", "linked_lines", "removals", "similar_lines"]

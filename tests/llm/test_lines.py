@@ -1,12 +1,13 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pyarrow.parquet as pq
 
 import corpus_pipeline
 from strandweave.llm import queries
-from strandweave.llm.lines import dedup_lines
+from strandweave.llm.lines import dedup_lines, linked_lines
 
 
 def word_set(line):
@@ -87,3 +88,51 @@ def test_registered_query_takes_short_lines(spark, tmp_path):
     assert got == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in [(1, rows[0][1]), (2, "other words"), (3, "")]}
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()}
     assert kept == {1: rows[0][1], 2: "other words"}
+
+
+def brute_links(rows, threshold=0.8):
+    """class_id and n_links of each document, from every pair of distinct word sets."""
+    own = {d: [s for t in (text or "").split("\n") if (s := word_set(t))] for d, text in rows}
+    times = Counter(s for x in own.values() for s in x)
+    sets, index, alike = list(times), {}, {s: set() for s in times}
+    for s in sets:
+        for o in {o for w in s for o in index.get(w, ())}:
+            if len(s & o) >= threshold * len(s | o) - 1e-9:
+                alike[s].add(o)
+                alike[o].add(s)
+        for w in s:
+            index.setdefault(w, []).append(s)
+    top = {x: x for x in [*own, *sets]}
+
+    def root(x):
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    for a, b in [*((d, s) for d, x in own.items() for s in x), *((s, o) for s in sets for o in alike[s])]:
+        top[root(a)] = root(b)
+    lowest = {}
+    for d in sorted(own):
+        lowest.setdefault(root(d), d)
+    return {d: (lowest[root(d)], sum(times[s] > 1 for s in x) + sum(len(alike[s]) for s in set(x))) for d, x in own.items()}
+
+
+def linked(spark, rows):
+    out = linked_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), least=1).collect()
+    return {r["doc_id"]: (r["class_id"], r["n_links"]) for r in out}, {r["doc_id"]: r["text"] for r in out}
+
+
+def test_links_of_chains(spark):
+    a = [f"w{i}" for i in range(10)]
+    b, c = [*a[1:], "x"], [*a[2:], "x", "y"]  # b is like a and like c, c isn't like a
+    rows = [(1, " ".join(a)), (2, " ".join(c)), (3, " ".join(b)), (4, " ".join(b) + "\nq r"), (5, "q r"), (6, "alone"), (7, None)]
+    got, kept = linked(spark, rows)
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 4), 5: (1, 1), 6: (6, 0), 7: (7, 0)} == brute_links(rows)
+    assert {d: t or None for d, t in kept.items()} == {1: rows[0][1], 2: rows[1][1], 3: None, 4: "q r", 5: None, 6: "alone", 7: None}
+
+
+def test_links_equal_brute_force(spark):
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet")
+    rows = list(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True))
+    got, kept = linked(spark, rows)
+    assert got == brute_links(rows) and kept == brute_force(rows, least=1)
