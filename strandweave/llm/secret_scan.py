@@ -25,12 +25,13 @@ from .spans import quoted, with_matches
 from .trees import calibrate, fit_forest, forest_sql, predict
 
 #: Name, pattern, guard.  An assigned value is found behind its name, so that the name is left context.
+#: Lengths have no upper bound; possessive runs cost linear time.  A key block runs to its END line, where it has one.
 RULES = {
-    "assigned": (r"(?<=[=:]\x20{0,3}[\x22'])[A-Za-z0-9+/_.=-]{12,512}(?=[\x22'])", "{0} rlike '[=:] *[\\\\x22\\']'"),
-    "provider_key": (r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{20,80}|sk_live_[A-Za-z0-9]{24,64}|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_])", "{0} rlike 'AKIA|gh[pousr]_|xox|sk_live_|AIza'"),
-    "key_block": (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "contains({0}, 'PRIVATE KEY')"),
-    "web_token": (r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}", "contains({0}, 'eyJ')"),
-    "mixed": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{24,512}={0,2}(?![A-Za-z0-9+/_=-])", "{0} rlike '[A-Za-z0-9+/_-]{{24}}'"),
+    "assigned": (r"(?<=[=:]\x20{0,3}[\x22'])[^\s\x22']{12,}+(?=[\x22'])", "{0} rlike '[=:] *[\\\\x22\\']'"),
+    "provider_key": (r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{24,}+|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_])", "{0} rlike 'AKIA|gh[pousr]_|xox|sk_live_|AIza'"),
+    "key_block": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?s:.)*?-----END [A-Z ]*PRIVATE KEY-----)?", "contains({0}, 'PRIVATE KEY')"),
+    "web_token": (r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "contains({0}, 'eyJ')"),
+    "mixed": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])", "{0} rlike '[A-Za-z0-9+/_-]{{24}}'"),
 }
 #: Words that a name or placeholder may hold, and cues beside a candidate or in its path.
 WORDS = "example|sample|dummy|test|changeme|placeholder|your|insert|here|the|and|for|token|secret|password|key|value|config|default|user|name|data|file|path|index|class|function|module|version|build|service|client|server|request|response|handler|manager|static|public|html|image|http|www|com|org"
@@ -141,7 +142,9 @@ def find_secrets(df: DataFrame, text: str = "text", path: str = "source", out: s
     scored = []
     for k in RULES:
         fields = ", ".join(f"'f{j}', CAST({f} AS double)" for j, f in enumerate(_rule(k, "x", "_path")))
-        scored.append(f"transform(transform({k}, x -> named_struct('rule', '{k}', 's', x.s, 'e', x.e, {fields})), c -> named_struct('rule', c.rule, 's', c.s, 'e', c.e, 'score', round({score}, 6)))")
+        # a key block is scored by its BEGIN line
+        rows_of = f"transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'm', regexp_extract(x.m, '^-----BEGIN [A-Z ]*PRIVATE KEY-----', 0), 'l', x.l, 'r', x.r))" if k == "key_block" else k
+        scored.append(f"transform(transform({rows_of}, x -> named_struct('rule', '{k}', 's', x.s, 'e', x.e, {fields})), c -> named_struct('rule', c.rule, 's', c.s, 'e', c.e, 'score', round({score}, 6)))")
     rows = rows.withColumn("_found", F.expr(f"filter(concat({', '.join(scored)}), c -> c.score >= {least:.6f}D)"))
     better = "b.s < c.e AND c.s < b.e AND (b.score > c.score OR (b.score = c.score AND (b.s < c.s OR (b.s = c.s AND (b.e > c.e OR (b.e = c.e AND b.rule < c.rule))))))"
     rows = rows.withColumn(out, F.expr(f"array_sort(filter(_found, c -> NOT exists(_found, b -> {better})), (a, b) -> CAST(sign(a.s - b.s) AS int))"))
