@@ -37,6 +37,14 @@ def decode_colors(first: Column, colors: Column) -> Column:
     return F.aggregate(_letters(colors), F.struct(code.cast("int").alias("code"), F.when(code < 0, F.lit("N")).otherwise(F.upper(first)).alias("out")), step, lambda a: a["out"])
 
 
+def decode_long(first: Column, colors: Column, size: int = 256) -> Column:
+    """``decode_colors`` in pieces of ``size`` colours, which copies far less of a long text."""
+    pieces = F.filter(F.split(colors, f"(?<=\\G[0-3.]{{{size}}})"), lambda p: p != "")
+    start = F.when(F.upper(first).isin(*BASES), F.upper(first)).otherwise(F.lit("N"))
+    # each piece starts from the base that the one before ended with; that base isn't repeated
+    return F.aggregate(pieces, start, lambda a, p: F.concat(a, F.substring(decode_colors(F.right(a, F.lit(1)), p), 2, size)))
+
+
 def decode_candidates(colors: Column) -> Column:
     """All four decodings where the first base isn't known."""
     return F.array(*[decode_colors(F.lit(b), colors) for b in BASES])

@@ -273,8 +273,11 @@ def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def color_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.sequences(spark, sf_dir).select("doc_id", F.substring("seq", 1, 60).alias("read"))
-    return rows.select("doc_id", "read", color.decode_colors(F.substring("read", 1, 1), color.encode_colors(F.col("read"))).alias("decoded")).where("length(read) >= 2")
+    """Whole sequences there and back.  The SQL shows 60 letters; a sequence that comes back otherwise, at any letter, is shown whole, so that it differs."""
+    rows = views.sequences(spark, sf_dir).where("length(seq) >= 2")
+    back = rows.withColumn("back", color.decode_long(F.substring("seq", 1, 1), color.encode_colors(F.col("seq"))))
+    shown = F.substring("back", 1, 60)
+    return back.select("doc_id", F.substring("seq", 1, 60).alias("read"), F.when(F.col("back") == F.col("seq"), shown).otherwise(F.col("back")).alias("decoded"))
 
 
 def color_xor_sum(spark: SparkSession, sf_dir: str) -> DataFrame:

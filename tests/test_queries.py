@@ -2,9 +2,10 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from strandweave.plans import oracles, queries
+from strandweave.plans import oracles, queries, views
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ("unique_best_hit", "feature_counts", "feature_overlap_fraction", "nearest_left", "coverage_rle", "ptr_sweep", "pair_classes", "putative_junctions", "color_encode", "alignment_report", "known_variant_band", "weighted_coverage")
@@ -41,3 +42,12 @@ def test_every_oracle_has_a_query(spark):
 def test_plans_use_equi_joins(spark):
     plan = queries.feature_counts(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "PythonUDF" not in plan
+
+
+def test_color_roundtrip_reads_every_letter(spark, duck, monkeypatch):
+    test_query_equals_sql(spark, duck, "color_roundtrip")
+    # a colour that is spoilt behind the shown letters shows
+    encode = queries.color.encode_colors
+    spoilt = lambda c: F.regexp_replace(encode(c), "^(.{99}).", "$1.")
+    monkeypatch.setattr(queries.color, "encode_colors", spoilt)
+    assert queries.color_roundtrip(spark, SF).where("decoded <> read").count() == views.sequences(spark, SF).where("length(seq) > 100").count() > 0
