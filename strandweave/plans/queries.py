@@ -314,9 +314,12 @@ def extend_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads cut from the benchmark items, mapped onto the documents with up to two mismatches."""
-    items = views.sequences(spark, sf_dir, "benchmark", "item_id").where("length(seq) >= 60")
-    reads = items.select(F.col("item_id").cast("string").alias("read_id"), F.substring("seq", 1, 1).alias("primer"), color.encode_colors(F.substring("seq", 1, 27)).alias("colors"))
+    """Reads tiled over the whole benchmark items (read_id: item and offset), mapped onto the documents with up to two mismatches."""
+    items = views.sequences(spark, sf_dir, "benchmark", "item_id").where("length(seq) >= 27")
+    # a read's first letter is its primer, so reads overlap by one letter; the last one ends with the item
+    offsets = F.expr("array_distinct(array_append(sequence(0, length(seq) - 27, 26), length(seq) - 27))")
+    cut = items.select("item_id", "seq", F.explode(offsets).alias("at")).select(F.concat_ws(":", F.col("item_id").cast("string"), F.col("at").cast("string")).alias("read_id"), F.substring(F.col("seq"), F.col("at") + 1, F.lit(27)).alias("seq"))
+    reads = cut.select("read_id", F.substring("seq", 1, 1).alias("primer"), color.encode_colors(F.col("seq")).alias("colors"))
     contigs = views.sequences(spark, sf_dir).select(F.col("doc_id").cast("string").alias("contig"), "seq")
     return mapping.map_reads(reads, contigs, 26, 2)
 

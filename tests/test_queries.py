@@ -1,5 +1,7 @@
 """Registered queries against their SQL, in DuckDB, at the smallest scale."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -51,3 +53,13 @@ def test_color_roundtrip_reads_every_letter(spark, duck, monkeypatch):
     spoilt = lambda c: F.regexp_replace(encode(c), "^(.{99}).", "$1.")
     monkeypatch.setattr(queries.color, "encode_colors", spoilt)
     assert queries.color_roundtrip(spark, SF).where("decoded <> read").count() == views.sequences(spark, SF).where("length(seq) > 100").count() > 0
+
+
+def test_map_reads_tiles_whole_items(spark, tmp_path):
+    draw = random.Random(3)
+    text = lambda n: "".join(draw.choice("ACGT") for _ in range(n)).translate(str.maketrans("ACGT", "ABCD"))
+    long, short = text(80), text(30)
+    spark.createDataFrame([(1, long), (2, short), (3, text(26))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(7, text(11) + long[45:]), (8, short)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.read_id, r.contig, r.pos0) for r in queries.map_reads(spark, str(tmp_path)).collect() if r.strand == "+" and r.mm == 0}
+    assert got == {("1:52", "7", 11 + 52 - 45 + 1), ("1:53", "7", 11 + 53 - 45 + 1), ("2:0", "8", 1), ("2:3", "8", 4)}
