@@ -8,11 +8,14 @@ from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 from .scan import slices
 
+LOWEST = -(1 << 63)  # the key of a null id
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -36,6 +39,39 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores appended until no column of ``df`` has it (Spark ignores case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(df: DataFrame, column: str, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` with the long ``key`` in the order of ``column`` (null: ``LOWEST``), and a table (column, key) where the key isn't the value itself.
+
+    Whole numbers are their own keys; other ids are numbered in a range-partitioned
+    sort of the distinct ones, which is written once and joined back.
+    """
+    if isinstance(df.schema[column].dataType, IntegralType):
+        return df.withColumn(key, F.coalesce(F.col(column).cast("bigint"), F.lit(LOWEST))), None
+    ids = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    ids = materialise(ids.withColumn(key, F.monotonically_increasing_id()), "ids")
+    return df.join(ids, column, "left").select(*df.columns, F.coalesce(key, F.lit(LOWEST)).alias(key)), ids
+
+
+def renamed_ids(df: DataFrame, ids: DataFrame | None, column: str, key: str) -> DataFrame:
+    """Keys of ``numbered`` in ``column`` turned back into ids (``LOWEST``: null)."""
+    if ids is None:
+        return df.withColumn(column, F.nullif(column, F.lit(LOWEST)))
+    (name,) = fresh(df, key)
+    other = ids.select(F.col(key).alias(name), F.col([c for c in ids.columns if c != key][0]).alias(name + "_id"))
+    return df.join(other, F.col(column) == F.col(name), "left").withColumn(column, F.col(name + "_id")).select(*df.columns)
+
+
 def with_arrow(df: DataFrame, fields: Sequence[StructField], compute: Callable[[pa.RecordBatch], list], text: str | None = None) -> DataFrame:
     """Appends columns that ``compute`` makes from each Arrow batch.
 

@@ -1,37 +1,40 @@
 """Line dedup by an exact set-similarity join.
 
-A line is its set of words.  A line is removed if an earlier line (order: doc_id,
-then line number) has the same set, or one with a Jaccard similarity of
-``threshold`` or more; lines of fewer than ``least`` different words stay (the
-registered query and the pipeline use 1: only lines without a word stay).
-
-1. All words of all documents are counted into a fixed-size sketch, which gives
-   one total order of words, rarest first (ties by hash).  Any total order keeps
-   the join exact; rarity keeps its buckets small.
-2. Each line sends a row for every word of its prefix (n - ceil(t n) + 1 words).
-   Lines too short to reach the threshold with any other set (up to three words
-   at 0.8) send none: equal sets are found by grouping, not by the join.
-3. In a word's bucket each line looks for its earliest predecessor that passes
-   the length, positional and bitmap filters, none of which drops a match.  A
-   search stops at the first find, so a large group of like lines costs a few
-   comparisons a line and sends one row a line, not all pairs.
-4. Finds are verified on the full word sets.  Lines whose find failed and that
-   have more candidates send them all in a second round; so no match is lost.
+A line is its set of words; equal sets are one class.  Two classes are linked if
+their Jaccard similarity is ``threshold`` or more.  A line is removed if an earlier
+line (order: doc_id, then line number) is of its class or of a linked one; lines of
+fewer than ``least`` different words stay (the registered query and the pipeline use
+1: only lines without a word stay).
+
+1. All words are counted into a fixed-size sketch, which gives one total order of
+   words, rarest first (ties by hash).  Any total order keeps the join exact;
+   rarity keeps its buckets small.
+2. Each class sends a row (word, class, size, position, bitmap) for every word of
+   its prefix (n - ceil(t n) + 1 words), once a task, in columnar blocks; classes
+   too short to reach the threshold with any other set (up to three words at 0.8)
+   send none.  Words that the sketch counts more than ``HOT`` times are dealt to a
+   triangle of cells, so no word's rows have to fit one task.
+3. In a word's bucket, ordered by size, pairs that pass the length, positional and
+   bitmap filters, none of which drops a match, are joined to groups.  Only a
+   spanning forest leaves the task, never the pairs; so groups hold every link.
+4. Each class of a group is sent once, with its whole set, to its group; groups of
+   more than ``WIDE`` classes are dealt to a triangle of cells of that width.  There
+   every pair is decided on whole sets, and a row a class leaves: its number of
+   links, its earliest linked line, and a root of its linked classes.
 5. Removals are joined back to the documents that have any.
 
-``linked_lines`` asks for more than removals: every pair of classes that is alike,
-so its search doesn't stop at the first find, and a group of like classes costs
-all its pairs.
-
-Words are identified by 32 bits of a 64-bit hash, equal sets by a 64-bit hash.
-Null text counts as empty; a null doc_id counts as the lowest; rows with equal
-doc_id are ordered by line number only, so identical rows don't remove each
-other's lines.  Extra columns stay; ``n_lines``, ``n_removed``, ``n_near`` and
-``first_doc`` replace columns of those names.
+Words are known by a 64-bit hash, here and in the final check; equal sets by a
+64-bit hash.  Null text counts as empty; a null doc_id counts as the lowest; ids
+may be of any type that sorts.  Rows with equal doc_id are ordered by line number
+only, so identical rows don't remove each other's lines.  Extra columns stay,
+whatever their names; ``n_lines``, ``n_removed``, ``n_near`` and ``first_doc`` (and
+``class_id`` and ``n_links``) replace columns of those names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -41,17 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from .common import materialise, with_arrow
+from .common import LOWEST, fresh, materialise, numbered, renamed_ids, with_arrow
 from .decontaminate import expand
 from .scan import mix, release, slices, text_buffer, words
-from .sketch import add, blocks, levels, merged, sketch
+from .sketch import add, blocks, bloom, levels, merged
 
 CELLS = 1 << 20
-BLOOM = 1 << 24
-LOWEST = -(1 << 63)
-_TOKEN_BITS = np.uint64(32)
+HOT = 1 << 16
+WIDE = 2048
 _SALT = np.uint64(0x5851F42D4C957F2D)
-FOUND = "cls bigint, doc bigint, line int, n int, e_cls bigint, e_doc bigint, e_line int, e_n int, more boolean"
+_BIN = np.uint64(0xA0761D6478BD642F)
+_WIDTHS = (16, 8, 4, 2, 1)  # 32-bit lanes of bitmaps
 
 
 class LineSets:
@@ -60,14 +63,13 @@ class LineSets:
     def __init__(self, column: pa.Array, least: int):
         w = words(column)
         breaks = np.flatnonzero(w.data == 10)
-        line = np.searchsorted(breaks, w.start)  # line feeds before the word
-        number = line + w.doc
-        key = np.sort((number.astype(np.uint64) << _TOKEN_BITS) | (w.hash >> np.uint64(32)))
-        key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
-        owner = (key >> _TOKEN_BITS).astype(np.int64)
-        token = key & np.uint64((1 << 32) - 1)
-        start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(key) else np.zeros(0, np.int64)
-        n = np.diff(np.r_[start, len(key)])
+        number = np.searchsorted(breaks, w.start) + w.doc  # line feeds before the word, and documents
+        order = _by_group(number, w.hash, 44)
+        owner, token = number[order], w.hash[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])] if len(token) else np.zeros(0, bool)
+        owner, token = owner[new], token[new]
+        start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
+        n = np.diff(np.r_[start, len(owner)])
         big = n >= least
         self.token = token[np.repeat(big, n)]
         self.n = n[big]
@@ -79,7 +81,6 @@ class LineSets:
         self.line = ids - base[self.doc] if len(ids) else ids
         sums = np.add.reduceat(mix(self.token ^ _SALT), self.first[:-1]) if len(self.n) else np.zeros(0, np.uint64)
         self.cls = mix(sums).astype(np.int64)
-        self.texts = (w, breaks)
 
     def keep(self, rows: np.ndarray) -> None:
         entry, _ = expand(self.first, rows)
@@ -87,31 +88,57 @@ class LineSets:
         self.n, self.doc, self.line, self.cls = self.n[rows], self.doc[rows], self.line[rows], self.cls[rows]
         self.first = np.r_[0, np.cumsum(self.n)].astype(np.int64)
 
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.n)), self.n)
+
+
+def _by_group(group: np.ndarray, value: np.ndarray, shift: int, between: np.ndarray | None = None) -> np.ndarray:
+    """The order by (group, between, value): one 64-bit sort where the top bits of the values decide."""
+    if not len(group):
+        return np.zeros(0, np.int64)
+    if int(group.max()) < 1 << (64 - shift):
+        key = group.astype(np.uint64) << np.uint64(shift)
+        if between is None:
+            key |= value >> np.uint64(64 - shift)
+        else:
+            key |= (between.astype(np.uint64) << np.uint64(shift - 8)) | (value >> np.uint64(72 - shift))
+        order = np.argsort(key)
+        key, v = key[order], value[order]
+        if not ((key[1:] == key[:-1]) & (v[1:] != v[:-1])).any():
+            return order
+    return np.lexsort((value, group) if between is None else (value, between, group))
 
-def _ids(part: pa.RecordBatch) -> np.ndarray:
-    return part.column(0).cast(pa.int64()).fill_null(LOWEST).to_numpy(zero_copy_only=False)
 
+class Seen:
+    """Which classes a task has met before: a cache of fixed size that may forget, but never errs."""
 
-def _first_of_class(sets: LineSets, ids: np.ndarray) -> None:
-    """Of equal sets in this slice, the earliest stays."""
-    order = np.lexsort((sets.line, ids[sets.doc], sets.cls))
-    same = sets.cls[order]
-    sets.keep(np.sort(order[np.r_[True, same[1:] != same[:-1]]]) if len(order) else order)
+    def __init__(self, size: int = 1 << 20):
+        self.held = np.zeros(size, np.int64)
+        self.held[0] = 1  # class 0 belongs here and is new, too
+
+    def new(self, cls: np.ndarray) -> np.ndarray:
+        """Rows whose class is not remembered, one a class."""
+        rows = np.unique(cls, return_index=True)[1]
+        slot = (mix(cls[rows].astype(np.uint64)) & np.uint64(len(self.held) - 1)).astype(np.int64)
+        fresh_ = self.held[slot] != cls[rows]
+        self.held[slot] = cls[rows]
+        return np.sort(rows[fresh_])
 
 
 SCAN = "kind int, cls bigint, doc bigint, line int, block int, counts binary"
 
 
 def _scan(batches, least: int):
-    """Kind 0: the class of each line.  Kind 1: this task's word counts."""
+    """Kind 0: the class of each line.  Kind 1: this task's counts of the words of its classes."""
     schema = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
-    total = np.zeros(CELLS, np.uint32)
+    total, seen = np.zeros(CELLS, np.uint32), Seen()
     for batch in batches:
         for part in slices(batch, "text"):
-            ids, sets = _ids(part), LineSets(part.column(1), least)
-            add(total, mix(sets.token))
+            ids, sets = part.column(0).to_numpy(zero_copy_only=False), LineSets(part.column(1), least)
             n = len(sets.n)
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(sets.cls), pa.array(ids[sets.doc] if n else np.zeros(0, np.int64)), pa.array(sets.line, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+            sets.keep(seen.new(sets.cls))
+            add(total, mix(sets.token))
     if total.any():
         rows = blocks(total)
         n = rows.num_rows
@@ -124,61 +151,94 @@ def needed(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def lanes_of(n: np.ndarray) -> np.ndarray:
-    """64-bit lanes of the bitmap of a set of n words."""
-    return np.select([n <= 48, n <= 160, n <= 400], [1, 2, 4], 8)
+    """32-bit lanes of the bitmap of a set of n words."""
+    return np.select([n <= 40, n <= 96, n <= 200, n <= 400], [1, 2, 4, 8], 16)
 
 
-def bitmaps(sets: LineSets) -> np.ndarray:
-    """Eight lanes a line: the parity of the words at each bit; narrower ones are folded by exclusive or."""
-    bit = mix(sets.token + np.uint64(77))
-    owner = np.repeat(np.arange(len(sets.n)), sets.n)
-    slot = (bit & np.uint64(511)).astype(np.int64)
-    odd = np.bincount(owner * 512 + slot, minlength=len(sets.n) * 512).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(-1, 512), axis=1, bitorder="little").view(np.uint64)
+def bitmaps(sets: LineSets) -> dict[int, np.ndarray]:
+    """By number of lanes, the parity of the words at each bit; narrower maps are folded by exclusive or."""
+    slot = (mix(sets.token + np.uint64(77)) & np.uint64(511)).astype(np.int64)
+    odd = np.bincount(sets.owner() * 512 + slot, minlength=len(sets.n) * 512).astype(np.uint8) & 1
+    maps = {16: np.packbits(odd.reshape(-1, 512), axis=1, bitorder="little").view(np.uint32)}
+    for wide in _WIDTHS[1:]:
+        maps[wide] = maps[2 * wide][:, :wide] ^ maps[2 * wide][:, wide:]
+    return maps
 
 
-def fold(bits: np.ndarray) -> list[np.ndarray]:
-    """The bitmap at 8, 4, 2 and 1 lanes."""
-    out = [bits]
-    while out[-1].shape[1] > 1:
-        half = out[-1].shape[1] // 2
-        out.append(out[-1][:, :half] ^ out[-1][:, half:])
-    return out
+BLOCKS = "bin int, n_rows int, key binary, cls binary, n binary, pos binary, bits binary"
+_BLOCKS = pa.schema([("bin", pa.int32()), ("n_rows", pa.int32()), *[(c, pa.binary()) for c in ("key", "cls", "n", "pos", "bits")]])
 
 
-PREFIX = "token bigint, cls bigint, doc bigint, line int, n int, pos int, bits binary"
+def _prefix_rows(sets: LineSets, rank: np.ndarray, threshold: float):
+    """(word hash, class, n, position, hotness) of the prefixes, and the rows' classes by number."""
+    level = rank[(mix(sets.token) & np.uint64(CELLS - 1)).astype(np.int64)]
+    owner = sets.owner()
+    order = _by_group(owner, sets.token, 40, level)
+    pos = np.arange(len(owner)) - np.repeat(sets.first[:-1], sets.n)
+    length = sets.n - np.ceil(threshold * sets.n - 1e-9).astype(np.int64) + 1
+    chosen = pos < np.repeat(length, sets.n)
+    return mix(sets.token[order[chosen]] ^ _BIN), owner[chosen], pos[chosen], level[order[chosen]]
 
 
-def _prefixes(batches, shared, threshold: float, least: int, words_held=None):
-    """Prefix rows; with ``words_held``, of the words that the filter may hold only."""
-    schema = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("pos", pa.int32()), ("bits", pa.binary())])
-    rank = shared.value
+def _triangle(hash_: np.ndarray, own: np.ndarray, parts: np.ndarray):
+    """Copies of rows for the cells of a triangle of ``parts``: (row, hash of the cell); two rows of a word meet in at least one."""
+    row = np.repeat(np.arange(len(hash_)), parts)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+    low, high = np.minimum(step, own[row]), np.maximum(step, own[row])
+    return row, np.where(parts[row] > 1, mix(hash_[row] + mix(low.astype(np.uint64) * _SALT + high.astype(np.uint64))), hash_[row])
+
+
+def _prefixes(batches, shared, threshold: float, least: int, bins: int, flush: int = 1_000_000):
+    """Prefix rows as columnar blocks, one for each bin and flush."""
+    rank, seen = shared.value, Seen()
+    held, size = [], 0
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
-            ids, sets = _ids(part), LineSets(part.column(1), least)
-            _first_of_class(sets, ids)
+            sets = LineSets(part.column(1), least)
+            sets.keep(seen.new(sets.cls))
             sets.keep(np.flatnonzero(sets.n >= threshold * (sets.n + 1) - 1e-9))  # n words can at best match n + 1
             if not len(sets.n):
                 continue
-            level = rank[(mix(sets.token) & np.uint64(CELLS - 1)).astype(np.int64)]
-            owner = np.repeat(np.arange(len(sets.n)), sets.n)
-            order = np.lexsort((sets.token, level, owner))
-            pos = np.arange(len(owner)) - np.repeat(sets.first[:-1], sets.n)
-            length = sets.n - np.ceil(threshold * sets.n - 1e-9).astype(np.int64) + 1
-            chosen = pos < np.repeat(length, sets.n)
-            if words_held is not None:
-                chosen &= _bits(words_held.value, mix(sets.token[order]))
-            line, token, pos = owner[chosen], sets.token[order][chosen], pos[chosen]
-            folded, lanes = fold(bitmaps(sets)), lanes_of(sets.n)
-            packed = np.empty(len(sets.n), object)
-            for k, wide in zip(folded, (8, 4, 2, 1), strict=True):
-                for i in np.flatnonzero(lanes == wide):
-                    packed[i] = k[i].tobytes()
-            bits = pa.array(packed.tolist(), pa.binary()).take(pa.array(line))
-            yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(sets.cls[line]), pa.array(ids[sets.doc[line]]), pa.array(sets.line[line], pa.int32()), pa.array(sets.n[line], pa.int32()), pa.array(pos, pa.int32()), bits], schema=schema)
-
-
-def _groups(batches, key: str):
+            token, line, pos, level = _prefix_rows(sets, rank, threshold)
+            parts = np.maximum(1, np.ceil(np.exp2(level / 8) / HOT)).astype(np.int64)
+            row, cell = _triangle(token, (mix(sets.cls[line].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64), parts)
+            line, pos = line[row], pos[row]
+            n = sets.n[line]
+            lanes, maps = lanes_of(n), bitmaps(sets)
+            at = np.r_[0, np.cumsum(lanes)].astype(np.int64)
+            bits = np.zeros(at[-1], np.uint32)
+            for wide in _WIDTHS:
+                some = np.flatnonzero(lanes == wide)
+                bits[at[some][:, None] + np.arange(wide)] = maps[wide][line[some]]
+            held.append((cell, sets.cls[line], n, pos, bits))
+            size += len(cell)
+            if size >= flush:
+                yield _packed(held, bins)
+                held, size = [], 0
+    if held:
+        yield _packed(held, bins)
+
+
+def _packed(held: list, bins: int) -> pa.RecordBatch:
+    cell, cls, n, pos, bits = (np.concatenate(x) for x in zip(*held, strict=True))
+    bin_ = (cell % np.uint64(bins)).astype(np.int64)
+    key = (cell >> np.uint64(32)).astype(np.uint32)
+    order = np.argsort((bin_.astype(np.uint64) << np.uint64(32)) | key)
+    lanes = lanes_of(n)
+    entry, _ = expand(np.r_[0, np.cumsum(lanes)].astype(np.int64), order)
+    start = np.flatnonzero(np.r_[True, np.diff(bin_[order]) > 0])
+    ends = np.r_[start, len(order)]
+
+    def binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+    least = lambda x: x.astype(np.uint8 if x.max() < 256 else np.uint16 if x.max() < 65536 else np.uint32)
+    lane_ends = np.r_[0, np.cumsum(lanes[order])][ends]
+    columns = [binary(key[order], ends), binary(cls[order], ends), binary(least(n[order]), ends), binary(least(pos[order]), ends), binary(bits[entry], lane_ends)]
+    return pa.RecordBatch.from_arrays([pa.array(bin_[order][start], pa.int32()), pa.array(np.diff(ends), pa.int32()), *columns], schema=_BLOCKS)
+
+
+def _groups(batches, key: str) -> Iterator[pa.Table]:
     """Tables of whole groups from batches that are sorted by ``key``."""
     rest = []
     for batch in batches:
@@ -198,243 +258,290 @@ def _groups(batches, key: str):
         yield pa.Table.from_batches(rest)
 
 
-class Buckets:
-    """Rows of whole buckets, each line once a bucket, in order of (token, position)."""
-
-    def __init__(self, table: pa.Table, threshold: float):
-        get = lambda c: table.column(c).to_numpy()
-        token, doc, line, cls = get("token"), get("doc"), get("line"), get("cls")
-        order = np.lexsort((line, doc, cls, token))
-        t, c = token[order], cls[order]
-        order = order[np.r_[True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])]]
-        order = order[np.lexsort((line[order], doc[order], token[order]))]
-        self.token, self.doc, self.line, self.cls = token[order], doc[order], line[order], cls[order]
-        self.n, self.pos = get("n")[order].astype(np.int64), get("pos")[order].astype(np.int64)
-        self.probe = get("probe")[order] if "probe" in table.column_names else np.ones(len(order), bool)
-        start = np.flatnonzero(np.r_[True, self.token[1:] != self.token[:-1]])
-        self.start = np.repeat(start, np.diff(np.r_[start, len(order)]))
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the groups of a and b in ``label``, where every member has its group's least member."""
+    while True:
+        a, b = label[a], label[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            short = label[label]
+            if (short == label).all():
+                break
+            label[:] = short
+
+
+class Bucket:
+    """The rows of whole bins, each class once a word, in order of (word, size)."""
+
+    def __init__(self, table: pa.Table):
+        rows = table.column("n_rows").to_numpy().astype(np.int64)
+        key, cls, n, pos, bits = [], [], [], [], []
+        for i, (k, c, x, y, z) in enumerate(zip(*(table.column(m).to_pylist() for m in ("key", "cls", "n", "pos", "bits")), strict=True)):
+            kind = lambda raw, m=rows[i]: np.frombuffer(raw, f"<u{len(raw) // m}").astype(np.int64)
+            key.append(kind(k))
+            cls.append(np.frombuffer(c, np.int64))
+            n.append(kind(x))
+            pos.append(kind(y))
+            bits.append(np.frombuffer(z, np.uint32))
+        key, cls, n, pos, bits = (np.concatenate(x) for x in (key, cls, n, pos, bits))
+        code = (key.astype(np.uint64) << np.uint64(32)) | (np.minimum(n, 65535).astype(np.uint64) << np.uint64(16)) | (cls & 65535).astype(np.uint64)
+        order = np.argsort(code)
+        k, c = key[order], cls[order]
+        order = order[np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]]
+        # words of one class only have no pairs
+        k = key[order]
+        alone = np.r_[True, k[1:] != k[:-1]] & np.r_[k[1:] != k[:-1], True]
+        order = order[~alone]
+        self.code, self.cls, self.n, self.pos = code[order], cls[order], n[order], pos[order]
         self.lanes = lanes_of(self.n)
-        column = table.column("bits").combine_chunks()
-        at = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][order]
-        raw = np.frombuffer(column.buffers()[2], np.uint8)
-        self.fold: dict[int, np.ndarray] = {}
-        for wide in (8, 4, 2, 1):
-            bits = np.zeros((len(order), wide), np.uint64)
-            if 2 * wide in self.fold:
-                big = self.fold[2 * wide]
-                bits[:] = big[:, :wide] ^ big[:, wide:]
+        at = np.r_[0, np.cumsum(lanes_of(n))].astype(np.int64)[:-1][order]
+        self.bits = {wide: np.zeros((len(order), wide), np.uint32) for wide in _WIDTHS}
+        for i, wide in enumerate(_WIDTHS):
             own = np.flatnonzero(self.lanes == wide)
-            bits[own] = raw[at[own][:, None] + np.arange(8 * wide)].view(np.uint64)
-            self.fold[wide] = bits
-        self.one = self.fold[1].ravel()
-        self.spare = np.minimum(255, self.n * (1 - threshold) / threshold + 1).astype(np.uint8)
-
-    def alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> np.ndarray:
-        """Which pairs of rows pass the length, positional and bitmap filters."""
-        # the words in which a line of n may differ from any partner that is alike
-        near = np.flatnonzero(np.bitwise_count(self.one[c] ^ self.one[e]) <= self.spare[c])
-        out = np.zeros(len(c), bool)
-        out[near] = self._alike(c[near], e[near], threshold)
-        return out
-
-    def _alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> np.ndarray:
+            self.bits[wide][own] = bits[at[own][:, None] + np.arange(wide)]
+            for less in _WIDTHS[i + 1 :]:
+                big = self.bits[2 * less][own]
+                self.bits[less][own] = big[:, :less] ^ big[:, less:]
+
+    def pairs(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, row of a class of at most its size and long enough), in blocks."""
+        rows = np.arange(len(self.code))
+        shortest = np.minimum(65535, np.ceil(threshold * self.n - 1e-9)).astype(np.uint64)
+        low = np.searchsorted(self.code, (self.code & np.uint64(0xFFFFFFFF << 32)) | (shortest << np.uint64(16)))
+        count = rows - low
+        ends = np.cumsum(count)
+        at = 0
+        while at < len(rows):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, "right")))
+            c = np.repeat(rows[at:stop], count[at:stop])
+            yield c, low[c] + np.arange(len(c)) - np.repeat(ends[at:stop] - count[at:stop] - (ends[at - 1] if at else 0), count[at:stop])
+            at = stop
+
+    def alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that pass the length, positional and bitmap filters."""
         n, m = self.n[c], self.n[e]
         least = needed(n, m, threshold)
-        ok = np.flatnonzero((np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9) & (1 + np.minimum(n - self.pos[c], m - self.pos[e]) - 1 >= least))
-        spare = n + m - 2 * least
-        for wide in (1, 2, 4, 8):
-            able = (self.lanes[c[ok]] >= wide) & (self.lanes[e[ok]] >= wide) if wide > 1 else np.ones(len(ok), bool)
-            test = ok[able]
-            far = np.bitwise_count(self.fold[wide][c[test]] ^ self.fold[wide][e[test]]).sum(axis=1) > spare[test]
-            if far.any():
-                gone = np.zeros(len(c), bool)
-                gone[test[far]] = True
-                ok = ok[~gone[ok]]
-        out = np.zeros(len(c), bool)
-        out[ok] = True
-        return out
-
-
-def _earliest(batches, threshold: float, every: bool, whole: bool = False):
-    """Each line's earliest predecessor in each bucket that passes the filters; with ``every``, all of the probing lines'; with ``whole``, also those at its own place (of a row with the same id)."""
-    schema = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("e_cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("e_n", pa.int32()), ("more", pa.bool_())])
-    sent: set = set()
-    for table in _groups(batches, "token"):
+        ok = (np.minimum(n - self.pos[c], m - self.pos[e]) >= least) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
+        c, e, spare = c[ok], e[ok], (n + m - 2 * least)[ok]
+        lanes = np.minimum(self.lanes[c], self.lanes[e])
+        for wide in _WIDTHS[::-1]:
+            able = np.flatnonzero(lanes >= wide)
+            far = np.zeros(len(c), bool)
+            far[able] = np.bitwise_count(self.bits[wide][c[able]] ^ self.bits[wide][e[able]]).sum(axis=1) > spare[able]
+            c, e, spare, lanes = c[~far], e[~far], spare[~far], lanes[~far]
+        return c, e
+
+
+def _forest(batches, threshold: float):
+    """Links (class, least class) of a spanning forest of the pairs that pass the filters, for each bin."""
+    schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
+    for table in _groups(batches, "bin"):
+        b = Bucket(table)
+        names, ids = np.unique(b.cls, return_inverse=True)
+        label = np.arange(len(names))
+        for c, e in b.pairs(threshold):
+            apart = label[ids[c]] != label[ids[e]]
+            c, e = b.alike(c[apart], e[apart], threshold)
+            unite(label, ids[c], ids[e])
+        led = np.flatnonzero(label != np.arange(len(names)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[led]), pa.array(names[label[led]])], schema=schema)
+        del table, b
         release()
-        b = Buckets(table, threshold)
-        rows = np.arange(len(b.token))
-        active = rows[(rows > b.start) & b.probe & ((b.doc > b.doc[b.start]) | (b.line > b.line[b.start]) | whole)]
-        low, high, found = 0, 16, []
-        while len(active):
-            reach = np.minimum(active - b.start[active], high) - low
-            for part in np.array_split(np.arange(len(active)), max(1, int(reach.sum() // 1_000_000))):
-                count = reach[part]
-                owner = np.repeat(part, count)
-                step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-                c = active[owner]
-                e = b.start[c] + low + step
-                ok = b.alike(c, e, threshold) & ((b.doc[e] < b.doc[c]) | (b.line[e] < b.line[c]) | whole)
-                c, e = c[ok], e[ok]
-                if not every and len(c):
-                    first = np.r_[True, c[1:] != c[:-1]]
-                    c, e = c[first], e[first]
-                found.append((c, e))
-            if not every:
-                done = np.zeros(len(b.token), bool)
-                for c, _ in found:
-                    done[c] = True
-                active = active[~done[active]]
-            low, high = high, high * 4
-            active = active[active - b.start[active] > low]
-        if found:
-            c, e = (np.concatenate(x) for x in zip(*found, strict=True))
-            more = (c - b.start[c] > e - b.start[c] + 1) if not every else np.zeros(len(c), bool)
-            pairs = list(zip(b.cls[c].tolist(), b.cls[e].tolist(), more.tolist(), strict=True))
-            new = [i for i, p in enumerate(pairs) if p not in sent]
-            if len(sent) > 500_000:
-                sent.clear()
-            sent.update(pairs)
-            c, e, more = c[new], e[new], more[new]
-            yield pa.RecordBatch.from_arrays([pa.array(b.cls[c]), pa.array(b.doc[c]), pa.array(b.line[c], pa.int32()), pa.array(b.n[c], pa.int32()), pa.array(b.cls[e]), pa.array(b.doc[e]), pa.array(b.line[e], pa.int32()), pa.array(b.n[e], pa.int32()), pa.array(more)], schema=schema)
 
 
 def _wanted_sets(batches, shared, least: int):
-    """The word sets of the lines whose class the filter may hold, each once a slice."""
+    """The word sets of the classes that the filter may hold, each once a task."""
     schema = pa.schema([("cls", pa.int64()), ("tokens", pa.binary())])
-    held = shared.value
+    held, seen = shared.value, Seen()
     for batch in batches:
         for part in slices(batch, "text"):
             sets = LineSets(part.column(1), least)
-            _first_of_class(sets, _ids(part))
-            h = mix(sets.cls.astype(np.uint64))
-            hit = np.flatnonzero(_bits(held, h) & _bits(held, h >> np.uint64(32)))
-            sets.keep(hit)
-            packed = (sets.token & np.uint64(0xFFFFFFFF)).astype("<u4")
-            tokens = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer((sets.first * 4).astype(np.int32)), pa.py_buffer(packed)])
+            hit = np.flatnonzero(held.holds(sets.cls))
+            sets.keep(hit[seen.new(sets.cls[hit])])
+            tokens = pa.Array.from_buffers(pa.binary(), len(sets.n), [None, pa.py_buffer((sets.first * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(sets.token))])
             yield pa.RecordBatch.from_arrays([pa.array(sets.cls), tokens], schema=schema)
 
 
-def _prefix_words(batch: pa.RecordBatch, shared, threshold: float) -> np.ndarray:
-    """Hashes of the prefix words of packed sets."""
-    found = []
-    for packed in batch.column(0).to_pylist():
-        token = np.frombuffer(packed or b"", "<u4").astype(np.uint64)
-        level = shared.value[(mix(token) & np.uint64(CELLS - 1)).astype(np.int64)]
-        found.append(token[np.lexsort((token, level))][: len(token) - int(np.ceil(threshold * len(token) - 1e-9)) + 1])
-    return mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+LINKS = "cls bigint, doc bigint, line int, degree bigint, e_doc bigint, e_line int, root_doc bigint"
+_LINKS = pa.schema([("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("degree", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("root_doc", pa.int64())])
 
 
-def _bits(held: np.ndarray, h: np.ndarray) -> np.ndarray:
-    slot = (h & np.uint64(BLOOM - 1)).astype(np.int64)
-    return (held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+class Cells:
+    """Word sets of whole cells, each class once a cell, in order of (cell, first place)."""
 
-
-def _class_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    h = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64))
-    return np.concatenate([h, h >> np.uint64(32)])
-
-
-def _verify(batches, threshold: float):
-    """Checks pairs on whole sets; a failed line with more candidates keeps its set for the second round."""
-    schema = pa.schema([("cls", pa.int64()), ("e_doc", pa.int64()), ("e_line", pa.int32()), ("ok", pa.bool_()), ("more", pa.bool_()), ("tokens", pa.binary())])
-    for batch in batches:
-        ok, kept = [], []
-        for x, y, more in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-            u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            both = len(np.intersect1d(u, v))
-            ok.append(both >= threshold * (len(u) + len(v) - both) - 1e-9)
-            kept.append(x if more and not ok[-1] else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ok, pa.bool_()), batch.column(5), pa.array(kept, pa.binary())], schema=schema)
+    def __init__(self, table: pa.Table):
+        get = lambda c: table.column(c).to_numpy()
+        cell, cls, doc, line = get("cell"), get("cls"), get("doc"), get("line")
+        order = np.lexsort((cls, line, doc, cell))
+        k, c = cell[order], cls[order]
+        order = order[np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]]
+        self.cell, self.cls, self.doc, self.line = cell[order], cls[order], doc[order], line[order]
+        self.part = get("part")[order]  # -1 where every pair counts; else only pairs of different parts
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").take(pa.array(order)).to_pylist()]
+        self.n = np.array([len(x) for x in sets], np.int64)
+        self.first = np.r_[0, np.cumsum(self.n)].astype(np.int64)
+        self.token = np.unique(np.concatenate(sets), return_inverse=True)[1] if sets else np.zeros(0, np.int64)
+
+    def reached(self, both: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+        return both >= threshold * (self.n[x] + self.n[y] - both) - 1e-9
+
+    def small(self, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs within the cells of ``rows``, each way, of cells with few classes."""
+        cell = self.cell[rows]
+        start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        count = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
+        c = np.repeat(np.arange(len(rows)), count)
+        e = rows[c - 1 - (np.arange(len(c)) - np.repeat(np.cumsum(count) - count, count))]
+        c = rows[c]
+        ok = (np.minimum(self.n[c], self.n[e]) >= threshold * np.maximum(self.n[c], self.n[e]) - 1e-9) & self.counts(c, e)
+        c, e = c[ok], e[ok]
+        top = int(self.token.max(initial=0)) + 1
+        held = np.sort(np.repeat(np.arange(len(self.n)), self.n) * top + self.token)
+        both = np.zeros(len(c), np.int64)
+        for at in range(0, len(c), 50_000):
+            x, y = c[at : at + 50_000], e[at : at + 50_000]
+            entry, pair = expand(self.first, x)
+            wanted = y[pair] * top + self.token[entry]
+            found = held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted
+            both[at : at + 50_000] = np.bincount(pair[found], minlength=len(x))
+        ok = self.reached(both, c, e, threshold)
+        return np.r_[c[ok], e[ok]], np.r_[e[ok], c[ok]]
+
+    def counts(self, c: np.ndarray, e: np.ndarray) -> np.ndarray:
+        return (self.part[c] < 0) | (self.part[c] != self.part[e])
+
+    def large(self, rows: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of a cell's classes are linked, as a matrix: overlaps of frequent words by matrix products, of the others word by word."""
+        k = len(rows)
+        entry, owner = expand(self.first, rows)
+        names, token, times = np.unique(self.token[entry], return_inverse=True, return_counts=True)
+        both = np.zeros((k, k), np.float32)
+        often = np.flatnonzero(times > 64)
+        column = np.full(len(names), -1)
+        column[often] = np.arange(len(often))
+        for at in range(0, len(often), 1024):
+            some = (column[token] >= at) & (column[token] < at + 1024)
+            x = np.zeros((k, min(1024, len(often) - at)), np.float32)
+            x[owner[some], column[token[some]] - at] = 1
+            both += x @ x.T
+        some = np.flatnonzero((times[token] > 1) & (times[token] <= 64))
+        some = some[np.argsort(token[some], kind="stable")]
+        t, o = token[some], owner[some]
+        start = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, np.int64)
+        before = np.arange(len(t)) - np.repeat(start, np.diff(np.r_[start, len(t)]))
+        for step in range(1, int(before.max(initial=0)) + 1):
+            i = np.flatnonzero(before >= step)
+            np.add.at(both, (o[i], o[i - step]), 1)
+            np.add.at(both, (o[i - step], o[i]), 1)
+        n = self.n[rows].astype(np.float64)
+        out = np.zeros((k, k), bool)
+        for at in range(0, k, 256):
+            part = both[at : at + 256].astype(np.float64)
+            out[at : at + 256] = part >= threshold * (n[at : at + 256, None] + n[None] - part) - 1e-9
+        np.fill_diagonal(out, False)
+        if k and self.part[rows[0]] >= 0:
+            out &= self.part[rows][:, None] != self.part[rows][None]
+        return out
 
 
-def _verify_pairs(batches, threshold: float):
-    """The pairs (cls, other) whose whole sets are alike."""
-    schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
-    for batch in batches:
-        ok = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            both = len(np.intersect1d(u, v, assume_unique=True))
-            ok.append(both >= threshold * (len(u) + len(v) - both) - 1e-9)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(ok, pa.bool_()))
+def _decide(batches, threshold: float, few: int = 48):
+    """Every pair of each cell, decided on whole sets; a row for each class with a link."""
+    for table in _groups(batches, "cell"):
+        cells = Cells(table)
+        start = np.flatnonzero(np.r_[True, cells.cell[1:] != cells.cell[:-1]])
+        width = np.diff(np.r_[start, len(cells.cell)])
+        total = len(cells.cell)
+        degree, earliest, root = np.zeros(total, np.int64), np.full(total, total), np.arange(total)
+        c, e = cells.small(np.flatnonzero(np.repeat(width <= few, width)), threshold)
+        degree += np.bincount(c, minlength=total)
+        np.minimum.at(earliest, c, e)
+        unite(root, c, e)
+        for s, w in zip(start[width > few].tolist(), width[width > few].tolist(), strict=True):
+            linked = cells.large(np.arange(s, s + w), threshold)
+            degree[s : s + w] = linked.sum(axis=1)
+            earliest[s : s + w] = np.where(linked.any(axis=1), s + linked.argmax(axis=1), total)
+            label = np.arange(w)
+            while True:
+                near = np.array([label[x].min(initial=w) for x in linked])
+                new = np.minimum(label, near)
+                new = new[new]
+                if (new == label).all():
+                    break
+                label = new
+            root[s : s + w] = s + label
+        some = np.flatnonzero(degree)
+        near = earliest[some]
+        yield pa.RecordBatch.from_arrays([pa.array(cells.cls[some]), pa.array(cells.doc[some]), pa.array(cells.line[some], pa.int32()), pa.array(degree[some]), pa.array(cells.doc[near]), pa.array(cells.line[near], pa.int32()), pa.array(cells.doc[root[some]])], schema=_LINKS)
+        release()
 
 
-def _scanned(docs: DataFrame, least: int):
-    """Every line's class, and the broadcast order of words."""
-    scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
-    rank = docs.sparkSession.sparkContext.broadcast(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
-    return scan.where("kind = 0").select("cls", "doc", "line"), rank
+@dataclass
+class LineJoin:
+    """The join's results: ``classes`` (cls, doc, line, times, degree, e_doc, e_line) that are repeated or linked, ``lines`` (cls, doc, line) of them, and ``near`` pairs of documents that linked classes connect."""
 
+    classes: DataFrame
+    lines: DataFrame
+    near: DataFrame
+    ids: DataFrame | None
+    key: str
 
-def _sets_of(docs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """(cls, tokens): the word sets of ``classes``, and of the few more that the filter lets pass."""
-    held = docs.sparkSession.sparkContext.broadcast(np.packbits(sketch(classes, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
-    return docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary").groupBy("cls").agg(F.min("tokens").alias("tokens"))
 
+def join_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> LineJoin:
+    """Every link between the lines of ``df``."""
+    from .neardup import components  # which imports this module
 
-def all_links(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(lines, pairs) of ``docs`` with columns doc and text: every line's class, and every pair of classes (cls < other) that are alike."""
-    lines, rank = _scanned(docs, least)
-    dealt = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least), PREFIX).repartition(F.col("token")).sortWithinPartitions("token")
-    found = dealt.mapInArrow(lambda x: _earliest(x, threshold, True, True), FOUND)
-    found = materialise(found.select(F.least("cls", "e_cls").alias("cls"), F.greatest("cls", "e_cls").alias("other")).distinct(), "line-candidates")
-    sets = _sets_of(docs, found.select("cls").unionByName(found.select(F.col("other").alias("cls"))), least)
-    one = found.join(sets, "cls").select("cls", "other", F.col("tokens").alias("a"))
-    two = one.join(sets.select(F.col("cls").alias("other"), F.col("tokens").alias("b")), "other").select("cls", "other", "a", "b")
-    return lines, materialise(two.mapInArrow(lambda x: _verify_pairs(x, threshold), "cls bigint, other bigint"), "line-pairs")
+    (key,) = fresh(df, "doc_key")
+    docs, ids = numbered(df.select(doc_id, text), doc_id, key)
+    return _joined(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), threshold, least, ids, key, components)
 
 
-def similar_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(lines, links) of ``docs`` with columns doc and text: every line's class, and for each class that an earlier one resembles the earliest such line found."""
+def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None, key: str, components) -> LineJoin:
     spark = docs.sparkSession
-    lines, rank = _scanned(docs, least)
-    prefixes = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least), PREFIX)
-
-    def search(rows: DataFrame, every: bool) -> DataFrame:
-        dealt = rows.repartition(F.col("token")).sortWithinPartitions("token")
-        found = dealt.mapInArrow(lambda x: _earliest(x, threshold, every), FOUND)
-        return materialise(found.groupBy("cls", "e_cls").agg(F.min(F.struct("e_doc", "e_line")).alias("e"), F.max("more").alias("more")), "line-candidates")
-
-    def verify(found: DataFrame) -> DataFrame:
-        ends = found.select("cls").unionByName(found.select(F.col("e_cls").alias("cls")))
-        sets = _sets_of(docs, ends, least)
-        one = found.join(sets, "cls").select("cls", "e_cls", "e.e_doc", "e.e_line", F.col("tokens").alias("a"), "more")
-        two = one.join(sets.withColumnRenamed("cls", "e_cls").withColumnRenamed("tokens", "b"), "e_cls").select("cls", "e_doc", "e_line", "a", "b", "more")
-        checked = two.mapInArrow(lambda x: _verify(x, threshold), "cls bigint, e_doc bigint, e_line int, ok boolean, more boolean, tokens binary")
-        good = F.when(F.col("ok"), F.struct("e_doc", "e_line"))
-        return materialise(checked.groupBy("cls").agg(F.min(good).alias("e"), F.max("more").alias("more"), F.max("tokens").alias("tokens")), "line-links")
-
-    checked = verify(search(prefixes, False))
-    links = checked.where("e is not null").select("cls", "e.e_doc", "e.e_line")
-    open_ = checked.where("e is null and more").select("cls", "tokens")
-    if not open_.isEmpty():  # only the buckets of these lines' prefixes are dealt again
-        held = spark.sparkContext.broadcast(np.packbits(sketch(open_.select("tokens"), BLOOM, partial(_prefix_words, shared=rank, threshold=threshold)) > 0, bitorder="little"))  # 2 MB
-        some = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, held), PREFIX)
-        marked = some.join(open_.select("cls", F.lit(True).alias("probe")), "cls", "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
-        again = search(marked, True)
-        if not again.isEmpty():
-            links = links.unionByName(verify(again).where("e is not null").select("cls", "e.e_doc", "e.e_line"))
-    return lines, links
-
-
-def removals(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
-    """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of that line."""
-    return _removals(*similar_lines(docs, threshold, least))
-
-
-def _removals(lines: DataFrame, links: DataFrame) -> DataFrame:
+    send = spark.sparkContext.broadcast
+    scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
+    rank = send(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
+    lines = scan.where("kind = 0").select("cls", "doc", "line")
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
-    classes = firsts.join(links, "cls", "left").where("times > 1 or e_doc is not null")
-    hit = lines.join(classes, "cls")
-    later = (F.col("doc") > F.col("first.doc")) | (F.col("line") > F.col("first.line"))
-    hit = hit.where(later | F.col("e_doc").isNotNull())
-    source = F.when(later, F.least("first.doc", F.coalesce("e_doc", "first.doc"))).otherwise(F.col("e_doc"))
-    return hit.groupBy("doc").agg(F.collect_list(F.struct("line", "cls", (~later).alias("near"), source.alias("source"))).alias("lines"))
-
-
-def _apply(batch: pa.RecordBatch, column: str, least: int) -> list:
+    firsts = materialise(firsts.select("cls", "first.doc", "first.line", "times"), "line-firsts")
+    bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, bins), BLOCKS).repartitionById(bins, F.col("bin")).sortWithinPartitions("bin")
+    forest = dealt.mapInArrow(partial(_forest, threshold=threshold), "cls bigint, other bigint")
+    groups = materialise(components(forest), "line-groups")
+    held = send(bloom(groups.select("node"), groups.count()))  # 16 MB at most
+    sizes = groups.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WIDE).select("comp", F.ceil(F.col("n") / WIDE).cast("int").alias("parts"))
+    places = groups.withColumnRenamed("node", "cls").join(firsts.drop("times"), "cls").join(sizes, "comp", "left")
+    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    triangle = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.least(i, F.col("own")).alias("i"), F.greatest(i, F.col("own")).alias("j")))
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    spread = places.withColumn("own", own).withColumn("at", F.explode(F.when(F.col("parts").isNull(), whole).otherwise(triangle)))
+    spread = spread.select("cls", "doc", "line", F.xxhash64("comp", "at.i", "at.j").alias("cell"), F.when(F.col("at.i") < F.col("at.j"), F.col("own")).otherwise(F.lit(-1)).alias("part"))
+    sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary")
+    rows = sets.join(materialise(spread, "line-cells"), "cls").select("cell", "part", "cls", "doc", "line", "tokens")
+    decided = rows.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(partial(_decide, threshold=threshold), LINKS)
+    links = materialise(decided, "line-links")
+    degrees = links.groupBy("cls").agg(F.sum("degree").alias("degree"), F.min(F.struct("e_doc", "e_line")).alias("e"))
+    classes = firsts.join(degrees, "cls", "left").where("times > 1 or degree is not null")
+    classes = materialise(classes.select("cls", "doc", "line", "times", F.coalesce("degree", F.lit(0)).alias("degree"), "e.e_doc", "e.e_line"), "line-classes")
+    return LineJoin(classes, lines, links.select("doc", F.col("root_doc").alias("other")).distinct(), ids, key)
+
+
+def removals(joined: LineJoin) -> DataFrame:
+    """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of the earliest such line."""
+    classes = joined.classes.select("cls", F.struct("doc", "line").alias("first"), F.when(F.col("e_doc").isNotNull(), F.struct(F.col("e_doc").alias("doc"), F.col("e_line").alias("line"))).alias("e"))
+    here = F.struct("doc", "line")
+    hit = joined.lines.join(classes, "cls").withColumn("later", here > F.col("first")).withColumn("near", F.coalesce(F.col("e") < here, F.lit(False)))
+    hit = hit.where("later or near")
+    source = F.least(F.when(F.col("later"), F.col("first.doc")), F.when(F.col("near"), F.col("e.doc")))
+    return hit.groupBy("doc").agg(F.collect_list(F.struct("line", "cls", (~F.col("later")).alias("near"), source.alias("source"))).alias("lines"))
+
+
+def _apply(batch: pa.RecordBatch, column: str, lost: str, least: int) -> list:
     index = batch.schema.get_field_index
-    texts, lists = batch.column(index(column)), batch.column(index("_lines")).to_pylist()
+    texts, lists = batch.column(index(column)), batch.column(index(lost)).to_pylist()
     data, offsets = text_buffer(texts)
     n_lines = np.diff(np.r_[0, np.cumsum(data == 10, dtype=np.int64)][offsets]) + 1
     out, removed, near, source = texts.to_pylist(), np.zeros(len(lists), np.int64), np.zeros(len(lists), np.int64), [None] * len(lists)
@@ -450,63 +557,62 @@ def _apply(batch: pa.RecordBatch, column: str, least: int) -> list:
     return [out, pa.array(n_lines), pa.array(removed), pa.array(near), source]
 
 
-def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> DataFrame:
-    """The documents with their later lines removed from ``text``; appends n_lines (before), n_removed, n_near (of these, by similarity alone) and first_doc (the lowest document that a removed line repeats)."""
-    docs = df.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    return _without(df, removals(docs, threshold, least), doc_id, text, least)
-
+def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5, joined: LineJoin | None = None) -> DataFrame:
+    """The documents with their later lines removed from ``text``; appends n_lines (before), n_removed, n_near (of these, by similarity alone) and first_doc (the lowest document that a removed line repeats).
 
-def _without(df: DataFrame, lost: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
-    lost = materialise(lost, "line-removals")
-    held = df.sparkSession.sparkContext.broadcast(np.packbits(sketch(lost.select("doc"), BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
+    ``joined`` is the result of ``join_lines`` over the same documents, where it is at hand.
+    """
+    joined = joined or join_lines(df, doc_id, text, threshold, least)
+    lost = materialise(removals(joined), "line-removals")
+    held = df.sparkSession.sparkContext.broadcast(bloom(lost.select("doc"), lost.count()))  # 16 MB at most
 
     @F.pandas_udf("boolean")
     def may_lose(doc: pd.Series) -> pd.Series:
-        h = mix(doc.to_numpy(np.int64).astype(np.uint64))
-        return pd.Series(_bits(held.value, h) & _bits(held.value, h >> np.uint64(32)))
+        return pd.Series(held.value.holds(doc.to_numpy(np.int64)))
 
-    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST))
     names = ["n_lines", "n_removed", "n_near", "first_doc"]
-    flagged = df.drop(*names).withColumn("_key", key).withColumn("_may", may_lose("_key"))
+    df = df.drop(*[n for n in names if n != doc_id])
+    key, may, found = fresh(df, "doc_key", "may_lose", "lost_lines")
+    flagged = _with_key(df, doc_id, key, joined).withColumn(may, may_lose(key))
+    order = [*[c for c in df.columns if c not in names], *names]
     # texts that lose nothing stay where they are; only the others are shuffled to their removals
-    whole = flagged.where(~F.col("_may")).withColumn("n_lines", (F.length(F.coalesce(text, F.lit(""))) - F.length(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1).cast("bigint"))
-    whole = whole.withColumn("n_removed", F.lit(0).cast("bigint")).withColumn("n_near", F.lit(0).cast("bigint")).withColumn("first_doc", F.lit(None).cast("bigint"))
+    plain = F.coalesce(text, F.lit(""))
+    whole = flagged.where(~F.col(may)).withColumn("n_lines", (F.length(plain) - F.length(F.replace(plain, F.lit("\n"), F.lit(""))) + 1).cast("bigint"))
+    whole = whole.withColumns({"n_removed": F.lit(0).cast("bigint"), "n_near": F.lit(0).cast("bigint"), "first_doc": F.lit(None).cast("bigint")})
     fields = [StructField(text, StringType()), *[StructField(n, LongType()) for n in names]]
-    joined = flagged.where("_may").join(lost.select(F.col("doc").alias("_key"), F.col("lines").alias("_lines")), "_key", "left")
-    order = [*[c for c in df.columns if c not in names], *names]
-    return whole.select(*order).unionByName(with_arrow(joined, fields, partial(_apply, column=text, least=least), text).select(*order))
+    some = flagged.where(may).join(lost.select(F.col("doc").alias(key), F.col("lines").alias(found)), key, "left")
+    out = whole.select(*order).unionByName(with_arrow(some, fields, partial(_apply, column=text, lost=found, least=least), text).select(*order))
+    return renamed_ids(out, joined.ids, "first_doc", joined.key)
+
+
+def _with_key(df: DataFrame, doc_id: str, key: str, joined: LineJoin) -> DataFrame:
+    if joined.ids is None:
+        return df.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)))
+    return df.join(joined.ids.withColumnRenamed(joined.key, key), doc_id, "left").select(*df.columns, F.coalesce(key, F.lit(LOWEST)).alias(key))
+
+
+def with_links(df: DataFrame, joined: LineJoin, doc_id: str = "doc_id") -> DataFrame:
+    """Appends class_id, the lowest document that is connected by equal or similar lines over any number of steps, and n_links, the lines that have equal ones plus the links of the document's different lines to other sets."""
+    from .neardup import components
+
+    classes = joined.classes.select("cls", F.col("doc").alias("v"), "times", "degree")
+    hit = joined.lines.groupBy("cls", "doc").agg(F.count(F.lit(1)).alias("k")).join(classes, "cls")
+    links = F.when(F.col("times") > 1, F.col("k")).otherwise(0) + F.col("degree")
+    members = materialise(hit.select("doc", "v", links.alias("links")), "line-members")
+    groups = components(members.select(F.col("doc").alias("cls"), F.col("v").alias("other")).unionByName(joined.near.withColumnRenamed("doc", "cls")))
+    totals = members.groupBy("doc").agg(F.sum("links").alias("links"))
+    df = df.drop(*[n for n in ("class_id", "n_links") if n != doc_id])
+    key, node, doc, links = fresh(df, "doc_key", "node_key", "links_key", "links")
+    out = _with_key(df, doc_id, key, joined).join(totals.toDF(doc, links), F.col(key) == F.col(doc), "left")
+    out = out.join(groups.select(F.col("node").alias(node), F.col("comp").alias("class_id")), F.col(key) == F.col(node), "left")
+    out = out.select(*df.columns, F.coalesce("class_id", key).alias("class_id"), F.coalesce(F.col(links), F.lit(0)).cast("bigint").alias("n_links"))
+    return renamed_ids(out, joined.ids, "class_id", joined.key)
 
 
 def linked_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> DataFrame:
-    """``dedup_lines`` from all links, with class_id and n_links appended.
+    """``dedup_lines`` with class_id and n_links appended."""
+    joined = join_lines(df, doc_id, text, threshold, least)
+    return with_links(dedup_lines(df, doc_id, text, threshold, least, joined), joined, doc_id)
 
-    class_id is the lowest document that is connected by equal or similar lines,
-    over any number of steps; n_links counts a document's lines whose class has
-    further lines, and the verified links of its classes to other classes.
-    """
-    from .neardup import components  # which imports this module
 
-    docs = df.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)).alias("doc"), F.col(text).alias("text"))
-    lines, pairs = all_links(docs, threshold, least)
-    firsts = materialise(lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times")), "line-classes")
-    both = pairs.unionByName(pairs.select(F.col("other").alias("cls"), F.col("cls").alias("other")))
-    place = firsts.select("cls", "first")
-    placed = both.join(place, "cls").join(place.select(F.col("cls").alias("other"), F.col("first").alias("e")), "other")
-    degrees = materialise(placed.groupBy("cls").agg(F.count(F.lit(1)).alias("degree"), F.min("e").alias("e"), F.first("first").alias("first")), "line-degrees")
-    links = degrees.where("e < first").select("cls", "e.doc", "e.line").toDF("cls", "e_doc", "e_line")
-    out = _without(df, _removals(lines, links), doc_id, text, least)
-    # a class joins its documents to its first one, and alike classes join their first documents
-    classes = firsts.join(degrees.select("cls", "degree"), "cls", "left").where("times > 1 or degree is not null").select("cls", F.col("first.doc").alias("v"), "times", F.coalesce("degree", F.lit(0)).alias("degree"))
-    held = lines.groupBy("cls", "doc").agg(F.count(F.lit(1)).alias("k")).join(classes, "cls")
-    counted = held.withColumn("links", F.when(F.col("times") > 1, F.col("k")).otherwise(0) + F.col("degree"))
-    counted = materialise(counted.select("doc", "v", "links"), "line-members")
-    edges = counted.select(F.col("doc").alias("cls"), F.col("v").alias("other")).unionByName(placed.select(F.col("first.doc").alias("cls"), F.col("e.doc").alias("other")))
-    named = components(edges).select(F.col("node").alias("_key"), F.nullif("comp", F.lit(LOWEST)).alias("class_id"))
-    totals = counted.groupBy(F.col("doc").alias("_key")).agg(F.sum("links").alias("n_links"))
-    keyed = out.drop("class_id", "n_links").withColumn("_key", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)))
-    found = keyed.join(totals, "_key", "left").join(named.withColumn("_in", F.lit(True)), "_key", "left")
-    found = found.withColumn("class_id", F.when(F.col("_in"), F.col("class_id")).otherwise(F.col(doc_id).cast("bigint")))
-    return found.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("bigint")).drop("_key", "_in")
-
-
-__all__ = ["all_links", "dedup_lines", "linked_lines", "removals", "similar_lines"]
+__all__ = ["LineJoin", "dedup_lines", "join_lines", "linked_lines", "removals", "with_links"]

@@ -36,9 +36,9 @@ from pyspark.sql.types import LongType, StructField
 
 from .common import materialise, with_arrow
 from .decontaminate import expand, grams
-from .lines import BLOOM, _bits, _class_hashes, _groups
+from .lines import _groups
 from .scan import mix, release, slices, words
-from .sketch import sketch
+from .sketch import bloom
 
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
@@ -244,8 +244,7 @@ def _wanted(batches, shared):
         for part in slices(batch, "text"):
             s = Shingles(part.column(1))
             chosen = s.firsts()
-            h = mix(s.cls[chosen].astype(np.uint64))
-            chosen = chosen[_bits(held, h) & _bits(held, h >> np.uint64(32))]
+            chosen = chosen[held.holds(s.cls[chosen])]
             entry, _ = expand(s.first, chosen)
             packed = (s.gram[entry] & np.uint64(0xFFFFFFFF)).astype("<u4")
             ends = np.r_[0, np.cumsum(s.n[chosen])].astype(np.int32) * 4
@@ -325,7 +324,7 @@ def _grouped(df: DataFrame, doc_id: str, text: str, threshold: float) -> DataFra
     found = materialise(dealt.mapInArrow(partial(_first_round, threshold=threshold), FOUND), "near-candidates")
 
     def sets_of(classes: DataFrame) -> DataFrame:
-        held = spark.sparkContext.broadcast(np.packbits(sketch(classes, BLOOM, _class_hashes) > 0, bitorder="little"))  # 2 MB
+        held = spark.sparkContext.broadcast(bloom(classes, classes.count()))  # 16 MB at most
         return docs.mapInArrow(partial(_wanted, shared=held), "cls bigint, grams binary").groupBy("cls").agg(F.first("grams").alias("grams"))
 
     pairs = materialise(found.where("kind = 0").select("cls", "other").distinct(), "near-pairs")

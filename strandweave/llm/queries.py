@@ -94,8 +94,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.linked_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
-    return out.select("doc_id", "class_id", "n_lines", "n_links", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = lines.join_lines(docs, least=1)
+    out = lines.dedup_lines(docs, least=1, joined=joined).select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return lines.with_links(out, joined)
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op4_secret_scan, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op9_personal_data, op10_line_dedup)}
