@@ -46,6 +46,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from .common import LOWEST, fresh, materialise, numbered, renamed_ids, with_arrow
 from .decontaminate import expand
+from .groups import components, unite, whole_groups
 from .scan import mix, release, slices, text_buffer, words
 from .sketch import add, blocks, bloom, levels, merged
 
@@ -238,42 +239,6 @@ def _packed(held: list, bins: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bin_[order][start], pa.int32()), pa.array(np.diff(ends), pa.int32()), *columns], schema=_BLOCKS)
 
 
-def _groups(batches, key: str) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches that are sorted by ``key``."""
-    rest = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
-        if rest and rest[-1].column(batch.schema.get_field_index(key))[-1].as_py() == k[-1] and k[0] == k[-1]:
-            rest.append(batch)
-            continue
-        cut = int(np.flatnonzero(k != k[-1])[-1]) + 1 if (k != k[-1]).any() else 0
-        rest.append(batch.slice(0, cut))
-        done = pa.Table.from_batches(rest)
-        if done.num_rows:
-            yield done
-        rest = [batch.slice(cut)]
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
-def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the groups of a and b in ``label``, where every member has its group's least member."""
-    while True:
-        a, b = label[a], label[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
-        if not len(a):
-            return
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            short = label[label]
-            if (short == label).all():
-                break
-            label[:] = short
-
-
 class Bucket:
     """The rows of whole bins, each class once a word, in order of (word, size)."""
 
@@ -339,7 +304,7 @@ class Bucket:
 def _forest(batches, threshold: float):
     """Links (class, least class) of a spanning forest of the pairs that pass the filters, for each bin."""
     schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
-    for table in _groups(batches, "bin"):
+    for table in whole_groups(batches, "bin"):
         b = Bucket(table)
         names, ids = np.unique(b.cls, return_inverse=True)
         label = np.arange(len(names))
@@ -450,7 +415,7 @@ class Cells:
 
 def _decide(batches, threshold: float, few: int = 48):
     """Every pair of each cell, decided on whole sets; a row for each class with a link."""
-    for table in _groups(batches, "cell"):
+    for table in whole_groups(batches, "cell"):
         cells = Cells(table)
         start = np.flatnonzero(np.r_[True, cells.cell[1:] != cells.cell[:-1]])
         width = np.diff(np.r_[start, len(cells.cell)])
@@ -481,10 +446,9 @@ def _decide(batches, threshold: float, few: int = 48):
 
 @dataclass
 class LineJoin:
-    """The join's results: ``classes`` (cls, doc, line, times, degree, e_doc, e_line) that are repeated or linked, ``lines`` (cls, doc, line) of them, and ``near`` pairs of documents that linked classes connect."""
+    """The join's results: ``hits``, the lines (cls, doc, line) whose class is repeated or linked, with its first place, times, degree and earliest linked place ``e``; ``near`` pairs of documents that linked classes connect."""
 
-    classes: DataFrame
-    lines: DataFrame
+    hits: DataFrame
     near: DataFrame
     ids: DataFrame | None
     key: str
@@ -492,14 +456,12 @@ class LineJoin:
 
 def join_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5) -> LineJoin:
     """Every link between the lines of ``df``."""
-    from .neardup import components  # which imports this module
-
     (key,) = fresh(df, "doc_key")
     docs, ids = numbered(df.select(doc_id, text), doc_id, key)
-    return _joined(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), threshold, least, ids, key, components)
+    return _joined(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), threshold, least, ids, key)
 
 
-def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None, key: str, components) -> LineJoin:
+def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None, key: str) -> LineJoin:
     spark = docs.sparkSession
     send = spark.sparkContext.broadcast
     scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
@@ -525,17 +487,17 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
     links = materialise(decided, "line-links")
     degrees = links.groupBy("cls").agg(F.sum("degree").alias("degree"), F.min(F.struct("e_doc", "e_line")).alias("e"))
     classes = firsts.join(degrees, "cls", "left").where("times > 1 or degree is not null")
-    classes = materialise(classes.select("cls", "doc", "line", "times", F.coalesce("degree", F.lit(0)).alias("degree"), "e.e_doc", "e.e_line"), "line-classes")
-    return LineJoin(classes, lines, links.select("doc", F.col("root_doc").alias("other")).distinct(), ids, key)
+    classes = materialise(classes.select("cls", F.struct("doc", "line").alias("first"), "times", F.coalesce("degree", F.lit(0)).alias("degree"), F.col("e").alias("e")), "line-classes")
+    hits = materialise(lines.join(classes, "cls"), "line-hits")
+    return LineJoin(hits, links.select("doc", F.col("root_doc").alias("other")), ids, key)
 
 
 def removals(joined: LineJoin) -> DataFrame:
     """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of the earliest such line."""
-    classes = joined.classes.select("cls", F.struct("doc", "line").alias("first"), F.when(F.col("e_doc").isNotNull(), F.struct(F.col("e_doc").alias("doc"), F.col("e_line").alias("line"))).alias("e"))
     here = F.struct("doc", "line")
-    hit = joined.lines.join(classes, "cls").withColumn("later", here > F.col("first")).withColumn("near", F.coalesce(F.col("e") < here, F.lit(False)))
-    hit = hit.where("later or near")
-    source = F.least(F.when(F.col("later"), F.col("first.doc")), F.when(F.col("near"), F.col("e.doc")))
+    e = F.when(F.col("e").isNotNull(), F.struct(F.col("e.e_doc").alias("doc"), F.col("e.e_line").alias("line")))
+    hit = joined.hits.withColumn("later", here > F.col("first")).withColumn("near", F.coalesce(e < here, F.lit(False))).where("later or near")
+    source = F.least(F.when(F.col("later"), F.col("first.doc")), F.when(F.col("near"), F.col("e.e_doc")))
     return hit.groupBy("doc").agg(F.collect_list(F.struct("line", "cls", (~F.col("later")).alias("near"), source.alias("source"))).alias("lines"))
 
 
@@ -593,12 +555,8 @@ def _with_key(df: DataFrame, doc_id: str, key: str, joined: LineJoin) -> DataFra
 
 def with_links(df: DataFrame, joined: LineJoin, doc_id: str = "doc_id") -> DataFrame:
     """Appends class_id, the lowest document that is connected by equal or similar lines over any number of steps, and n_links, the lines that have equal ones plus the links of the document's different lines to other sets."""
-    from .neardup import components
-
-    classes = joined.classes.select("cls", F.col("doc").alias("v"), "times", "degree")
-    hit = joined.lines.groupBy("cls", "doc").agg(F.count(F.lit(1)).alias("k")).join(classes, "cls")
-    links = F.when(F.col("times") > 1, F.col("k")).otherwise(0) + F.col("degree")
-    members = materialise(hit.select("doc", "v", links.alias("links")), "line-members")
+    same = joined.hits.groupBy("doc", "cls").agg(F.count(F.lit(1)).alias("k"), F.first("first.doc").alias("v"), F.first("times").alias("times"), F.first("degree").alias("degree"))
+    members = materialise(same.select("doc", "v", (F.when(F.col("times") > 1, F.col("k")).otherwise(0) + F.col("degree")).alias("links")), "line-members")
     groups = components(members.select(F.col("doc").alias("cls"), F.col("v").alias("other")).unionByName(joined.near.withColumnRenamed("doc", "cls")))
     totals = members.groupBy("doc").agg(F.sum("links").alias("links"))
     df = df.drop(*[n for n in ("class_id", "n_links") if n != doc_id])

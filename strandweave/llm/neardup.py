@@ -13,7 +13,7 @@ agree with the probability Jaccard similarity of the documents.
    ones a class sends its first such predecessor only, so a group of thousands of
    near copies sends one row a class.
 3. Pairs are verified by the exact Jaccard similarity of the 5-gram sets.
-4. Components are found by alternating large and small stars.
+4. Components are found by contracting each node's neighbourhood, round by round.
 5. Larger buckets that still hold several components are compared again, across
    components, in blocks of bounded width; pairs are verified inside the block and
    only links leave it, so no link between components is lost.
@@ -36,7 +36,7 @@ from pyspark.sql.types import LongType, StructField
 
 from .common import materialise, with_arrow
 from .decontaminate import expand, grams
-from .lines import _groups
+from .groups import components, whole_groups
 from .scan import mix, release, slices, words
 from .sketch import bloom
 
@@ -172,7 +172,7 @@ _SCHEMA = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("other", pa.int
 def _first_round(batches, threshold: float):
     """Kind 0: a pair to verify.  Kind 1: a class of a larger bucket (other: the bucket)."""
     sent: set = set()
-    for table in _groups(batches, "key"):
+    for table in whole_groups(batches, "key"):
         release()
         b = Buckets(table)
         rows = np.arange(len(b.key))
@@ -207,7 +207,7 @@ def _across(batches, threshold: float):
     """Links between components within blocks of larger buckets: pairs that pass the filters are verified here, so only links leave the task."""
     schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
     failed: set = set()
-    for table in _groups(batches, "block"):
+    for table in whole_groups(batches, "block"):
         b = Buckets(table)
         sets = dict(zip(table.column("cls").to_pylist(), table.column("grams").to_pylist(), strict=True))
         root: dict[int, int] = {}
@@ -271,27 +271,6 @@ def _classes(batches):
             yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(s.cls, mask=s.n == 0)], schema=schema)
 
 
-def components(edges: DataFrame, a: str = "cls", b: str = "other") -> DataFrame:
-    """(node, comp): the least node of each connected component, for all nodes that have an edge.
-
-    Alternating large and small stars; each round is written to the shared
-    folder, so lineage stays short and a lost executor costs one round at most.
-    """
-    now = materialise(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "stars")
-    while True:
-        # large star: neighbours above a node go to its least neighbour
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # small star: a node and its lower neighbours go to the lowest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = materialise(small, "stars")
-        if after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        now = after
-
-
 def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id, n_class) of every row: the lowest doc_id of its group and the rows in it."""
     return _grouped(df, doc_id, text, threshold).drop("cls")
