@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 CHUNK = 4_000_000
+_WAYS = "explode(array(struct(u, v), struct(v AS u, u AS v))) AS x"
 _EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -85,22 +86,35 @@ def _contracted(batches):
         yield _contract(*(table.column(i).to_numpy() for i in (0, 1)))
 
 
+def _round(edges: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Each node's edges meet in one task, which joins all that it holds to groups and sends an edge from each node to its group's least one."""
+    both = edges.selectExpr(_WAYS).select("x.u", "x.v").repartition(F.col("u")).sortWithinPartitions("u")
+    after = both.mapInArrow(_contracted, "u bigint, v bigint")
+    if seen is not None:
+        after = after.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+    return materialise(after, "components")
+
+
 def components(edges: DataFrame, a: str = "cls", b: str = "other") -> DataFrame:
     """(node, comp): the least node of each connected component, for all nodes that have an edge to another.
 
-    In each round a node's edges meet in one task, which joins all that it holds to
-    groups and sends an edge from each node to its group's least one.  So a node's
-    least known root never rises, and is its component's least node once no edge
-    changes.  Each round is written to the shared folder, with its number of edges
-    and the sum of their hashes, by which rounds are compared.
+    Two rounds of contraction leave most nodes with one edge, to their root; these
+    are set aside.  The others go on until no edge changes: a node's least known
+    root never rises, and ends as its component's least node.  Each round is written
+    to the shared folder, with its number of edges and the sum of their hashes, by
+    which rounds are compared.
     """
-    now, before = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"), None
+    now = _round(_round(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")))
+    degree = now.selectExpr(_WAYS).groupBy(F.col("x.u").alias("u")).agg(F.count(F.lit(1)).alias("n"))
+    now = materialise(now.join(degree, "u"), "components")
+    rest, core, before = now.where("n = 1").select("u", "v"), now.where("n > 1").select("u", "v"), None
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition(F.col("u")).sortWithinPartitions("u")
         seen = Observation()
-        after = both.mapInArrow(_contracted, "u bigint, v bigint").observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
-        now = materialise(after, "components")
+        core = _round(core, seen)
         if seen.get == before:
             break
         before = seen.get
-    return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    roots = core.select(F.col("u").alias("v"), F.col("v").alias("root"))
+    out = rest.join(roots, "v", "left").select(F.col("u").alias("node"), F.coalesce("root", "v").alias("comp")).unionByName(core.toDF("node", "comp"))
+    out = materialise(out, "components")
+    return out.unionByName(out.select(F.col("comp").alias("node"), "comp").distinct())
