@@ -126,24 +126,24 @@ class Seen:
         return np.sort(rows[fresh_])
 
 
-SCAN = "kind int, cls bigint, doc bigint, line int, block int, counts binary"
+SCAN = "kind int, cls bigint, doc bigint, row bigint, line int, block int, counts binary"
 
 
 def _scan(batches, least: int):
     """Kind 0: the class of each line.  Kind 1: this task's counts of the words of its classes."""
-    schema = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("line", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
     total, seen = np.zeros(CELLS, np.uint32), Seen()
     for batch in batches:
         for part in slices(batch, "text"):
-            ids, sets = part.column(0).to_numpy(zero_copy_only=False), LineSets(part.column(1), least)
+            ids, rows, sets = part.column(0).to_numpy(), part.column(2).to_numpy(), LineSets(part.column(1), least)
             n = len(sets.n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(sets.cls), pa.array(ids[sets.doc] if n else np.zeros(0, np.int64)), pa.array(sets.line, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(sets.cls), pa.array(ids[sets.doc]), pa.array(rows[sets.doc]), pa.array(sets.line, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
             sets.keep(seen.new(sets.cls))
             add(total, mix(sets.token))
     if total.any():
         rows = blocks(total)
         n = rows.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), rows.column(0), rows.column(1)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.int32()), rows.column(0), rows.column(1)], schema=schema)
 
 
 def needed(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
@@ -318,12 +318,13 @@ def _forest(batches, threshold: float):
         release()
 
 
-def _wanted_sets(batches, shared, least: int):
-    """The word sets of the classes that the filter may hold, each once a task."""
+def _wanted_sets(batches, shared, firsts, least: int):
+    """The word sets of the classes that the filter may hold, each once a task, from the documents that may hold a first line."""
     schema = pa.schema([("cls", pa.int64()), ("tokens", pa.binary())])
     held, seen = shared.value, Seen()
     for batch in batches:
         for part in slices(batch, "text"):
+            part = part.filter(pa.array(firsts.value.holds(part.column(0).to_numpy())))
             sets = LineSets(part.column(1), least)
             hit = np.flatnonzero(held.holds(sets.cls))
             sets.keep(hit[seen.new(sets.cls[hit])])
@@ -458,7 +459,7 @@ def join_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     """Every link between the lines of ``df``."""
     (key,) = fresh(df, "doc_key")
     docs, ids = numbered(df.select(doc_id, text), doc_id, key)
-    return _joined(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), threshold, least, ids, key)
+    return _joined(docs.select(F.col(key).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("row")), threshold, least, ids, key)
 
 
 def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None, key: str) -> LineJoin:
@@ -466,7 +467,7 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
     send = spark.sparkContext.broadcast
     scan = materialise(docs.mapInArrow(partial(_scan, least=least), SCAN), "line-scan")
     rank = send(levels(merged(scan.where("kind = 1").select("block", "counts"), CELLS)))  # one byte a cell: 1 MB
-    lines = scan.where("kind = 0").select("cls", "doc", "line")
+    lines = scan.where("kind = 0").select("cls", "doc", "row", "line")
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     firsts = materialise(firsts.select("cls", "first.doc", "first.line", "times"), "line-firsts")
     bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -481,8 +482,10 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
     whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
     spread = places.withColumn("own", own).withColumn("at", F.explode(F.when(F.col("parts").isNull(), whole).otherwise(triangle)))
     spread = spread.select("cls", "doc", "line", F.xxhash64("comp", "at.i", "at.j").alias("cell"), F.when(F.col("at.i") < F.col("at.j"), F.col("own")).otherwise(F.lit(-1)).alias("part"))
-    sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, least), "cls bigint, tokens binary")
-    rows = sets.join(materialise(spread, "line-cells"), "cls").select("cell", "part", "cls", "doc", "line", "tokens")
+    spread = materialise(spread, "line-cells")
+    there = send(bloom(spread.select("doc"), spread.count()))  # 16 MB at most
+    sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, there, least), "cls bigint, tokens binary")
+    rows = sets.join(spread, "cls").select("cell", "part", "cls", "doc", "line", "tokens")
     decided = rows.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(partial(_decide, threshold=threshold), LINKS)
     links = materialise(decided, "line-links")
     degrees = links.groupBy("cls").agg(F.sum("degree").alias("degree"), F.min(F.struct("e_doc", "e_line")).alias("e"))
@@ -493,29 +496,25 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
 
 
 def removals(joined: LineJoin) -> DataFrame:
-    """A row (doc, lines) for each document that loses lines: line number, class, whether only a similar line precedes, and the document of the earliest such line."""
+    """A row (doc, row, lines) for each document that loses lines (row: the hash of its text): line number, whether only a similar line precedes, and the document of the earliest such line."""
     here = F.struct("doc", "line")
     e = F.when(F.col("e").isNotNull(), F.struct(F.col("e.e_doc").alias("doc"), F.col("e.e_line").alias("line")))
     hit = joined.hits.withColumn("later", here > F.col("first")).withColumn("near", F.coalesce(e < here, F.lit(False))).where("later or near")
     source = F.least(F.when(F.col("later"), F.col("first.doc")), F.when(F.col("near"), F.col("e.e_doc")))
-    return hit.groupBy("doc").agg(F.collect_list(F.struct("line", "cls", (~F.col("later")).alias("near"), source.alias("source"))).alias("lines"))
+    return hit.groupBy("doc", "row").agg(F.collect_list(F.struct("line", (~F.col("later")).alias("near"), source.alias("source"))).alias("lines"))
 
 
-def _apply(batch: pa.RecordBatch, column: str, lost: str, least: int) -> list:
+def _apply(batch: pa.RecordBatch, column: str, lost: str) -> list:
     index = batch.schema.get_field_index
     texts, lists = batch.column(index(column)), batch.column(index(lost)).to_pylist()
     data, offsets = text_buffer(texts)
     n_lines = np.diff(np.r_[0, np.cumsum(data == 10, dtype=np.int64)][offsets]) + 1
     out, removed, near, source = texts.to_pylist(), np.zeros(len(lists), np.int64), np.zeros(len(lists), np.int64), [None] * len(lists)
-    some = [i for i, x in enumerate(lists) if x]
-    if some:
-        sets = LineSets(texts.take(pa.array(some)), least)
-        real = set(zip(sets.doc.tolist(), sets.line.tolist(), sets.cls.tolist(), strict=True))
-        for k, i in enumerate(some):
-            gone = {x["line"]: x for x in lists[i] if (k, x["line"], x["cls"]) in real}
-            out[i] = "\n".join(t for j, t in enumerate((out[i] or "").split("\n")) if j not in gone)
-            removed[i], near[i] = len(gone), sum(x["near"] for x in gone.values())
-            source[i] = min((x["source"] for x in gone.values()), default=None)
+    for i, rows in enumerate(lists):
+        if rows:
+            gone = {x["line"]: x for x in rows}  # copies of a row list their lines each
+            out[i] = "\n".join([t for j, t in enumerate(out[i].split("\n")) if j not in gone])
+            removed[i], near[i], source[i] = len(gone), sum(x["near"] for x in gone.values()), min(x["source"] for x in rows)
     return [out, pa.array(n_lines), pa.array(removed), pa.array(near), source]
 
 
@@ -534,16 +533,16 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
 
     names = ["n_lines", "n_removed", "n_near", "first_doc"]
     df = df.drop(*[n for n in names if n != doc_id])
-    key, may, found = fresh(df, "doc_key", "may_lose", "lost_lines")
-    flagged = _with_key(df, doc_id, key, joined).withColumn(may, may_lose(key))
+    key, row, may, found = fresh(df, "doc_key", "row_key", "may_lose", "lost_lines")
+    flagged = _with_key(df, doc_id, key, joined).withColumn(may, may_lose(key)).withColumn(row, F.xxhash64(text))
     order = [*[c for c in df.columns if c not in names], *names]
     # texts that lose nothing stay where they are; only the others are shuffled to their removals
     plain = F.coalesce(text, F.lit(""))
     whole = flagged.where(~F.col(may)).withColumn("n_lines", (F.length(plain) - F.length(F.replace(plain, F.lit("\n"), F.lit(""))) + 1).cast("bigint"))
     whole = whole.withColumns({"n_removed": F.lit(0).cast("bigint"), "n_near": F.lit(0).cast("bigint"), "first_doc": F.lit(None).cast("bigint")})
     fields = [StructField(text, StringType()), *[StructField(n, LongType()) for n in names]]
-    some = flagged.where(may).join(lost.select(F.col("doc").alias(key), F.col("lines").alias(found)), key, "left")
-    out = whole.select(*order).unionByName(with_arrow(some, fields, partial(_apply, column=text, lost=found, least=least), text).select(*order))
+    some = flagged.where(may).join(lost.select(F.col("doc").alias(key), F.col("row").alias(row), F.col("lines").alias(found)), [key, row], "left")
+    out = whole.select(*order).unionByName(with_arrow(some, fields, partial(_apply, column=text, lost=found), text).select(*order))
     return renamed_ids(out, joined.ids, "first_doc", joined.key)
 
 
