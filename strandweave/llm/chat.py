@@ -3,7 +3,9 @@
 A message is a role and a list of parts (text, image, audio, document).  A
 visitor flattens the parts into one string: text is escaped, every other part
 becomes a placeholder ``<kind:n>``, numbered through the conversation, and is
-recorded as an attachment with its reference and the tokens it expands to.
+recorded as an attachment with its reference and the tokens it expands to.  Parts of
+any other kind stand as ``<other:n>`` and are recorded, too, with their own kind and
+no tokens; a part without a kind is text.
 
 Template: ``<turn>`` role, line feed, content, ``</turn>``, line feed.  Inside
 roles and texts a backslash precedes every backslash and ``<`` (and stands as
@@ -33,7 +35,7 @@ PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:d
 MESSAGES = f"array<struct<role:string,parts:array<{PART}>>>"
 SPAN = "array<struct<start:bigint,stop:bigint>>"
 ATTACHMENT = "array<struct<ordinal:int,turn:int,kind:string,ref:string,start:bigint,stop:bigint,tokens:bigint>>"
-_TURN = re.compile(r"<turn>((?:[^\\<\n]|\\.)*)\n((?:[^\\<]|\\.|<(?:image|audio|document):\d+>)*)</turn>\n", re.S)
+_TURN = re.compile(r"<turn>((?:[^\\<\n]|\\.)*)\n((?:[^\\<]|\\.|<(?:image|audio|document|other):\d+>)*)</turn>\n", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -66,24 +68,24 @@ class Flattener:
             return math.ceil((part["width"] or 0) / self.patch) * math.ceil((part["height"] or 0) / self.patch)
         if part["kind"] == "audio":
             return math.ceil((part["seconds"] or 0.0) * self.audio_rate)
-        return (part["pages"] or 0) * self.page_tokens
+        return (part["pages"] or 0) * self.page_tokens if part["kind"] == "document" else 0
 
     def visit_text(self, turn: int, part: dict) -> None:
         self.write(escape(part["text"] or ""))
 
     def visit_attachment(self, turn: int, part: dict) -> None:
         start, n = self.at, len(self.attachments)
-        self.write(f"<{part['kind']}:{n}>")
+        self.write(f"<{part['kind'] if part['kind'] in self.VISITS else 'other'}:{n}>")
         self.attachments.append({"ordinal": n, "turn": turn, "kind": part["kind"], "ref": part["ref"], "start": start, "stop": self.at, "tokens": self.tokens(part)})
 
-    visit_image = visit_audio = visit_document = visit_attachment
+    VISITS = {None: visit_text, "text": visit_text, "image": visit_attachment, "audio": visit_attachment, "document": visit_attachment}
 
     def visit(self, messages: list[dict]) -> str:
         for turn, message in enumerate(messages):
             self.write(f"<turn>{escape(message['role'] or '', True)}\n")
             start = self.at
             for part in message["parts"] or []:
-                getattr(self, f"visit_{part['kind']}", self.visit_text)(turn, part)
+                self.VISITS.get(part["kind"], Flattener.visit_attachment)(self, turn, part)
             if message["role"] == "assistant":
                 self.loss.append({"start": start, "stop": self.at})
             self.write("</turn>\n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -72,11 +72,21 @@ def renamed_ids(df: DataFrame, ids: DataFrame | None, column: str, key: str) ->
     return df.join(other, F.col(column) == F.col(name), "left").withColumn(column, F.col(name + "_id")).select(*df.columns)
 
 
+def halves(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``most`` bytes, or of one row."""
+    if batch.num_rows < 2 or batch.get_total_buffer_size() <= most or batch.nbytes <= most:
+        yield batch
+    else:
+        middle = batch.num_rows // 2
+        yield from halves(batch.slice(0, middle), most)
+        yield from halves(batch.slice(middle), most)
+
+
 def with_arrow(df: DataFrame, fields: Sequence[StructField], compute: Callable[[pa.RecordBatch], list], text: str | None = None) -> DataFrame:
     """Appends columns that ``compute`` makes from each Arrow batch.
 
     All input columns are kept, except those named like a new one, which it
-    replaces.  With ``text``, batches are cut to a few MB of that column.
+    replaces.  Batches are cut to a few MB, of the column ``text`` where it is given.
     """
     names = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in names]
@@ -85,7 +95,7 @@ def with_arrow(df: DataFrame, fields: Sequence[StructField], compute: Callable[[
     def run(batches):
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            for part in slices(batch, text) if text else [batch]:
+            for part in slices(batch, text) if text else halves(batch):
                 old = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                 columns = [*old, *compute(part)]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) if not isinstance(c, pa.Array) else c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)

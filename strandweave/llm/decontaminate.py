@@ -16,9 +16,11 @@ slice of passages.  Retrieved items are verified on the whole document: the
 word 5-grams of the item's question and of its answer (the last sentence) must
 each be contained in the document by ``overlap`` or more.
 
-Items are indexed in shards of at most ``shard_bytes`` of text, whose indexes are
-broadcast one after the other, each against all documents; BM25 statistics are
-those of the shard.  Null texts count as empty; empty items match nothing; equal
+Different item texts are indexed, in shards whose text is at most ``shard_bytes``
+(checked; a text beyond that is a shard alone), whose indexes are broadcast one after
+the other, each against all documents.  The BM25 statistics (number and mean length
+of the texts, document frequencies) are taken once over all of them, so scores don't
+depend on the shards.  Null texts count as empty; empty items match nothing; equal
 items and repeated documents all match; documents keep only their id.
 """
 
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from .common import materialise
 from .scan import mix, slices, words
 
 _SPLIT = re.compile(r"[.?!…]\s+(?=\S)|\n+(?=\S)")
@@ -85,15 +88,42 @@ class ItemIndex:
     window: int
 
 
-def build_index(ids: list, texts: list[str], window: int = 128, share: float = 0.6, block: int = 16, slack: float = 0.35, k1: float = 1.2, b: float = 0.75) -> ItemIndex:
+@dataclass
+class Statistics:
+    """Number and mean length of all item texts, and in how many of them each word of a shard occurs (by sorted hash)."""
+
+    n: int
+    mean: float
+    vocab: np.ndarray
+    times: np.ndarray
+
+
+def _item_words(batches):
+    """(shard, word, n) of each item text: its different words, and its number of words in a row without one."""
+    schema = pa.schema([("shard", pa.int32()), ("word", pa.int64()), ("n", pa.int64())])
+    for batch in batches:
+        for part in slices(batch, "text"):
+            w = words(part.column(1))
+            shard = part.column(0).to_numpy()
+            order = np.lexsort((w.hash, w.doc))
+            doc, word = w.doc[order], w.hash[order]
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])] if len(doc) else np.zeros(0, bool)
+            total = np.diff(w.first)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[shard[doc[new]], shard], pa.int32()), pa.array(np.r_[word[new].astype(np.int64), np.zeros(len(total), np.int64)], mask=np.r_[np.zeros(int(new.sum()), bool), np.ones(len(total), bool)]), pa.array(np.r_[np.ones(int(new.sum()), np.int64), total])], schema=schema)
+
+
+def build_index(ids: list, texts: list[str], window: int = 128, share: float = 0.6, block: int = 16, slack: float = 0.35, k1: float = 1.2, b: float = 0.75, stats: Statistics | None = None) -> ItemIndex:
+    """The index of ``texts``; ``stats`` are those of all items where these are only some."""
     w = words(pa.array(texts, pa.string()))
     n, length = len(ids), np.diff(w.first).astype(np.float64)
     pairs, tf = np.unique(np.stack([w.hash, w.doc.astype(np.uint64)], axis=1), axis=0, return_counts=True) if len(w.hash) else (np.zeros((0, 2), np.uint64), np.zeros(0))
     vocab, term = np.unique(pairs[:, 0], return_inverse=True)
     item = pairs[:, 1].astype(np.int64)
     df = np.bincount(term, minlength=len(vocab))
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    value = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / max(1.0, length.mean() if n else 1.0)))
+    stats = stats or Statistics(n, float(length.mean()) if n else 0.0, vocab, df)
+    times = stats.times[np.searchsorted(stats.vocab, vocab)]
+    idf = np.log1p((stats.n - times + 0.5) / (times + 0.5))
+    value = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / max(1.0, stats.mean)))
     own = np.bincount(item, weights=value, minlength=n)
     reach = np.minimum(1, (window // 2) / np.maximum(1, length))  # the part of an item that a window surely holds
     value = value / np.maximum(share * own * reach, 1e-9)[item]
@@ -170,16 +200,35 @@ def contained(part: np.ndarray, have: np.ndarray) -> float:
 OUTPUT = "doc_id {0}, item_id {1}, bm25 double, question_overlap double, answer_overlap double"
 
 
-def _shards(items: DataFrame, item_id: str, item_text: str, window: int, share: float, shard_bytes: int):
-    """Broadcast indexes of the items, one at a time; each holds at most about ``shard_bytes`` of text."""
+def _shards(items: DataFrame, item_text: str, window: int, share: float, shard_bytes: int):
+    """Broadcast indexes of the different item texts, one at a time; items are their texts' numbers ``text_key``."""
     spark = items.sparkSession
-    slim = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    size = slim.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = int(size // shard_bytes) + 1
+    slim = items.select(F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct().select(F.xxhash64("text").alias("text_key"), "text")
+    bytes_ = F.sum(F.octet_length("text") + 16)
+    total, n, largest = slim.agg(bytes_, F.count(F.lit(1)), F.max(F.octet_length("text") + 16)).first()
+    shards = 1
+    while (total or 0) > shard_bytes:  # more shards until the largest holds no more than the bound, or one text
+        shards *= 2
+        most = slim.groupBy(F.pmod(F.xxhash64("text_key"), F.lit(shards)).alias("shard")).agg(bytes_.alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.max("b")).first()[0]
+        if (most or 0) <= max(shard_bytes, 0 if shards < n else total):
+            break
+    slim = slim.withColumn("shard", F.pmod(F.xxhash64("text_key"), F.lit(shards)).cast("int"))
+    held = slim.select("shard", "text").mapInArrow(_item_words, "shard int, word bigint, n bigint")
+    if shards > 1:
+        held = materialise(held, "item-words")
+    mean = (held.where("word is null").agg(F.avg("n")).first()[0]) or 0.0
+    times = held.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("times"), F.collect_set("shard").alias("shards"))
+    if shards > 1:
+        times = materialise(times, "item-words")
     for shard in range(shards):
-        own = slim.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard) if shards > 1 else slim
-        bounded = sorted(own.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]) if r["item_id"] is not None else (False, 0, r["text"]))
-        yield spark.sparkContext.broadcast(build_index([r["item_id"] for r in bounded], [r["text"] for r in bounded], window, share))
+        bounded = slim.where(F.col("shard") == shard).orderBy("text_key").select("text_key", "text").collect()  # at most shard_bytes
+        if not bounded and shards > 1:
+            continue
+        known = times.where(F.array_contains("shards", shard)).select("word", "times").toPandas()  # of this shard's words only
+        vocab = known["word"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(vocab)
+        stats = Statistics(n, float(mean), vocab[order], known["times"].to_numpy(np.int64)[order])
+        yield spark.sparkContext.broadcast(build_index([r["text_key"] for r in bounded], [r["text"] for r in bounded], window, share, stats=stats))
 
 
 def verified(index: ItemIndex, column: pa.Array, overlap: float) -> list[tuple]:
@@ -206,10 +255,11 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
     Repeated items give repeated rows, repeated document rows too.
     """
-    schema = _parse_datatype_string(OUTPUT.format(docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()))
+    own = docs.schema[doc_id].dataType.simpleString()
+    schema = _parse_datatype_string(OUTPUT.format(own, "bigint"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = None
-    for shared in _shards(items, item_id, item_text, window, share, shard_bytes):
+    for shared in _shards(items, item_text, window, share, shard_bytes):
 
         def run(batches, shared=shared):
             index, arrow = shared.value, to_arrow_schema(schema)
@@ -221,13 +271,15 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
         part = rows.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
-    return found
+    if found is None:
+        found = rows.sparkSession.createDataFrame([], schema)
+    names = items.select(F.xxhash64(F.coalesce(F.col(item_text), F.lit(""))).alias("text_key"), F.col(item_id).alias("item"))
+    return found.withColumnRenamed("item_id", "text_key").join(names, "text_key").select("doc_id", F.col("item").alias("item_id"), "bm25", "question_overlap", "answer_overlap")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", overlap: float = 0.5, window: int = 128, share: float = 0.6, shard_bytes: int = 4 << 20) -> DataFrame:
     """The documents that contain none of the items, with all their columns; a narrow map for each shard of items."""
-    place = items.columns[0]
-    for shared in _shards(items, place, item_text, window, share, shard_bytes):
+    for shared in _shards(items, item_text, window, share, shard_bytes):
 
         def run(batches, shared=shared):
             for batch in batches:

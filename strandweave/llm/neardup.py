@@ -21,7 +21,8 @@ agree with the probability Jaccard similarity of the documents.
 Documents without words are never duplicates.  Null text counts as empty.  Rows
 are grouped whatever their ids; the class id is the lowest doc_id of the group
 (null doc_ids count only where there is no other).  Words and 5-grams are known
-by hashes: 64 bits for whole texts, 40 in sets, 32 in the final check.
+by hashes: 64 bits for whole texts, 40 in sets and the final check.  Ids may be of
+any type that sorts.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from .common import materialise, with_arrow
+from .common import LOWEST, fresh, materialise, numbered, renamed_ids, with_arrow
 from .decontaminate import expand, grams
 from .groups import components, whole_groups
 from .scan import mix, release, slices, words
@@ -227,7 +228,7 @@ def _across(batches, threshold: float):
                 x, y = find(int(b.comp[i])), find(int(b.comp[j]))
                 if x == y or (u, v) in failed:
                     continue
-                if jaccard(np.frombuffer(sets[u], "<u4"), np.frombuffer(sets[v], "<u4")) >= threshold - 1e-9:
+                if jaccard(np.frombuffer(sets[u], "<u8"), np.frombuffer(sets[v], "<u8")) >= threshold - 1e-9:
                     root[x] = y
                     links.append((u, v))
                 else:
@@ -246,8 +247,8 @@ def _wanted(batches, shared):
             chosen = s.firsts()
             chosen = chosen[held.holds(s.cls[chosen])]
             entry, _ = expand(s.first, chosen)
-            packed = (s.gram[entry] & np.uint64(0xFFFFFFFF)).astype("<u4")
-            ends = np.r_[0, np.cumsum(s.n[chosen])].astype(np.int32) * 4
+            packed = s.gram[entry].astype("<u8")
+            ends = np.r_[0, np.cumsum(s.n[chosen])].astype(np.int32) * 8
             yield pa.RecordBatch.from_arrays([pa.array(s.cls[chosen]), pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(packed)])], schema=schema)
 
 
@@ -259,7 +260,7 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
 def _verify(batches, threshold: float):
     schema = pa.schema([("cls", pa.int64()), ("other", pa.int64())])
     for batch in batches:
-        ok = [jaccard(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) >= threshold - 1e-9 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        ok = [jaccard(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) >= threshold - 1e-9 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(ok, pa.bool_()))
 
 
@@ -273,7 +274,17 @@ def _classes(batches):
 
 def near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id, n_class) of every row: the lowest doc_id of its group and the rows in it."""
-    return _grouped(df, doc_id, text, threshold).drop("cls")
+    docs, ids, key = _docs(df, doc_id, text)
+    out = _grouped(docs, threshold).drop("cls")
+    for name in ("doc_id", "class_id"):
+        out = renamed_ids(out, ids, name, key)
+    return out
+
+
+def _docs(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None, str]:
+    (key,) = fresh(df, "doc_key")
+    docs, ids = numbered(df.select(doc_id, text), doc_id, key)
+    return docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), ids, key
 
 
 def _class_of(batch: pa.RecordBatch, column: str) -> list:
@@ -283,22 +294,22 @@ def _class_of(batch: pa.RecordBatch, column: str) -> list:
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each group the document with the lowest id stays, once."""
-    lost = _grouped(df, doc_id, text, threshold).where("n_class > 1")
+    docs, ids, key = _docs(df, doc_id, text)
+    lost = _grouped(docs, threshold).where("n_class > 1")
+    near, doc, gone, times, cls, place = fresh(df, "near_", "doc_", "gone_", "times_", "class_", "place_")
     copies = lost.groupBy("cls", "doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("times"))
-    copies = copies.select(F.col("cls").alias("_near"), F.col("doc_id").alias("_doc"), (~F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("_gone"), F.col("times").alias("_times"))
-    copies = materialise(copies, "near-copies")
-    named = with_arrow(df, [StructField("_class", LongType())], partial(_class_of, column=text), text)
-    kept = named.join(copies, (F.col("_class") == F.col("_near")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc")), "left").where("_gone is null or not _gone")
-    if not copies.where("_times > 1 and not _gone").isEmpty():  # rows that repeat both id and words
-        place = F.row_number().over(Window.partitionBy("_class", "_doc").orderBy(text))
-        once = kept.where("_times > 1").withColumn("_place", place).where("_place = 1").drop("_place")
-        kept = kept.where("_times is null or _times = 1").unionByName(once)
-    return kept.drop("_class", "_near", "_doc", "_gone", "_times")
-
-
-def _grouped(df: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
-    spark = df.sparkSession
-    docs = df.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
+    copies = materialise(copies.select(F.col("cls").alias(near), F.col("doc_id").alias(doc), (F.col("doc_id") != F.col("class_id")).alias(gone), F.col("times").alias(times)), "near-copies")
+    named = with_arrow(df, [StructField(cls, LongType())], partial(_class_of, column=text), text)
+    own = named.join(ids, doc_id, "left").withColumn(key, F.coalesce(key, F.lit(LOWEST))) if ids is not None else named.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)))
+    kept = own.join(copies, (F.col(cls) == F.col(near)) & (F.col(key) == F.col(doc)), "left").where(F.col(gone).isNull() | ~F.col(gone))
+    if not copies.where((F.col(times) > 1) & ~F.col(gone)).isEmpty():  # rows that repeat both id and words
+        once = kept.where(F.col(times) > 1).withColumn(place, F.row_number().over(Window.partitionBy(cls, doc).orderBy(text))).where(F.col(place) == 1).drop(place)
+        kept = kept.where(F.col(times).isNull() | (F.col(times) == 1)).unionByName(once)
+    return kept.select(*df.columns)
+
+
+def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
+    spark = docs.sparkSession
     dealt = docs.mapInArrow(_bands, BAND_ROWS).repartition(F.col("key")).sortWithinPartitions("key")
     found = materialise(dealt.mapInArrow(partial(_first_round, threshold=threshold), FOUND), "near-candidates")
 
@@ -327,10 +338,12 @@ def _grouped(df: DataFrame, doc_id: str, text: str, threshold: float) -> DataFra
             if not more.isEmpty():
                 links = materialise(links.unionByName(more), "near-links")
                 comps = components(links)
-    rows = docs.mapInArrow(_classes, "doc bigint, cls bigint")
-    sizes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"))
+    rows = materialise(docs.mapInArrow(_classes, "doc bigint, cls bigint"), "near-rows")
+    # a null id, the lowest key, names a group only where there is no other
+    sizes = rows.where("cls is not null").groupBy("cls").agg(F.min(F.when(F.col("doc") != LOWEST, F.col("doc"))).alias("doc"), F.count(F.lit(1)).alias("n"))
     grouped = sizes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "cls"))
-    named = grouped.groupBy("comp").agg(F.min("doc").alias("class_id"), F.sum("n").alias("n_class"))
-    owner = grouped.select("cls", "comp").join(named, "comp").select("cls", "class_id", "n_class")
+    named = grouped.groupBy("comp").agg(F.coalesce(F.min("doc"), F.lit(LOWEST)).alias("class_id"), F.sum("n").alias("n_class"))
+    # written first, so that both sides of the join are plain exchanges, whose hot classes can be split
+    owner = materialise(grouped.select("cls", "comp").join(named, "comp").select("cls", "class_id", "n_class"), "near-owners")
     out = rows.join(owner, "cls", "left")
     return out.select("cls", F.col("doc").alias("doc_id"), F.when(F.col("n_class").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_class", F.lit(1).cast("bigint")).alias("n_class"))

@@ -11,7 +11,8 @@ The trees learn from a generated set of labelled findings (a fixed seed, ``SIZE`
 examples of each generator), whose features the same SQL computes; the fitted
 trees are CASE expressions.  Null text counts as empty.  The patterns are
 possessive forms of the rules: they match the same spans without backtracking, so
-long runs cost linear time.  Repeated rows and extra columns stay.
+long runs cost linear time; no candidate has an upper length.  Candidates of one
+text are compared with each other, which costs the square of their number.  Repeated rows and extra columns stay.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .spans import quoted, with_matches
 from .trees import boosting_sql, calibrate, fit_boosting, predict
 
@@ -42,11 +44,11 @@ _DIGITS = "split(reverse(regexp_replace(x.m, '[^0-9]', '')), '')"
 LUHN = f"(aggregate(transform(filter({_DIGITS}, d -> d <> ''), (d, i) -> CASE WHEN i % 2 = 0 THEN CAST(d AS int) WHEN CAST(d AS int) > 4 THEN 2 * CAST(d AS int) - 9 ELSE 2 * CAST(d AS int) END), 0, (a, d) -> a + d) % 10 = 0)"
 #: Generators of further candidates: name, pattern, guard.
 MORE = {
-    "address": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}\x20?[\[(]?\x20?(?i:at)\x20?[\])]?\x20?[A-Za-z0-9-]{2,63}(?:\x20?[\[(]?\x20?(?i:dot)\x20?[\])]?\x20?[A-Za-z]{2,24})++", "lower({0}) rlike '[a-z0-9][\\\\x20\\\\[(]+dot[\\\\x20\\\\])]+[a-z]'"),
+    "address": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,}\x20?[\[(]?\x20?(?i:at)\x20?[\])]?\x20?[A-Za-z0-9-]{2,}(?:\x20?[\[(]?\x20?(?i:dot)\x20?[\])]?\x20?[A-Za-z]{2,})++", "lower({0}) rlike '[a-z0-9][\\\\x20\\\\[(]+dot[\\\\x20\\\\])]+[a-z]'"),
     "local_phone": (r"(?<![0-9+.)-])\(?[0-9]{3}\)?[\x20.-]\x20?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", "{0} rlike '[0-9]{{3}}[\\\\x20.-][0-9]{{4}}'"),
     "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "{0} rlike '-[0-9]{{2}}-'"),
-    "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])", "{0} rlike '[A-Z]{{2}}[0-9]{{2}}'"),
-    "number": (r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){10,21}(?![0-9])", "{0} rlike '[0-9][\\\\x20-]?[0-9]'"),
+    "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}(?![a-z])){2,}+(?:\x20?[A-Z0-9]{1,4}(?![A-Za-z0-9]))?(?![A-Za-z0-9])", "{0} rlike '[A-Z]{{2}}[0-9]{{2}}'"),
+    "number": (r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){10,}+", "{0} rlike '[0-9][\\\\x20-]?[0-9]'"),
 }
 #: Context cues, each a feature: fixed values.
 CUES = (
@@ -66,7 +68,7 @@ SIZE = 120
 
 def examples(seed: int = 11) -> list[tuple[str, str, str, str, int]]:
     """Labelled findings: (generator, left, match, right, label)."""
-    draw = random.Random(seed)
+    draw, longer = random.Random(seed), random.Random(seed + 1)
     digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
     word = lambda: "".join(draw.choice("abcdefghijklmnoprstuvw") for _ in range(draw.randint(2, 8)))
     plain = lambda: f"{word()} {word()} {word()} "
@@ -87,6 +89,8 @@ def examples(seed: int = 11) -> list[tuple[str, str, str, str, int]]:
         tail = "".join(f"{draw.choice(['', ' '])}{digits(4)}" for _ in range(4)) if good else "".join("".join(draw.choice("ABCDEF0123456789") for _ in range(4)) for _ in range(draw.randint(2, 6)))
         out.append(("account", cue(1) if good else wrong(), iban + tail, "", good))
         out.append(("number", cue(1) if good else draw.choice([wrong(), plain()]), digits(draw.randint(11, 19)), "", good))
+        if i % 4 == 0:  # far longer than any account
+            out[-1] = (*out[-1][:2], "".join(longer.choice("0123456789") for _ in range(longer.randint(24, 80))), "", 0)
     return out
 
 
@@ -134,19 +138,18 @@ def model(spark: SparkSession) -> dict[str, tuple[list, float]]:
 def find_personal_data(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     """Appends ``out``: an array of (kind, s, e, score, base), kinds in the order of BASE and MORE, then by start."""
     fitted = model(df.sparkSession)
-    clean = "_text"
-    named = {n: (p, g.format(clean)) for n, (p, g) in {**BASE, **MORE}.items()}
-    rows = with_matches(df.withColumn(clean, F.coalesce(text, F.lit(""))), clean, named).drop(clean)
-    base = [f"transform(filter({k}, x -> {VALID[k].replace('{luhn}', LUHN)}), x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'score', 1.0D, 'base', true))" for k in BASE]
-    rows = rows.withColumn("_base", F.expr(f"concat({', '.join(base)})"))
+    held, known, more_ = fresh(df, "matches_", "base_", "more_")
+    rows = with_matches(df, F.col(text), {**BASE, **MORE}, held)
+    base = [f"transform(filter({held}.{k}, x -> {VALID[k].replace('{luhn}', LUHN)}), x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'score', 1.0D, 'base', true))" for k in BASE]
+    rows = rows.withColumn(known, F.expr(f"concat({', '.join(base)})"))
     scored = []
     for k, (trees, least) in fitted.items():
         fields = ", ".join(f"'f{j}', CAST({f} AS double)" for j, f in enumerate(_features("x")))
         score = boosting_sql(trees, "c.f{}")
-        scored.append(f"filter(transform(transform({k}, x -> named_struct('s', x.s, 'e', x.e, {fields})), c -> named_struct('kind', '{k}', 's', c.s, 'e', c.e, 'score', {score}, 'base', false)), c -> c.score >= {least:.6f}D AND NOT exists(_base, b -> b.s < c.e AND c.s < b.e))")
-    rows = rows.withColumn("_more", F.expr(f"concat({', '.join(scored)})"))
+        scored.append(f"filter(transform(transform({held}.{k}, x -> named_struct('s', x.s, 'e', x.e, {fields})), c -> named_struct('kind', '{k}', 's', c.s, 'e', c.e, 'score', {score}, 'base', false)), c -> c.score >= {least:.6f}D AND NOT exists({known}, b -> b.s < c.e AND c.s < b.e))")
+    rows = rows.withColumn(more_, F.expr(f"concat({', '.join(scored)})"))
     better = "b.s < c.e AND c.s < b.e AND (b.score > c.score OR (b.score = c.score AND (b.s < c.s OR (b.s = c.s AND (b.e > c.e OR (b.e = c.e AND b.kind < c.kind))))))"
-    rows = rows.withColumn(out, F.expr(f"concat(_base, filter(_more, c -> NOT exists(_more, b -> {better})))"))
+    rows = rows.withColumn(out, F.expr(f"concat({known}, filter({more_}, c -> NOT exists({more_}, b -> {better})))"))
     return rows.select(*[c for c in df.columns if c != out], out)
 
 

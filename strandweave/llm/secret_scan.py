@@ -1,13 +1,14 @@
 """Secret scan: rule candidates and a random forest against false positives, by SQL functions only.
 
-Rules propose candidates (assigned values, provider key formats, key blocks, web
-tokens, long mixed strings).  The forest scores each on its length, character
+Rules propose candidates (assigned values, quoted or not, provider key formats, key
+blocks, web tokens, long mixed strings).  The forest scores each on its length, character
 transitions, dictionary coverage, the path it comes from and its neighbouring
 words, learnt from a generated set of labelled findings (a fixed seed, ``SIZE``
 rounds); its trees are CASE expressions, so scanning stays inside the JVM.  The
 threshold is calibrated for precision on every third round of the findings.
 
-All findings of a whole text are returned, with code point offsets; of overlapping
+Dictionary coverage is measured against the words of the interpreter's own
+documentation.  All findings of a whole text are returned, with code point offsets; of overlapping
 ones the best score stays (ties: the earlier, the longer, the rule's name).  Null
 text and null path count as empty.  Repeated rows and extra columns stay.
 """
@@ -15,23 +16,27 @@ text and null path count as empty.  Repeated rows and extra columns stay.
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .spans import quoted, with_matches
 from .trees import calibrate, fit_forest, forest_sql, predict
 
 #: Name, pattern, guard.  An assigned value is found behind its name, so that the name is left context.
 #: Lengths have no upper bound; possessive runs cost linear time.  A key block runs to its END line, where it has one.
 RULES = {
-    "assigned": (r"(?<=[=:]\x20{0,3}[\x22'])[^\s\x22']{12,}+(?=[\x22'])", "{0} rlike '[=:] *[\\\\x22\\']'"),
+    "assigned": (r"(?<=[=:]\x20{0,3}[\x22'])[^\s\x22']{8,}+(?=[\x22'])", "{0} rlike '[=:] *[\\\\x22\\']'"),
+    "named": (r"(?<=(?i:token|secret|passw(?:or)?d|pwd|key|auth(?!or)|credential|bearer)[A-Za-z0-9_-]{0,16}(?:\x20?[=:]\x20{0,3}|\x20))[^\s\x22'`,;&<>(){}]{8,}+(?![\x22'`(])", "lower({0}) rlike '(token|secret|passw(or)?d|pwd|key|auth|credential|bearer)[a-z0-9_-]*( ?[=:]| )'"),
     "provider_key": (r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{24,}+|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_])", "{0} rlike 'AKIA|gh[pousr]_|xox|sk_live_|AIza'"),
     "key_block": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?s:.)*?-----END [A-Z ]*PRIVATE KEY-----)?", "contains({0}, 'PRIVATE KEY')"),
     "web_token": (r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "contains({0}, 'eyJ')"),
-    "mixed": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])", "{0} rlike '[A-Za-z0-9+/_-]{{24}}'"),
+    "mixed": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])", "{0} rlike '[A-Za-z0-9+/_-]{{24}}'"),
 }
 #: Words that a name or placeholder may hold, and cues beside a candidate or in its path.
 WORDS = "example|sample|dummy|test|changeme|placeholder|your|insert|here|the|and|for|token|secret|password|key|value|config|default|user|name|data|file|path|index|class|function|module|version|build|service|client|server|request|response|handler|manager|static|public|html|image|http|www|com|org"
@@ -51,6 +56,7 @@ FEATURES = (
     "size(array_distinct(split({c}.m, ''))) / least(length({c}.m), 32)",
     # the share of a candidate that dictionary words cover, and whether it is plain hexadecimal
     f"1 - length(regexp_replace(lower({{c}}.m), '{WORDS}', '')) / length({{c}}.m)",
+    "aggregate(filter(regexp_extract_all({c}.m, '[A-Z]?[a-z]+|[A-Z]+', 0), w -> lower(w) IN ({dictionary})), 0, (a, w) -> a + length(w)) / length({c}.m)",
     "CASE WHEN {c}.m rlike '^[0-9a-fA-F-]+$' THEN 1 ELSE 0 END",
     "CASE WHEN {c}.m rlike '^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$' THEN 1 ELSE 0 END",
     f"CASE WHEN lower({{c}}.l) rlike '({SECRET_CUES})[^a-z]*$' THEN 1 ELSE 0 END",
@@ -63,8 +69,18 @@ FEATURES = (
 SIZE = 60
 
 
+@lru_cache(maxsize=1)
+def dictionary() -> tuple[str, ...]:
+    """Words of three letters or more that the interpreter's own documentation uses at least twice: a few thousand, of prose and programming."""
+    from pydoc_data import topics
+
+    times = Counter(w for text in topics.topics.values() for w in re.findall("[a-z]{3,}", text.lower()))
+    return tuple(sorted(w for w, n in times.items() if n > 1))
+
+
 def _rule(k: str, c: str, path: str) -> list[str]:
-    return [f.replace("{c}", c).replace("{p}", path).replace("{k}", f"'{k}'" if k in RULES else k) for f in FEATURES]
+    known = ", ".join(quoted(w) for w in dictionary())
+    return [f.replace("{c}", c).replace("{p}", path).replace("{dictionary}", known).replace("{k}", f"'{k}'" if k in RULES else k) for f in FEATURES]
 
 
 def findings(seed: int = 5) -> list[tuple[str, str, str, str, str, int, int]]:
@@ -86,6 +102,20 @@ def findings(seed: int = 5) -> list[tuple[str, str, str, str, str, int, int]]:
         add("assigned", quote(secret()), some(hexa.upper(), 40), '"', path(), 1)
         add("assigned", quote(secret()), some(every, draw.randint(16, 48)), '"', path(), 1)
         add("mixed", f"{secret()}={draw.choice(['', ' '])}", some(every, draw.randint(24, 48)), " ", path(), 1)
+        add("mixed", f"export {secret().upper()}=", some(every, draw.randint(24, 48)), draw.choice(["", " ", "&"]), path(), 1)
+        name = lambda: f"{draw.choice(['', 'export ', word() + ' ', word() + '_'])}{draw.choice([str, str.upper])(secret())}{draw.choice(['', '', '_' + word()])}{draw.choice(['=', ': ', ' = ', ':'])}"  # noqa: E731, B023
+        add("named", name(), some(every, draw.randint(8, 20)), draw.choice(["", " ", "\n"]), path(), 1)
+        add("named", name(), some(every, draw.randint(20, 64)), draw.choice(["", " ", "\n"]), path(), 1)
+        add("named", name(), some(every + "!$%#@^*+-_./" * 2, draw.randint(8, 24)), draw.choice(["", " ", "\n"]), path(), 1)
+        add("named", name(), some(hexa, draw.choice([16, 32, 40, 64])), draw.choice(["", " ", "\n"]), path(), 1)
+        add("assigned", quote(secret()), some(every + "!$%#@^*-_", draw.randint(8, 15)), '"', path(), 1)
+        add("named", name(), draw.choice(["", "the", "your"]) + draw.choice(names) + draw.choice(names), draw.choice(["", " ", "."]), path(), 0)
+        add("named", f"{word()} {secret().lower()}{draw.choice([' ', ': '])}", "".join(word() for _ in range(draw.randint(2, 3))).ljust(8, "e") + draw.choice(["", ".", "?"]), f" {word()}", path(), 0)
+        add("named", name(), draw.choice(["$", "$", "os.", "config.", "self."]) + "_".join(draw.choice(names) for _ in range(2)).upper().ljust(8, "S"), draw.choice(["", "["]), path(), 0)
+        add("named", name(), draw.choice("xX0*.") * draw.randint(8, 40), draw.choice(["", " "]), path(), 0)
+        add("named", name(), "https://" + ".".join(word() for _ in range(3)) + "/" + word(), draw.choice(["", " "]), path(), 0)
+        add("assigned", quote(word()), word().ljust(8, "s") + draw.choice(["", "-", "."]) + word(), '"', path(), 0)
+        add("assigned", quote(secret()), "".join(draw.choice(dictionary()) for _ in range(3)).ljust(8, "x"), '"', path(), 0)
         add("provider_key", f"{word()} ", "AKIA" + some(every[:26] + "234567", 16), " ", path(), 1)
         add("provider_key", f"{word()} = ", "ghp_" + some(every, 36), " ", path(), 1)
         add("web_token", "Bearer ", f"eyJ{some(every, 20)}.eyJ{some(every, 40)}.{some(every, 43)}", " ", path(), 1)
@@ -137,15 +167,15 @@ def model(spark: SparkSession) -> tuple[list, float]:
 def find_secrets(df: DataFrame, text: str = "text", path: str = "source", out: str = "secrets") -> DataFrame:
     """Appends ``out``: an array of (rule, s, e, score), by start."""
     trees, least = model(df.sparkSession)
-    rows = with_matches(df.withColumn("_text", F.coalesce(text, F.lit(""))).withColumn("_path", F.coalesce(F.col(path).cast("string"), F.lit(""))), "_text", {k: (p, g.format("_text")) for k, (p, g) in RULES.items()}, 48, 16).drop("_text")
+    place, held, found = fresh(df, "path_", "matches_", "found_")
+    rows = with_matches(df.withColumn(place, F.coalesce(F.col(path).cast("string"), F.lit(""))), F.col(text), RULES, held, 48, 16)
+    # a key block is scored by its BEGIN line
+    match = lambda k: "regexp_extract(x.m, '^-----BEGIN [A-Z ]*PRIVATE KEY-----', 0)" if k == "key_block" else "x.m"
+    every = ", ".join(f"transform({held}.{k}, x -> named_struct('rule', '{k}', 's', x.s, 'e', x.e, 'm', {match(k)}, 'l', x.l, 'r', x.r))" for k in RULES)
+    fields = ", ".join(f"'f{j}', CAST({f} AS double)" for j, f in enumerate(_rule("x.rule", "x", f"`{place}`")))
     score = forest_sql(trees, "c.f{}")
-    scored = []
-    for k in RULES:
-        fields = ", ".join(f"'f{j}', CAST({f} AS double)" for j, f in enumerate(_rule(k, "x", "_path")))
-        # a key block is scored by its BEGIN line
-        rows_of = f"transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'm', regexp_extract(x.m, '^-----BEGIN [A-Z ]*PRIVATE KEY-----', 0), 'l', x.l, 'r', x.r))" if k == "key_block" else k
-        scored.append(f"transform(transform({rows_of}, x -> named_struct('rule', '{k}', 's', x.s, 'e', x.e, {fields})), c -> named_struct('rule', c.rule, 's', c.s, 'e', c.e, 'score', round({score}, 6)))")
-    rows = rows.withColumn("_found", F.expr(f"filter(concat({', '.join(scored)}), c -> c.score >= {least:.6f}D)"))
+    scored = f"transform(transform(concat({every}), x -> named_struct('rule', x.rule, 's', x.s, 'e', x.e, {fields})), c -> named_struct('rule', c.rule, 's', c.s, 'e', c.e, 'score', round({score}, 6)))"
+    rows = rows.withColumn(found, F.expr(f"filter({scored}, c -> c.score >= {least:.6f}D)"))
     better = "b.s < c.e AND c.s < b.e AND (b.score > c.score OR (b.score = c.score AND (b.s < c.s OR (b.s = c.s AND (b.e > c.e OR (b.e = c.e AND b.rule < c.rule))))))"
-    rows = rows.withColumn(out, F.expr(f"array_sort(filter(_found, c -> NOT exists(_found, b -> {better})), (a, b) -> CAST(sign(a.s - b.s) AS int))"))
+    rows = rows.withColumn(out, F.expr(f"array_sort(filter({found}, c -> NOT exists({found}, b -> {better})), (a, b) -> CAST(sign(a.s - b.s) AS int))"))
     return rows.select(*[c for c in df.columns if c != out], out)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import fresh, materialise, shared_path
 from .scan import slices
 
 CACHE_SCHEMA = "text_digest string, tokenizer_digest string, n_tokens bigint"
@@ -133,6 +133,8 @@ def count_tokens(df: DataFrame, tokenizer: str, cache: str | None = None, text:
         texts = texts.join(texts.select("text_digest").distinct().join(stored, "text_digest", "left_anti"), "text_digest", "left_semi")
     misses = texts.groupBy("text_digest").agg(F.first("text").alias("text"))
     misses.mapInArrow(_encode_misses(tokenizer), "text_digest string, n_tokens bigint").select("text_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, version).select(F.col("text_digest").alias("_digest"), F.col("n_tokens").alias("_count"))
+    digest, count = fresh(df, "digest_key", "count_key")
+    # written once, so that both sides of the join are plain exchanges, whose hot digests can be split
+    counts = materialise(read_cache(spark, cache, version), "token-counts-once").select(F.col("text_digest").alias(digest), F.col("n_tokens").alias(count))
     keep = [c for c in df.columns if c != out]
-    return df.withColumn("_digest", F.sha2(clean, 256)).join(counts, "_digest", "left").select(*keep, F.col("_count").alias(out))
+    return df.withColumn(digest, F.sha2(clean, 256)).join(counts, digest, "left").select(*keep, F.col(count).alias(out))
