@@ -17,6 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan dealt evenly to all cores if it has fewer partitions than there are; such an input is small, at most a split for each core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 

@@ -27,10 +27,11 @@ def coverage(df: DataFrame, keys: Sequence[str], start: str = "start0", end: str
 
 def _until_next(df: DataFrame, keys: Sequence[str], at: str, block: int) -> DataFrame:
     """Appends the next position within keys (null for the last), block by block."""
-    df = cut(df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint")))
-    firsts = df.groupBy(*keys, "_block").agg(F.min(at).alias("_first"))
-    later = firsts.select(*keys, "_block", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_block")).alias("_later"))
-    return df.withColumn("_next", F.lead(at).over(Window.partitionBy(*keys, "_block").orderBy(at))).join(later, [*keys, "_block"]).withColumn("_next", F.coalesce("_next", "_later")).drop("_later", "_block")
+    own = Window.partitionBy(*keys, "_block").orderBy(at)
+    blocks = df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint"))
+    rows = cut(blocks.select("*", F.lead(at).over(own).alias("_next"), F.lag(F.lit(True), 1, False).over(own).alias("_on")))
+    later = rows.where(~F.col("_on")).select(*keys, "_block", F.lead(at).over(Window.partitionBy(*keys).orderBy("_block")).alias("_later"))
+    return rows.join(later, [*keys, "_block"]).select(*df.columns, F.coalesce("_next", "_later").alias("_next"))
 
 
 def above(runs: DataFrame, keys: Sequence[str], least: int, block: int = BLOCK) -> DataFrame:

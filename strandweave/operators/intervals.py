@@ -31,8 +31,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], bounds:
 
     ``bounds`` names start and end (inclusive) of the left and the right rows;
     apart from ``on`` the column names must differ.  ``how`` is inner, left_semi
-    or left_anti (these two need columns that identify left rows: all of them are
-    used).  ``extra`` is a further condition on a pair.
+    or left_anti (for these two, left rows are numbered and written first).  ``extra`` is a further condition on a pair.
     """
     ls, le, rs, re = bounds
     a = left.withColumn("_bin", _bins(F.col(ls), F.col(le), width))
@@ -43,12 +42,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], bounds:
     if how == "inner":
         owner = F.col("_bin") == F.floor(F.greatest(F.col(ls), F.col(rs)) / width)
         return a.join(b, [*on, "_bin"]).where(hit & owner).drop("_bin")
-    found = interval_join(left, right, on, bounds, extra, width).select(*left.columns).distinct()
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in left.columns]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return left.alias("l").join(found.alias("r"), condition, how)
+    rows = cut(left.withColumn("_row", F.monotonically_increasing_id()))  # written, so that a row keeps its number
+    found = interval_join(rows, right, on, bounds, extra, width).select("_row").distinct()
+    return rows.join(found, "_row", how).drop("_row")
 
 
 def contained_join(left: DataFrame, right: DataFrame, on: Sequence[str], bounds: tuple[str, str, str, str], before: int = 0, behind: int = 0, extra: Column | None = None, width: int = BIN) -> DataFrame:
@@ -63,22 +59,26 @@ def contained_join(left: DataFrame, right: DataFrame, on: Sequence[str], bounds:
     return a.join(b, [*on, "_bin"]).where(hit if extra is None else hit & extra).drop("_bin")
 
 
-def running(df: DataFrame, keys: Sequence[str], at: str, values: dict[str, tuple[str, str]], block: int = BLOCK, order: Sequence[str] = ()) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], at: str, values: dict[str, tuple[str, str]], block: int = BLOCK, order: Sequence[str] = (), before: bool = False) -> DataFrame:
     """Running aggregates along ``at`` within ``keys``, in blocks of positions.
 
     ``values`` maps new columns to (column, sum | max | min); ``order`` breaks ties of
-    ``at`` (rows of one position count one after the other).  Every block is a
-    window partition of its own; the blocks' totals (a row each) carry over.
+    ``at`` (rows of one position count one after the other); with ``before``, a row's
+    own value doesn't count.  Every block is a window partition of its own, dealt and
+    written once; the blocks' totals (their last rows) carry over.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}
-    df = cut(df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint")))
-    totals = df.groupBy(*keys, "_block").agg(*[fold[f](c).alias(n) for n, (c, f) in values.items()])
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_block", *[fold[f](F.col(n)).over(before).alias(f"_before_{n}") for n, (_, f) in values.items()])
-    inside = Window.partitionBy(*keys, "_block").orderBy(at, *order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.select("*", *[fold[f](F.col(c)).over(inside).alias(n) for n, (c, f) in values.items()]).join(carried, [*keys, "_block"])
+    own = Window.partitionBy(*keys, "_block").orderBy(at, *order)
+    inside = own.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = own.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = df.withColumn("_block", F.floor(F.col(at) / block).cast("bigint"))
+    rows = blocks.select("*", *[fold[f](c).over(inside).alias(f"_in_{n}") for n, (c, f) in values.items()], *[fold[f](c).over(earlier).alias(n) for n, (c, f) in values.items() if before], F.lead(F.lit(True), 1, False).over(own).alias("_on"))
+    rows = cut(rows)
+    over = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.where(~F.col("_on")).select(*keys, "_block", *[fold[f](F.col(f"_in_{n}")).over(over).alias(f"_before_{n}") for n, (_, f) in values.items()])
+    out = rows.join(carried, [*keys, "_block"])
     join = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest, "min": F.least}
-    return out.select(*[c for c in df.columns if c != "_block"], *[join[f](F.col(n), F.col(f"_before_{n}")).alias(n) for n, (_, f) in values.items()])
+    return out.select(*df.columns, *[join[f](F.col(n if before else f"_in_{n}"), F.col(f"_before_{n}")).alias(n) for n, (_, f) in values.items()])
 
 
 def nearest(points: DataFrame, features: DataFrame, on: Sequence[str], point: str, start: str, end: str, side: str, block: int = BLOCK) -> DataFrame:
@@ -115,13 +115,8 @@ def cluster(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: int =
     k + 1 those with up to k free positions in between.
     """
     low = df.withColumn("_s", F.col(start).cast("bigint")).withColumn("_e", F.col(end).cast("bigint"))
-    reach = running(low, keys, "_s", {"_reach": ("_e", "max")}, block, ["_e"])
-    # the reach before a row: the running maximum of the row in front of it
-    ordered = cut(reach.withColumn("_block", F.floor(F.col("_s") / block).cast("bigint")))
-    inside = Window.partitionBy(*keys, "_block").orderBy("_s", "_e")
-    last = ordered.groupBy(*keys, "_block").agg(F.max("_reach").alias("_last"))
-    carry = last.select(*keys, "_block", F.max("_last").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    opened = ordered.withColumn("_prev", F.lag("_reach").over(inside)).join(carry, [*keys, "_block"]).withColumn("_prev", F.coalesce("_prev", "_carry")).drop("_carry", "_block")
+    # the reach of all rows in front of a row
+    opened = running(low, keys, "_s", {"_prev": ("_e", "max")}, block, ["_e"], before=True)
     opened = opened.withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("_s") > F.col("_prev") + gap), 1).otherwise(0))
     # rows of one position are ordered by their end, so equal intervals stay together
     numbered = running(opened, keys, "_s", {"_no": ("_new", "sum")}, block, ["_e", F.col("_new").desc()])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.color import decode_colors, encode_colors, mismatches
+from ..lineage import cut
 
 
 def blocks(length: int, most: int, adjacent: bool = False) -> list[tuple[int, int]]:
@@ -20,11 +21,38 @@ def blocks(length: int, most: int, adjacent: bool = False) -> list[tuple[int, in
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
+def pieces(text: Column, size: int, overlap: int) -> Column:
+    """Array of the pieces of ``size`` letters of a text, each with ``overlap`` more of what follows; one pass over the text, however long."""
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    out = parts
+    for i in range(1, -(-overlap // size) + 1):
+        behind = F.slice(parts, i + 1, F.greatest(F.size(parts), F.lit(1)))
+        out = F.zip_with(out, behind, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.transform(out, lambda p: F.left(p, F.lit(size + overlap))) if overlap else out
+
+
 def chunk_reference(contigs: DataFrame, size: int, overlap: int) -> DataFrame:
     """(contig, chunk_start, seq): pieces of ``size`` bases, each with ``overlap`` more of what follows."""
-    n = F.greatest(F.lit(1), F.ceil(F.length("seq") / size)).cast("int")
-    starts = contigs.withColumn("_i", F.explode(F.sequence(F.lit(0), n - 1)))
-    return starts.select("contig", (F.col("_i").cast("bigint") * size).alias("chunk_start"), F.substring(F.col("seq"), F.col("_i") * size + 1, F.lit(size + overlap)).alias("seq"))
+    rows = contigs.select("contig", F.posexplode(pieces(F.col("seq"), size, overlap)).alias("_i", "seq"))
+    return rows.select("contig", (F.col("_i").cast("bigint") * size).alias("chunk_start"), "seq")
+
+
+def slices(texts: DataFrame, column: str, k: int, out: str, at: str | None = None, piece: int = 64) -> DataFrame:
+    """A row for every slice of ``k`` letters of a text, with the other columns, and its 0-based place in ``at``.
+
+    Slices are cut from short pieces: a slice of a long text is found by counting
+    letters from its head, which would cost the square of its length.
+    """
+    size = max(piece, k)
+    others = [c for c in texts.columns if c != column]
+    rows = texts.select(*others, F.posexplode(pieces(F.col(column), size, k - 1)).alias("_no", "_piece")).where(F.length("_piece") >= k)
+    # the last piece of a text may be no longer than its head's overlap: then its slices are its own only
+    own = F.least(F.lit(size), F.length("_piece") - k + 1)
+    cut_ = F.transform(F.sequence(F.lit(1), own), lambda i: F.substring(F.col("_piece"), i, F.lit(k)))
+    if at is None:
+        return rows.select(*others, F.explode(cut_).alias(out))
+    rows = rows.select(*others, "_no", F.posexplode(cut_).alias("_at", out))
+    return rows.select(*others, (F.col("_no").cast("bigint") * size + F.col("_at")).alias(at), out)
 
 
 def windows(chunks: DataFrame, size: int, length: int) -> DataFrame:
@@ -49,14 +77,16 @@ def _valid_pairs(read: Column, ref: Column) -> Column:
     return F.aggregate(cells, F.struct(F.lit(0).alias("n"), F.lit(None).cast("int").alias("d")), step, lambda a: a["n"])
 
 
-def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adjacent: bool = False, chunk: int = 1 << 10) -> DataFrame:
+def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adjacent: bool = False, chunk: int = 1 << 8) -> DataFrame:
     """Hits (read_id, contig, pos0, strand, mm) of reads (read_id, primer, colors) with at most ``most`` mismatches.
 
     A read of ``length`` covers its first base, decoded from the primer and the
     first colour, and length - 1 further colours.  The first base costs one
     mismatch if it differs.  ``adjacent``: a valid-adjacent pair counts once.
-    The reference is windowed once per position; the equi-join on (block, key)
-    is the only shuffle of it.
+    The reference is windowed once per position.  The reads' seeds are written
+    first, so that their size is known: where they are small, Spark broadcasts them
+    and the reference isn't shuffled at all; else the join on (block, key) is its
+    only shuffle.
     """
     ref = windows(chunk_reference(contigs, chunk, length), chunk, length)
     first = F.substring(decode_colors(F.col("primer"), F.substring("colors", 1, 1)), 2, 1)
@@ -69,7 +99,8 @@ def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adja
         seeds = F.array(*[F.struct(F.lit(i).alias("block"), F.substring(F.col(column), a + 1, b - a).alias("key")) for i, (a, b) in enumerate(cuts)])
         return df.withColumn("_seed", F.explode(seeds)).select("*", "_seed.block", "_seed.key").drop("_seed")
 
-    candidates = keyed(both, "query").where(~F.col("key").contains(".")).join(keyed(ref, "ref"), ["block", "key"])
+    seeds = cut(keyed(both, "query").where(~F.col("key").contains(".")))
+    candidates = keyed(ref, "ref").join(seeds, ["block", "key"])
     apart = mismatches(F.col("query"), F.col("ref"))
     if adjacent:
         apart = apart - _valid_pairs(F.col("query"), F.col("ref"))
@@ -98,9 +129,7 @@ def resize(seq: Column, length: int, pad: str = ".") -> Column:
 
 def kmer_counts(texts: DataFrame, k: int, column: str = "seq") -> DataFrame:
     """(kmer, n): occurrences of every k-mer; counted before the shuffle."""
-    usable = F.length(column) - k + 1
-    rows = texts.where(usable >= 1).select(F.explode(F.transform(F.sequence(F.lit(1), usable), lambda i: F.substring(F.col(column), i, F.lit(k)))).alias("kmer"))
-    return rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+    return slices(texts.select(column), column, k, "kmer").groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
 
 
 def classify_repeats(reads: DataFrame, counts: DataFrame, k: int, most: int, column: str = "seq") -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from .intervals import interval_join
 
 
@@ -88,7 +89,7 @@ def panel_groups(panels: DataFrame, n: int, column: str = "panel") -> DataFrame:
     return panels.select(column).distinct().withColumn("panel_group", F.ntile(n).over(Window.orderBy(column)))
 
 
-def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: int, chunk: int = 1 << 10) -> DataFrame:
+def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: int, chunk: int = 1 << 8) -> DataFrame:
     """Base-space mapping: (read_id, contig, pos0, strand, mm) of reads (read_id, seq) with at most ``most`` differing bases."""
     from ..functions.color import mismatches, reverse_complement
     from .mapping import blocks, chunk_reference
@@ -103,7 +104,7 @@ def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: in
         seeds = F.array(*[F.struct(F.lit(i).alias("block"), F.substring(F.col(column), a + 1, b - a).alias("key")) for i, (a, b) in enumerate(blocks(length, most))])
         return df.withColumn("_seed", F.explode(seeds)).select("*", "_seed.*").drop("_seed")
 
-    hits = keyed(both, "query").join(keyed(ref, "ref"), ["block", "key"]).withColumn("mm", mismatches(F.col("query"), F.col("ref")))
+    hits = keyed(ref, "ref").join(cut(keyed(both, "query")), ["block", "key"]).withColumn("mm", mismatches(F.col("query"), F.col("ref")))
     return hits.where(F.col("mm") <= most).select("read_id", "contig", "pos0", "strand", "mm").dropDuplicates(["read_id", "contig", "pos0", "strand"])
 
 

@@ -298,9 +298,9 @@ def seed_map_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = 24
     probes = views.sequences(spark, sf_dir, "benchmark", "item_id").where(F.length("seq") >= k)
     seeds = probes.select("item_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor(F.length("seq") / k) - 1), lambda i: F.substring(F.col("seq"), (i * k + 1).cast("int"), F.lit(k)))).alias("no", "key"))
-    docs = views.sequences(spark, sf_dir).where(F.length("seq") >= k)
-    places = docs.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("at", "key"))
-    hits = places.join(seeds, "key").select("item_id", "doc_id", (F.col("at") - F.col("no") * k).cast("bigint").alias("diagonal"))
+    places = mapping.slices(views.sequences(spark, sf_dir), "seq", k, "key", "at", 256)
+    # the seeds' size is known once they are written; small ones are broadcast, and no place is shuffled
+    hits = places.join(cut(seeds), "key").select("item_id", "doc_id", (F.col("at") - F.col("no") * k).cast("bigint").alias("diagonal"))
     return hits.groupBy("item_id", "doc_id", "diagonal").agg(F.count(F.lit(1)).alias("n_seeds"))
 
 

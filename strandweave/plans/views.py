@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lineage import spread
+
 #: Letters onto bases, in turn.
 ALPHABET, ONTO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"
 
@@ -42,4 +44,4 @@ def mates(spark: SparkSession, sf_dir: str, odd: bool) -> DataFrame:
 
 def sequences(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
     seq = F.translate(F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "")), ALPHABET, ONTO)
-    return table(spark, sf_dir, name).select(key, seq.alias("seq"))
+    return spread(table(spark, sf_dir, name).select(key, "text")).select(key, seq.alias("seq"))
