@@ -98,6 +98,12 @@ def xor_sum(colors: Column) -> Column:
     return F.aggregate(_letters(colors), F.lit(0), lambda a, c: a.bitwiseXOR(F.when(c.isin("0", "1", "2", "3"), F.ascii(c) - 48)))
 
 
+def mismatches_paired(a: Column, b: Column) -> Column:
+    """Hamming distance where any two neighbouring mismatches count once, pairs taken from the left."""
+    marks = F.array_join(F.zip_with(_letters(a), _letters(b), lambda x, y: F.when((x != y) | (x == "."), "x").otherwise("=")), "")
+    return F.length(F.replace(F.replace(marks, F.lit("xx"), F.lit("x")), F.lit("="), F.lit("")))
+
+
 def mismatches(a: Column, b: Column) -> Column:
     """Hamming distance of two strings of one length; a ``.`` always differs."""
     return F.size(F.filter(F.zip_with(_letters(a), _letters(b), lambda x, y: (x != y) | (x == ".")), lambda d: d))

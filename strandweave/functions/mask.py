@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 _ITEM = re.compile(r"(\d+)(?:\s*(\.\.|-)\s*(\d+)?)?$")
 
 
@@ -35,6 +38,18 @@ class ReadMask:
         """One digit a position: 1 is used, 0 is masked."""
         return "".join("0" if self.masked(i) else "1" for i in range(1, length + 1))
 
+    def apply(self, colors: Column) -> Column:
+        """The colours of a read, ``.`` at masked positions."""
+        hidden = F.lit(False)
+
+        def put(c: Column, i: Column) -> Column:
+            gone = hidden
+            for a, b in self.ranges:
+                gone = gone | ((i + 1 >= a) & (F.lit(True) if b is None else i + 1 <= b))
+            return F.when(gone, F.lit(".")).otherwise(c)
+
+        return F.array_join(F.transform(F.regexp_extract_all(colors, F.lit("(?s)."), F.lit(0)), put), "")
+
     def part(self, start: int, length: int) -> ReadMask:
         """The mask of positions start to start + length - 1, renumbered from 1."""
         out = ReadMask()

@@ -66,6 +66,13 @@ def junction_to_genome(pos0: Column, left_start0: Column, left_end0: Column, rig
     return F.when(at < left, left_start0 + at).otherwise(right_start0 + at - left)
 
 
+def genome_to_junction(at0: Column, left_start0: Column, left_end0: Column, right_start0: Column, right_end0: Column, strand: Column) -> Column:
+    """The 0-based position in a junction sequence of a genome position; null between and beyond the flanks."""
+    left, right = left_end0 - left_start0 + 1, right_end0 - right_start0 + 1
+    at = F.when(at0.between(left_start0, left_end0), at0 - left_start0).when(at0.between(right_start0, right_end0), left + at0 - right_start0)
+    return F.when(strand == "-", left + right - 1 - at).otherwise(at)
+
+
 def junction_sides(pos0: Column, aln_len: Column, left_len: Column, right_len: Column, strand: Column) -> tuple[Column, Column]:
     """Positions of an alignment on the left and on the right flank (genome order)."""
     first = F.when(strand == "-", left_len + right_len - pos0 - aln_len).otherwise(pos0)
@@ -105,6 +112,14 @@ def parse_regions(text: str) -> list[tuple[str, int | None, int | None]]:
     return out
 
 
+def region(text: Column) -> Column:
+    """(name, low, high) of ``id[:start[-end]]``; reversed bounds are swapped."""
+    g = lambda i: F.regexp_extract(text, r"^(.+?)(?::([0-9]+)(?:-([0-9]+))?)?$", i)
+    a, b = g(2).try_cast("bigint"), g(3).try_cast("bigint")
+    swap = b < a
+    return F.struct(g(1).alias("name"), F.when(swap, b).otherwise(a).alias("low"), F.when(swap, a).otherwise(b).alias("high"))
+
+
 def attribute(attributes: Column, key: str) -> Column:
     """A GTF attribute; null where it is missing."""
     value = F.regexp_extract(attributes, rf'(?:^|;)\s*{re.escape(key)}\s+"?([^";]*)"?', 1)
@@ -179,8 +194,10 @@ def amino_acid(codon: Column) -> Column:
 
 def translate_orf(seq: Column) -> Column:
     """Amino acids of the whole codons of a sequence."""
-    n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: amino_acid(F.substring(seq, i * 3 + 1, F.lit(3)))), "")).otherwise(F.lit(""))
+    return F.array_join(F.transform(F.regexp_extract_all(seq, F.lit("(?s).{3}"), F.lit(0)), amino_acid), "")
+
+
+# The memory models, in bytes.
 
 
 def mapper_memory(bases: int) -> float:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,6 +56,47 @@ def hypergeometric_tail(shared: int, first: int, second: int, total: int) -> flo
     return min(1.0, sum(math.exp(log(first, k) + log(total - first, second - k) - log(total, second)) for k in range(low, min(first, second) + 1)))
 
 
+def hypergeometric_tails(shared: Column, first: Column, second: Column, total: Column) -> Column:
+    """``hypergeometric_tail`` of each row."""
+
+    @F.pandas_udf("double")
+    def tail(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([hypergeometric_tail(*map(int, x)) for x in zip(a, b, c, d, strict=True)])
+
+    return tail(shared, first, second, total)
+
+
+def log10_poisson_tails(observed: Column, expected: Column) -> Column:
+    """``log10_poisson_tail`` of each row."""
+
+    @F.pandas_udf("double")
+    def tail(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([log10_poisson_tail(int(x), float(y)) for x, y in zip(a, b, strict=True)])
+
+    return tail(observed, expected)
+
+
+def permutation_ps(x: Column, y: Column, rounds: int = 10_000, seed: int = 0) -> Column:
+    """``permutation_p`` of two arrays of each row."""
+
+    @F.pandas_udf("double")
+    def p(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([permutation_p(u, v, rounds, seed) for u, v in zip(a, b, strict=True)])
+
+    return p(x, y)
+
+
+def redistributed(first: Column, second: Column, share: float, key: Column, seed: int = 0) -> Column:
+    """``redistribute`` of each row, as a struct (first, second); the draw depends on ``key`` and ``seed`` only."""
+
+    @F.pandas_udf("first bigint, second bigint")
+    def deal(a: pd.Series, b: pd.Series, k: pd.Series) -> pd.DataFrame:
+        rows = [redistribute(int(u), int(v), share, [seed, int(w) & 0xFFFFFFFF]) for u, v, w in zip(a, b, k, strict=True)]
+        return pd.DataFrame(rows, columns=["first", "second"])
+
+    return deal(first, second, key.cast("bigint"))
+
+
 def log10_poisson_tail(observed: int, expected: float) -> float:
     """log10 of the chance of ``observed`` or more events."""
     if observed <= 0:

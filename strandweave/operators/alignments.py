@@ -41,7 +41,7 @@ def select_hits(hits: DataFrame, mode: str, read: str = "read_id", score: str =
     if mode == "top_score":
         return hits.withColumn("_rank", F.rank().over(Window.partitionBy(read).orderBy(F.col(score).desc()))).where("_rank = 1").drop("_rank")
     if mode == "random":
-        w = Window.partitionBy(read).orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in (read, *ties)]), *ties)
+        w = Window.partitionBy(read).orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in (read, *ties)])), *ties)
         return hits.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
     raise ValueError(f"not a mode: {mode!r}")
 
@@ -79,10 +79,11 @@ def unaligned(reads: DataFrame, hits: DataFrame, min_score: int, read: str = "re
 
 
 def report(hits: DataFrame, low: int, high: int, min_score: int, gap: int, min_possible: int, read: str = "read_id") -> DataFrame:
-    """One row of run counters, from one aggregate per read and one over reads."""
-    best = F.max(F.struct("score")).getField("score")
-    per = hits.groupBy(read).agg(F.count(F.lit(1)).alias("n"), best.alias("best"), F.sort_array(F.collect_list("score"), False).alias("scores"))
-    second = F.coalesce(F.try_element_at("scores", F.lit(2)), F.lit(min_possible - 1))
+    """One row of run counters, from one window over each read and one aggregate over reads."""
+    w = Window.partitionBy(read).orderBy(F.col("score").desc())
+    first = hits.select(read, "score", F.row_number().over(w).alias("_rank"), F.lead("score").over(w).alias("_second"), F.count(F.lit(1)).over(Window.partitionBy(read)).alias("n")).where("_rank = 1")
+    per = first.select("n", F.col("score").alias("best"), "_second")
+    second = F.coalesce("_second", F.lit(min_possible - 1))
     inside = F.col("n").between(low, high)
     return per.agg(
         F.count(F.lit(1)).alias("n_reads"), F.count_if(F.col("n") < low).alias("n_too_few"), F.count_if(F.col("n") > high).alias("n_too_many"), F.count_if(inside).alias("n_in_range"),
@@ -123,6 +124,72 @@ def merge_junction_hits(genomic: DataFrame, junction: DataFrame, junctions: Data
     return twin
 
 
+def invalid_intervals(rows: DataFrame, mode: str, start: str = "start0", end: str = "end0") -> DataFrame:
+    """Rows whose interval ends before it starts: ``drop`` leaves them out, ``swap`` exchanges the ends, ``truncate`` cuts them to their start."""
+    wrong = F.col(end) < F.col(start)
+    if mode == "drop":
+        return rows.where(~wrong)
+    if mode == "swap":
+        return rows.withColumns({start: F.least(start, end), end: F.greatest(start, end)})
+    if mode == "truncate":
+        return rows.withColumn(end, F.greatest(start, end))
+    raise ValueError(f"not a mode: {mode!r}")
+
+
+def inside_region(rows: DataFrame, contig: str, low: int | None = None, high: int | None = None, ftype: str | None = None, start: str = "start1", end: str = "end1", name: str = "contig") -> DataFrame:
+    """Features of a type (if given) that lie inside a region."""
+    hit = F.col(name) == contig
+    for condition in (F.col(start) >= low if low is not None else None, F.col(end) <= high if high is not None else None, F.lower("ftype") == ftype.lower() if ftype else None):
+        hit = hit if condition is None else hit & condition
+    return rows.where(hit)
+
+
+def progressive(reads: DataFrame, hits: DataFrame, mode: str = "hit", delta: int = 0, read: str = "read_id") -> DataFrame:
+    """Reads that need another round of mapping: those without a hit (``hit``), without a perfect one (``perfect``), or whose best hit isn't ahead of the next by more than ``delta`` mismatches (``delta``)."""
+    if mode == "hit":
+        done = hits.select(read).distinct()
+    elif mode == "perfect":
+        done = hits.where("mm = 0").select(read).distinct()
+    elif mode == "delta":
+        w = Window.partitionBy(read).orderBy("mm")
+        done = hits.select(read, "mm", F.row_number().over(w).alias("_rank"), F.lead("mm").over(w).alias("_next")).where((F.col("_rank") == 1) & (F.col("_next").isNull() | (F.col("_next") - F.col("mm") > delta))).select(read)
+    else:
+        raise ValueError(f"not a mode: {mode!r}")
+    return reads.join(done, read, "left_anti")
+
+
+def relative(bins: DataFrame, freq: str = "freq") -> DataFrame:
+    """A histogram with ``share``, the part of all that each bin holds; the total is one row."""
+    return bins.crossJoin(F.broadcast(bins.agg(F.sum(freq).alias("_all")))).withColumn("share", F.col(freq) / F.col("_all")).drop("_all")
+
+
+def add_histograms(parts: list[DataFrame]) -> DataFrame:
+    """The sum of histograms (bin, freq)."""
+    from functools import reduce
+
+    return reduce(DataFrame.unionByName, parts).groupBy("bin").agg(F.sum("freq").alias("freq"))
+
+
+def rebinned(bins: DataFrame, width: int) -> DataFrame:
+    """A histogram in wider bins, named by their upper bound; ``width`` is a multiple of the old one."""
+    return bins.groupBy((F.ceil(F.col("bin") / width) * width).cast("bigint").alias("bin")).agg(F.sum("freq").alias("freq"))
+
+
+def in_reference_order(hits: DataFrame, read: str = "read_id") -> DataFrame:
+    """Hits sorted by contig, position and read: range partitions, each sorted, so files written from it are in order."""
+    keys = ("contig", "start0", "strand", read)
+    return hits.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def named_contigs(hits: DataFrame, names: DataFrame) -> DataFrame:
+    """Contig names (contig_idx, contig) beside the numbers of hits; unknown numbers get null."""
+    return hits.join(names, "contig_idx", "left")
+
+
+def numbered_contigs(hits: DataFrame, names: DataFrame) -> DataFrame:
+    return hits.join(names, "contig", "left")
+
+
 def gap_filter(hits: DataFrame, drop: int, read: str = "read_id", score: str = "score") -> DataFrame:
     """Hits whose score is at most ``drop`` below the read's best."""
     return hits.withColumn("_best", F.max(score).over(Window.partitionBy(read))).where(F.col(score) >= F.col("_best") - drop).drop("_best")

@@ -72,8 +72,8 @@ def junction_by_number(hits: DataFrame, junctions: DataFrame) -> DataFrame:
 
 def dicolor_counts(reads: DataFrame, column: str = "colors", pseudo: int = 1) -> DataFrame:
     """(pair, n): distinct reads that hold each pair of neighbouring colours, plus a pseudocount; pairs that never occur stay."""
-    places = F.sequence(F.lit(1), F.length(column) - 1)
-    seen = reads.where(F.length(column) > 1).select(F.explode(F.array_distinct(F.transform(places, lambda i: F.substring(F.col(column), i, F.lit(2))))).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = F.array(*[F.lit(f"{a}{b}") for a in range(4) for b in range(4)])
+    seen = reads.select(F.explode(F.filter(pairs, lambda p: F.contains(F.col(column), p))).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("_n"))
     grid = reads.sparkSession.range(16).select(F.concat(F.floor(F.col("id") / 4).cast("string"), (F.col("id") % 4).cast("string")).alias("pair"))
     return grid.join(seen, "pair", "left").select("pair", (F.coalesce("_n", F.lit(0)) + pseudo).alias("n"))
 

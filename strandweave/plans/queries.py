@@ -113,6 +113,7 @@ nearest_left, nearest_right = _nearest("left"), _nearest("right")
 
 
 def known_variant_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates are the alignments with three mismatches: a choice of the view, as for ``indel_clusters``."""
     events = views.table(spark, sf_dir, "events").select((F.col("event_id") % 3).alias("c"), F.col("user_id").alias("known_pos"))
     known = events.select(F.when(F.col("c") == 0, "A").when(F.col("c") == 1, "N").otherwise("R").alias("contig"), "known_pos").distinct()
     candidates = views.alignments(spark, sf_dir).where("mm = 3").select("contig", F.col("start0").alias("pos"), "read_id", "hit_no")
@@ -304,13 +305,13 @@ def seed_map_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("item_id", "doc_id", "diagonal").agg(F.count(F.lit(1)).alias("n_seeds"))
 
 
-def _extension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = views.sequences(spark, sf_dir).where("length(seq) >= 101")
-    return docs.select("doc_id", color.encode_colors(F.substring("seq", 1, 51)).alias("read_colors"), color.encode_colors(F.substring("seq", 51, 51)).alias("ref_colors"))
-
-
 def extend_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extension.extend_hits(_extension_rows(spark, sf_dir)).select("doc_id", "score", "aln_len", "mm", "n_pairs")
+    """Whole documents in pieces of 50 colours, each extended along the piece behind it."""
+    parts = mapping.pieces(F.col("seq"), 50, 1)
+    two = F.zip_with(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    rows = views.sequences(spark, sf_dir).select("doc_id", F.posexplode(two).alias("piece", "p"))
+    rows = rows.select("doc_id", "piece", color.encode_colors(F.col("p.x")).alias("read_colors"), color.encode_colors(F.col("p.y")).alias("ref_colors"))
+    return extension.extend_hits(rows).select("doc_id", "piece", "score", "aln_len", "mm", "n_pairs")
 
 
 def map_reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,6 +205,6 @@ def seed_masks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def provenance(spark: SparkSession, path: str) -> dict[str, str]:
-    """The ``#key=value`` lines of a file."""
-    rows = spark.read.text(path).where(F.col("value").rlike(r"^#[^=]+=")).select(F.regexp_extract("value", r"^#([^=]+)=", 1).alias("k"), F.regexp_extract("value", r"^#[^=]+=(.*)$", 1).alias("v")).limit(10_000)
+    """The ``#key=value`` lines of a file: a header, which is small; all of its lines."""
+    rows = spark.read.text(path).where(F.col("value").rlike(r"^#[^=]+=")).select(F.regexp_extract("value", r"^#([^=]+)=", 1).alias("k"), F.regexp_extract("value", r"^#[^=]+=(.*)$", 1).alias("v"))
     return {r["k"].strip(): r["v"].strip() for r in rows.collect()}
