@@ -45,6 +45,22 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+one AS (SELECT min(doc_id) AS d, ws, count(*) AS n FROM w WHERE len(ws) > 0 GROUP BY ws),
+g AS (SELECT DISTINCT d, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i : i + 4], ' ') END AS gram FROM (SELECT d, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM one)),
+size AS (SELECT d, count(*) AS n FROM g GROUP BY d),
+pair AS (SELECT a.d AS a, b.d AS b, count(*) AS both_ FROM g a JOIN g b ON a.gram = b.gram AND a.d < b.d GROUP BY a.d, b.d),
+link AS (SELECT a, b FROM pair JOIN size x ON x.d = a JOIN size y ON y.d = b WHERE both_ >= 0.8 * (x.n + y.n - both_) - 1e-9),
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT d AS v, d AS r FROM one UNION SELECT b, r FROM reach JOIN both_ways ON a = v),
+comp AS (SELECT v, min(r) AS class_id FROM reach GROUP BY v),
+named AS (SELECT doc_id, class_id FROM w JOIN one USING (ws) JOIN comp ON v = d)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, CAST(coalesce(count(*) OVER (PARTITION BY class_id), 1) AS BIGINT) AS n_class FROM named
+UNION ALL SELECT doc_id, doc_id, 1 FROM w WHERE len(ws) = 0
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"))
     return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
@@ -100,5 +116,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.with_links(out, joined)
 
 
+OP10_SQL = r"""
+WITH RECURSIVE line AS (SELECT doc_id, i, ls[i] AS t FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+sets AS (SELECT doc_id, i, t, list_sort(list_distinct(regexp_extract_all(lower(t), '[a-z0-9\x{80}-\x{10FFFF}]+'))) AS ws FROM line),
+cls AS (SELECT row_number() OVER (ORDER BY min((doc_id, i))) AS c, ws, len(ws) AS n, min((doc_id, i)) AS first_, count(*) AS times FROM sets WHERE len(ws) > 0 GROUP BY ws),
+word AS (SELECT c, n, unnest(ws) AS w FROM cls), freq AS (SELECT w, count(*) AS f FROM word GROUP BY w),
+ranked AS (SELECT c, n, w, row_number() OVER (PARTITION BY c ORDER BY f, w) AS pos FROM word JOIN freq USING (w)),
+prefix AS (SELECT c, n, w FROM ranked WHERE pos <= n - CAST(ceil(0.8 * n - 1e-9) AS BIGINT) + 1),
+cand AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefix a JOIN prefix b ON a.w = b.w AND a.c < b.c AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+link AS (SELECT a, b FROM (SELECT a, b, x.n AS n, y.n AS m, len(list_intersect(x.ws, y.ws)) AS both_ FROM cand JOIN cls x ON x.c = a JOIN cls y ON y.c = b) WHERE both_ >= 0.8 * (n + m - both_) - 1e-9),
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+degree AS (SELECT a AS c, count(*) AS degree, min(y.first_) AS e FROM both_ways JOIN cls y ON y.c = b GROUP BY a),
+placed AS (SELECT s.doc_id, s.i, s.t, k.c, k.times, coalesce(degree, 0) AS degree, (s.doc_id, s.i) > first_ AS later, coalesce(e < (s.doc_id, s.i), false) AS near FROM sets s LEFT JOIN cls k USING (ws) LEFT JOIN degree d ON d.c = k.c),
+kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (c IS NOT NULL AND (later OR near)) AS n_removed, count(*) FILTER (c IS NOT NULL AND near AND NOT later) AS n_near,
+  coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (c IS NULL OR NOT (later OR near)), '') AS text FROM placed GROUP BY doc_id),
+links AS (SELECT doc_id, CAST(sum(CASE WHEN times > 1 THEN k ELSE 0 END + degree) AS BIGINT) AS n_links FROM (SELECT doc_id, c, times, degree, count(*) AS k FROM placed WHERE c IS NOT NULL GROUP BY ALL) GROUP BY doc_id),
+edge AS (SELECT DISTINCT 'd' || doc_id AS u, 'c' || c AS v FROM placed WHERE c IS NOT NULL AND (times > 1 OR degree > 0) UNION SELECT 'c' || a, 'c' || b FROM link),
+ways AS (SELECT u, v FROM edge UNION SELECT v, u FROM edge),
+reach AS (SELECT doc_id AS r, 'd' || doc_id AS v FROM (SELECT DISTINCT doc_id FROM documents) UNION SELECT r, ways.v FROM reach JOIN ways ON ways.u = reach.v),
+comp AS (SELECT v, min(r) AS class_id FROM reach GROUP BY v)
+SELECT doc_id, class_id, n_lines, n_removed, n_near, coalesce(n_links, 0) AS n_links, sha256(text) AS kept_sha256 FROM kept LEFT JOIN links USING (doc_id) JOIN comp ON v = 'd' || doc_id
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op4_secret_scan, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op9_personal_data, op10_line_dedup)}
-ORACLES = {"op1_chat_format": OP1_SQL}
+ORACLES = {"op1_chat_format": OP1_SQL, "op2_near_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL}
