@@ -157,7 +157,7 @@ def _store(batch: pa.RecordBatch, column: str, rate: int) -> list:
     return [[wav(x or b"", rate) for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]]
 
 
-def _features(batch: pa.RecordBatch, column: str, up: int, down: int, frame: int, bands: int, tensor_frames: int, high: float, low: float) -> list:
+def _features(batch: pa.RecordBatch, column: str, stored: bool, up: int, down: int, frame: int, bands: int, tensor_frames: int, high: float, low: float) -> list:
     read, n_frames, means, segments = [], [], [], []
     spans, data, counts = [], [], []
     for media in batch.column(batch.schema.get_field_index(column)).to_pylist():
@@ -174,8 +174,24 @@ def _features(batch: pa.RecordBatch, column: str, up: int, down: int, frame: int
     flat = pa.array(np.concatenate(data) if data else np.zeros(0, np.float32), pa.float32())
     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(data) + 1, dtype=np.int32) * shape), flat)
     times = np.array(spans, dtype=np.float64).reshape(-1, 2)
+    if stored:
+        table = pa.record_batch([pa.array(times[:, 0]), pa.array(times[:, 1]), tensor_column(lists, tensor_frames, bands)], names=["start_s", "stop_s", "data"])
+        first = np.r_[0, np.cumsum(counts)].astype(np.int64)
+        return [read, n_frames, means, segments, pa.array(counts, pa.int64()), [_stream(table.slice(a, b - a)) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]]
     structs = pa.StructArray.from_arrays([pa.array(times[:, 0]), pa.array(times[:, 1]), lists], names=["start_s", "stop_s", "data"])
-    return [read, n_frames, means, segments, pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), structs)]
+    return [read, n_frames, means, segments, pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), structs)]
+
+
+def _stream(rows: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def read_tensors(stored: bytes) -> pa.Table:
+    """(start_s, stop_s, data) of a stored stream; data is a fixed-shape tensor column."""
+    return pa.ipc.open_stream(stored).read_all()
 
 
 def store_pcm(df: DataFrame, samples: str = "payload", media: str = "media", rate: int = RATE) -> DataFrame:
@@ -183,13 +199,16 @@ def store_pcm(df: DataFrame, samples: str = "payload", media: str = "media", rat
     return with_arrow(df, [StructField(media, BinaryType())], partial(_store, column=samples, rate=rate), samples)
 
 
-def audio_features(df: DataFrame, media: str = "media", up: int = UP, down: int = DOWN, frame: int = FRAME, bands: int = BANDS, tensor_frames: int = TENSOR_FRAMES, high: float = 1.05, low: float = 0.95) -> DataFrame:
-    """Appends what the stored sound holds: ``samples`` as read back, ``n_frames``, ``mel_mean`` by band, ``segments`` and ``tensors``.
+def audio_features(df: DataFrame, media: str = "media", up: int = UP, down: int = DOWN, frame: int = FRAME, bands: int = BANDS, tensor_frames: int = TENSOR_FRAMES, high: float = 1.05, low: float = 0.95, stored: bool = False) -> DataFrame:
+    """Appends what the stored sound holds: ``samples`` as read back, ``n_frames``, ``mel_mean`` by band, ``segments``, ``n_tensors`` and ``tensors``.
+
+    Tensors are an array column, or with ``stored`` an Arrow stream of fixed-shape
+    tensors with their time spans (``read_tensors``), since Spark has no such type.
 
     ``high`` and ``low`` are the segmentation thresholds as multiples of the mean energy.
     """
-    fields = [StructField("samples", BinaryType()), StructField("n_frames", LongType()), StructField("mel_mean", _parse_datatype_string("array<double>")), StructField("segments", _parse_datatype_string(SPANS)), StructField("tensors", _parse_datatype_string(TENSORS))]
-    return with_arrow(df, fields, partial(_features, column=media, up=up, down=down, frame=frame, bands=bands, tensor_frames=tensor_frames, high=high, low=low), media)
+    fields = [StructField("samples", BinaryType()), StructField("n_frames", LongType()), StructField("mel_mean", _parse_datatype_string("array<double>")), StructField("segments", _parse_datatype_string(SPANS)), StructField("n_tensors", LongType()), StructField("tensors", BinaryType() if stored else _parse_datatype_string(TENSORS))]
+    return with_arrow(df, fields, partial(_features, column=media, stored=stored, up=up, down=down, frame=frame, bands=bands, tensor_frames=tensor_frames, high=high, low=low), media)
 
 
 def tensor_column(data: pa.Array, tensor_frames: int = TENSOR_FRAMES, bands: int = BANDS) -> pa.ExtensionArray:

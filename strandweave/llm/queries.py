@@ -77,11 +77,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), audio.payload(F.col("text")).alias("payload"))
-    out = audio.audio_features(audio.store_pcm(docs).drop("payload"))
-    feature = F.concat_ws(":", F.col("n_frames").cast("string"), F.size("tensors").cast("string"), F.size("segments").cast("string"), F.array_join(F.transform("mel_mean", lambda x: F.format_number(x, 2)), ","))
+    out = audio.audio_features(audio.store_pcm(docs).drop("payload"), stored=True)
+    feature = F.concat_ws(":", F.col("n_frames").cast("string"), F.col("n_tensors").cast("string"), F.size("segments").cast("string"), F.array_join(F.transform("mel_mean", lambda x: F.format_number(x, 2)), ","))
     return out.select(
         "doc_id", "n_bytes", F.octet_length("samples").cast("bigint").alias("payload_bytes"), F.sha2("samples", 256).alias("payload_sha256"), F.crc32(F.expr("substring(samples, -16, 16)")).alias("tail_crc32"),
-        F.octet_length("media").cast("bigint").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"),
+        F.octet_length("media").cast("bigint").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"), F.sha2("tensors", 256).alias("tensors_sha256"),
     )
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandweave.llm import bpe, chat, decontaminate, lines, neardup, pii, quality, secret_scan, sketch, spans, token_counts
+from strandweave.llm import audio, bpe, chat, decontaminate, lines, neardup, pii, quality, secret_scan, sketch, spans, token_counts
 from strandweave.llm.groups import components
 from strandweave.llm.queries import tokenizer_file
 from strandweave.llm.trees import predict
@@ -164,3 +164,16 @@ def test_empty_encode(spark):
 
     df = spark.createDataFrame([(1, "", "x")], "doc_id int, text string, decoded string").where("false")
     assert bpe.bpe_encode(df, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
+
+
+def test_stored_tensors_have_one_shape(spark):
+    docs = spark.createDataFrame([(i, "ab " * n) for i, n in enumerate((0, 1, 400, 9000))], "doc_id int, text string").select("doc_id", audio.payload(F.col("text")).alias("payload"))
+    media = audio.store_pcm(docs)
+    plain = {r.doc_id: r for r in audio.audio_features(media).collect()}
+    for r in audio.audio_features(media, stored=True).collect():
+        table, want = audio.read_tensors(r.tensors), plain[r.doc_id].tensors
+        assert table.schema.field("data").type == pa.fixed_shape_tensor(pa.float32(), [audio.TENSOR_FRAMES, audio.BANDS]) and table.num_rows == r.n_tensors == len(want)
+        assert table["start_s"].to_pylist() == [x.start_s for x in want] and table["stop_s"].to_pylist() == [x.stop_s for x in want]
+        assert np.allclose(table["data"].combine_chunks().to_numpy_ndarray().reshape(len(want), -1), [x.data for x in want])
+        x = audio.features(bytes(r.samples), audio.RATE, audio.UP, audio.DOWN, audio.FRAME, audio.BANDS, audio.TENSOR_FRAMES, 1.05, 0.95)
+        assert len(x[0]) == r.n_frames and np.allclose(np.round(x[0].mean(axis=0), 2), r.mel_mean)
