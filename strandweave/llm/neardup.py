@@ -195,13 +195,15 @@ def _first_round(batches, threshold: float):
             active = active[~done[active] & (active - b.start[active] > low)]
         c, e = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (rows[:0], rows[:0])
         pairs = list(zip(b.cls[c].tolist(), b.cls[e].tolist(), strict=True))
-        if len(sent) > 500_000:
+        if len(sent) > 100_000:
             sent.clear()
         new = [i for i, p in enumerate(pairs) if p not in sent and not sent.add(p)]
         c, e = c[new], e[new]
         kind = np.r_[np.zeros(len(c), np.int32), np.ones(len(large), np.int32)]
         some = np.r_[c, large]
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(b.cls[some]), pa.array(np.r_[b.cls[e], b.key[large]]), pa.array(b.size[some], pa.int32()), pa.array(b.low[some].view(np.int64)), pa.array(b.high[some].view(np.int64))], schema=_SCHEMA)
+    del sent
+    release()
 
 
 def _across(batches, threshold: float):
