@@ -42,12 +42,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField
 
-from .common import LOWEST, fresh, materialise, numbered, renamed_ids, with_arrow
+from .common import LOWEST, fresh, materialise, numbered, renamed_ids
 from .decontaminate import expand
 from .groups import components, unite, whole_groups
-from .scan import mix, release, slices, text_buffer, words
+from .scan import mix, release, slices, words
 from .sketch import add, blocks, bloom, levels, merged
 
 CELLS = 1 << 20
@@ -496,26 +495,13 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
 
 
 def removals(joined: LineJoin) -> DataFrame:
-    """A row (doc, row, lines) for each document that loses lines (row: the hash of its text): line number, whether only a similar line precedes, and the document of the earliest such line."""
+    """A row for each document that loses lines: doc, row (the hash of its text), gone (line numbers), n_near (how many of them only a similar line precedes), and source, the document of the earliest such line."""
     here = F.struct("doc", "line")
     e = F.when(F.col("e").isNotNull(), F.struct(F.col("e.e_doc").alias("doc"), F.col("e.e_line").alias("line")))
     hit = joined.hits.withColumn("later", here > F.col("first")).withColumn("near", F.coalesce(e < here, F.lit(False))).where("later or near")
     source = F.least(F.when(F.col("later"), F.col("first.doc")), F.when(F.col("near"), F.col("e.e_doc")))
-    return hit.groupBy("doc", "row").agg(F.collect_list(F.struct("line", (~F.col("later")).alias("near"), source.alias("source"))).alias("lines"))
-
-
-def _apply(batch: pa.RecordBatch, column: str, lost: str) -> list:
-    index = batch.schema.get_field_index
-    texts, lists = batch.column(index(column)), batch.column(index(lost)).to_pylist()
-    data, offsets = text_buffer(texts)
-    n_lines = np.diff(np.r_[0, np.cumsum(data == 10, dtype=np.int64)][offsets]) + 1
-    out, removed, near, source = texts.to_pylist(), np.zeros(len(lists), np.int64), np.zeros(len(lists), np.int64), [None] * len(lists)
-    for i, rows in enumerate(lists):
-        if rows:
-            gone = {x["line"]: x for x in rows}  # copies of a row list their lines each
-            out[i] = "\n".join([t for j, t in enumerate(out[i].split("\n")) if j not in gone])
-            removed[i], near[i], source[i] = len(gone), sum(x["near"] for x in gone.values()), min(x["source"] for x in rows)
-    return [out, pa.array(n_lines), pa.array(removed), pa.array(near), source]
+    near = F.size(F.collect_set(F.when(~F.col("later"), F.col("line"))))  # sets, as copies of a row list their lines each
+    return hit.groupBy("doc", "row").agg(F.collect_set("line").alias("gone"), near.cast("bigint").alias("n_near"), F.min(source).alias("source"))
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, least: int = 5, joined: LineJoin | None = None) -> DataFrame:
@@ -533,16 +519,18 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
 
     names = ["n_lines", "n_removed", "n_near", "first_doc"]
     df = df.drop(*[n for n in names if n != doc_id])
-    key, row, may, found = fresh(df, "doc_key", "row_key", "may_lose", "lost_lines")
+    key, row, may, gone, near, source, parts = fresh(df, "doc_key", "row_key", "may_lose", "gone_", "near_", "source_", "parts_")
     flagged = _with_key(df, doc_id, key, joined).withColumn(may, may_lose(key)).withColumn(row, F.xxhash64(text))
     order = [*[c for c in df.columns if c not in names], *names]
     # texts that lose nothing stay where they are; only the others are shuffled to their removals
     plain = F.coalesce(text, F.lit(""))
     whole = flagged.where(~F.col(may)).withColumn("n_lines", (F.length(plain) - F.length(F.replace(plain, F.lit("\n"), F.lit(""))) + 1).cast("bigint"))
     whole = whole.withColumns({"n_removed": F.lit(0).cast("bigint"), "n_near": F.lit(0).cast("bigint"), "first_doc": F.lit(None).cast("bigint")})
-    fields = [StructField(text, StringType()), *[StructField(n, LongType()) for n in names]]
-    some = flagged.where(may).join(lost.select(F.col("doc").alias(key), F.col("row").alias(row), F.col("lines").alias(found)), [key, row], "left")
-    out = whole.select(*order).unionByName(with_arrow(some, fields, partial(_apply, column=text, lost=found), text).select(*order))
+    some = flagged.where(may).join(lost.toDF(key, row, gone, near, source), [key, row], "left").withColumn(parts, F.split(plain, "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))  # by a hash set, so linear in the lines
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col(parts), i)), "\n")
+    some = some.withColumns({text: F.when(F.col(gone).isNull(), F.col(text)).otherwise(kept), "n_lines": F.size(parts).cast("bigint"), "n_removed": F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("bigint"), "n_near": F.coalesce(F.col(near), F.lit(0).cast("bigint")), "first_doc": F.col(source)})
+    out = whole.select(*order).unionByName(some.select(*order))
     return renamed_ids(out, joined.ids, "first_doc", joined.key)
 
 
