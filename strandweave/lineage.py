@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder is set only where that is unset."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder is set where that is unset, in local mode only: on a cluster, other machines wouldn't see it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
         base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")

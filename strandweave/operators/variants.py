@@ -65,6 +65,17 @@ def annotate_positions(positions: DataFrame, exons: DataFrame, transcripts: Data
     return found.unionByName(rest.select("contig", "pos0", F.lit(None).cast("string").alias("transcript_id"), F.lit("intergenic").alias("place"), F.lit(None).cast("bigint").alias("codon_no"), F.lit(None).cast("int").alias("codon_pos"), F.lit(False).alias("near_splice")))
 
 
+def flanking_exons(positions: DataFrame, exons: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """Positions (contig, pos0) with the near ends of the exons (contig, start0, end0) left and right of them, and the steps to each; null where there is none."""
+    from .intervals import nearest
+
+    points = positions.select("contig", "pos0").distinct()
+    marks = exons.select("contig", F.col("start0").alias("_s"), F.col("end0").alias("_e"))
+    left = nearest(points, marks, ["contig"], "pos0", "_s", "_e", "left", block).select("contig", "pos0", F.col("flank").alias("left_end0"), F.col("distance").alias("left_steps"))
+    right = nearest(points, marks, ["contig"], "pos0", "_s", "_e", "right", block).select("contig", "pos0", F.col("flank").alias("right_start0"), F.col("distance").alias("right_steps"))
+    return left.join(right, ["contig", "pos0"])
+
+
 def codon_changes(rows: DataFrame, codon: str = "codon", place: str = "codon_pos", strand: str = "strand") -> DataFrame:
     """Appends ``changes``: for each base put at the codon position (0-2), base and amino acid; bases are those of the plus strand."""
     def put(base):

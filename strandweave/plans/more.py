@@ -13,7 +13,7 @@ from ..functions.color import IUPAC
 from ..lineage import cut, shared_folder
 from ..operators import alignments as al
 from ..operators import chain, extension, junctions, mapping, merging, ntr, pairs, variants
-from ..sources import readers, writers
+from ..sources import readers, store, writers
 from . import views
 from .oracles import ALN, FEAT, SEQ, SEQS
 
@@ -498,6 +498,36 @@ w AS (SELECT contig, pos, k, pos AS opened FROM p WHERE k = 1 UNION ALL SELECT p
 SELECT contig, opened AS start, max(pos) AS "end", count(DISTINCT (r_pos, f_pos)) AS n_unique, count(*) AS n_total, min(size) AS min_size, max(size) AS max_size FROM t JOIN w USING (contig, pos) GROUP BY contig, opened"""
 
 
+_JHITS = f"""{ALN}, {FEAT}, jn AS (SELECT feature_id AS junction_no, contig, CASE WHEN f_strand = '-' THEN '-' ELSE '+' END AS gene, start1 AS ls, end1 + 50 AS rs, feature_id % 2 = 0 AS known FROM feat),
+jh AS (SELECT read_id, start0 AS junction_no, strand, (read_id + hit_no) % 30 AS p, 15 + aln_len % 15 AS n, mm, 15 + aln_len % 15 - 2 * mm AS score FROM aln WHERE hit_no % 2 = 1),
+ju AS (SELECT h.*, j.contig, gene, ls, rs, known, CASE WHEN gene = '-' THEN 60 - p - n ELSE p END AS f FROM jh h JOIN jn j USING (junction_no) WHERE strand = '+'),
+jg AS (SELECT *, CASE WHEN f < 30 THEN ls - 1 + f ELSE rs - 1 + f - 30 END AS s0, CASE WHEN f + n - 1 < 30 THEN ls - 1 + f + n - 1 ELSE rs - 1 + f + n - 1 - 30 END AS e0, score - CASE WHEN known THEN 2 ELSE 4 END AS sc, greatest(0, least(f + n, 30) - f) AS on_left FROM ju),
+jk AS (SELECT read_id, contig, gene AS strand, s0 AS start0, e0 AS end0, n AS aln_len, sc AS score, mm, junction_no FROM jg WHERE on_left >= 4 AND n - on_left >= 4 AND sc >= 10),
+every AS (SELECT read_id, contig, strand, start0, end0, aln_len, score, mm, CAST(NULL AS BIGINT) AS junction_no FROM aln WHERE score >= 10 UNION ALL SELECT * FROM jk)"""
+
+
+@sql(f"""WITH {_JHITS} SELECT * FROM every a WHERE NOT EXISTS (SELECT 1 FROM every b WHERE a.read_id = b.read_id AND a.contig = b.contig AND a.strand = b.strand AND (a.start0 = b.start0 OR a.end0 = b.end0) AND (a.junction_no IS NULL) <> (b.junction_no IS NULL)
+AND (b.score > a.score OR (b.score = a.score AND b.junction_no IS NULL)))""")
+def genomic_and_junction_hits(spark, sf_dir):
+    hits, f = views.alignments(spark, sf_dir), views.features(spark, sf_dir)
+    j = f.select(F.col("feature_id").cast("int").alias("junction_no"), F.col("contig").alias("contig_id"), F.when(F.col("f_strand") == "-", "-").otherwise("+").alias("strand"), F.col("start1").alias("left_start1"), (F.col("start1") + 29).alias("left_end1"), (F.col("end1") + 50).alias("right_start1"), (F.col("end1") + 79).alias("right_end1"), (F.col("feature_id") % 2 == 0).alias("is_known"))
+    n = 15 + F.col("aln_len") % 15
+    on = hits.where("hit_no % 2 = 1").select("read_id", F.col("start0").cast("int").alias("junction_no"), ((F.col("read_id") + F.col("hit_no")) % 30).alias("start0"), n.alias("aln_len"), "strand", "mm", (n - 2 * F.col("mm")).alias("score"))
+    out = al.merge_junction_hits(hits.drop("end0", "hit_no"), on, j, 2, 4, 10)
+    return out.withColumn("junction_no", F.col("junction_no").cast(L))
+
+
+_INTER = f"{FEAT}, pts AS (SELECT DISTINCT CASE l_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS contig, l_partkey * 3 AS pos0 FROM lineitem)"
+
+
+@sql(f"""WITH {_INTER} SELECT contig, pos0, l AS left_end0, pos0 - l AS left_steps, r AS right_start0, r - pos0 AS right_steps FROM (SELECT contig, pos0, (SELECT max(end1 - 1) FROM feat f WHERE f.contig = p.contig AND end1 - 1 < pos0) AS l, (SELECT min(start1 - 1) FROM feat f WHERE f.contig = p.contig AND start1 - 1 > pos0) AS r FROM pts p)""")
+def flanking_exons(spark, sf_dir):
+    s = F.col("l_suppkey") % 3
+    points = views.table(spark, sf_dir, "lineitem").select(F.when(s == 0, "A").when(s == 1, "N").otherwise("R").alias("contig"), (F.col("l_partkey") * 3).alias("pos0"))
+    marks = views.features(spark, sf_dir).select("contig", (F.col("start1") - 1).alias("start0"), (F.col("end1") - 1).alias("end0"))
+    return variants.flanking_exons(points, marks, 1 << 12)
+
+
 # -- formats: written to the shared folder, read back -------------------------
 
 
@@ -664,3 +694,19 @@ def hit_feature_scan(spark, sf_dir):
 def counted_features(spark, sf_dir):
     counts = views.table(spark, sf_dir, "lineitem").where("l_suppkey % 4 = 3").groupBy(F.col("l_partkey").alias("feature_id")).agg(F.count(F.lit(1)).alias("n_reads"))
     return writers.count_features(views.features(spark, sf_dir).withColumn("phase", F.lit(".")), counts).select("feature_id", "phase")
+
+
+@sql(f"WITH {ALN}, {SEQS}, spans AS (SELECT read_id, hit_no, substr(seq, start0 + 1, aln_len) AS seq FROM aln JOIN seqs ON doc_id = read_id % 97) SELECT read_id, hit_no, seq FROM spans WHERE seq <> ''")
+def stored_spans(spark, sf_dir):
+    """Spans from a reference store of small chunks, several of which a span may touch."""
+    path = _path(spark, "reference")
+    store.write_reference(_doc_contigs(spark, sf_dir), path, 32)
+    spans = views.alignments(spark, sf_dir).select("read_id", "hit_no", (F.col("read_id") % 97).cast("string").alias("contig"), "start0", F.col("aln_len").alias("length"))
+    return store.read_spans(spans, path, 32).where("seq <> ''").select("read_id", "hit_no", "seq")
+
+
+@sql(f"WITH {ALN} SELECT read_id, hit_no, start0, strand FROM aln WHERE contig = 'N' AND start0 >= 50")
+def stored_hits(spark, sf_dir):
+    path = _path(spark, "hits")
+    store.write_hits(views.alignments(spark, sf_dir), path)
+    return store.hits_from(spark, path, "N", 50).select("read_id", "hit_no", "start0", "strand")

@@ -42,9 +42,10 @@ def feature_lines(features: DataFrame) -> DataFrame:
 
 
 def hit_features(hits: DataFrame, source: str = "strandweave") -> DataFrame:
-    """FEATURES rows of unique hits: one for a genomic hit, two (the flanks' parts) for a junction hit with ``parts``, an array of (start0, end0)."""
+    """FEATURES rows of unique hits: one for a genomic hit, two (the flanks' parts) for a junction hit with ``parts``, an array of (start0, end0); columns rs, g, i, jp and jt become attributes."""
     rows = hits.withColumn("parts", F.coalesce("parts", F.array(F.struct(F.col("start0"), F.col("end0"))))) if "parts" in hits.columns else hits.withColumn("parts", F.array(F.struct(F.col("start0"), F.col("end0"))))
-    attributes = F.concat(F.lit("bd="), F.col("read_id").cast("string"), F.lit(";mm="), F.col("mm").cast("string"))
+    more = [x for c in ("rs", "g", "i", "jp", "jt") if c in hits.columns for x in (F.lit(f";{c}="), _dot(F.col(c)))]
+    attributes = F.concat(F.lit("bd="), F.col("read_id").cast("string"), F.lit(";mm="), F.col("mm").cast("string"), *more)
     return rows.select(F.col("contig").alias("contig_id"), F.lit(source).alias("source"), F.lit("read").alias("ftype"), F.explode("parts").alias("p"), F.col("score").cast("string").alias("score"), "strand", F.lit(None).cast("string").alias("phase"), attributes.alias("attributes")).select("contig_id", "source", "ftype", (F.col("p.start0") + 1).alias("start1"), (F.col("p.end0") + 1).alias("end1"), "score", "strand", "phase", "attributes")
 
 

@@ -1,6 +1,7 @@
 """Operators that the registered queries don't reach, and plans that must hold at scale."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strandweave.functions import stats
@@ -8,7 +9,8 @@ from strandweave.functions.mask import ReadMask
 from strandweave.operators import alignments as al
 from strandweave.operators import mapping, ntr
 from strandweave.operators.extension import rescore
-from strandweave.sources import readers
+from strandweave.settings import layered
+from strandweave.sources import readers, store
 from strandweave.streaming import hits as streaming
 
 
@@ -71,3 +73,25 @@ def test_reference_order(spark):
     df = al.in_reference_order(spark.createDataFrame(rows, "read_id string, contig string, start0 long, strand string"))
     got = [(r.contig, r.start0, r.strand, r.read_id) for r in df.collect()]
     assert got == sorted(got)
+
+
+def test_reference_store(spark, tmp_path):
+    text = "".join("ACGT"[i * i * 7 % 4] for i in range(1000))
+    df = spark.createDataFrame([("a", text), ("b", text[::-1])], "contig string, seq string")
+    store.write_reference(df, f"{tmp_path}/ref", 64)
+    for at, n in ((0, 10), (60, 10), (63, 200), (990, 50)):
+        assert [r.seq for r in store.read_span(spark, f"{tmp_path}/ref", "a", at, n, 64).collect()] == [text[at : at + n]]
+    assert store.read_span(spark, f"{tmp_path}/ref", "a", 5000, 5, 64).count() == 0
+    plan = spark.read.parquet(f"{tmp_path}/ref").where("contig = 'a' and chunk_start > 5")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(contig,a)" in plan and "GreaterThan(chunk_start,5)" in plan
+
+
+def test_layered_settings(tmp_path):
+    (tmp_path / "a.ini").write_text("x = 2\ny = b\n")
+    (tmp_path / "b.ini").write_text("y = c\n")
+    files = [str(tmp_path / n) for n in ("a.ini", "b.ini", "none.ini")]
+    assert layered({"x": "1", "y": "a", "z": "9"}, files, {"z": "8"}, {"x": int}) == {"x": 2, "y": "c", "z": "8"}
+    with pytest.raises(ValueError, match="unknown settings: w"):
+        layered({"x": "1"}, (), {"w": "1"})
+    with pytest.raises(ValueError, match="x: "):
+        layered({"x": "one"}, checks={"x": int})
