@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegralType, StructField, StructType
 
+from ..lineage import shared_folder
 from .scan import slices
 
 LOWEST = -(1 << 63)  # the key of a null id
@@ -22,14 +22,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a local one is set only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
-            base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
