@@ -81,6 +81,18 @@ def running(df: DataFrame, keys: Sequence[str], at: str, values: dict[str, tuple
     return out.select(*df.columns, *[join[f](F.col(n if before else f"_in_{n}"), F.col(f"_before_{n}")).alias(n) for n, (_, f) in values.items()])
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """Appends the place (from 1) of each row in an order: sorted range partitions, and the sizes of those in front (a row each).  Ties are in no fixed order."""
+    keys = [f"_order_{i}" for i in range(len(order))]
+    rows = df.withColumns({k: F.col(c) if isinstance(c, str) else c for k, c in zip(keys, order, strict=True)})
+    rows = cut(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id()).drop(*keys))
+    placed = rows.withColumn("_part", F.shiftright("_m", 33)).withColumn("_in", F.col("_m") - F.shiftleft("_part", 33))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    front = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_front"))
+    return placed.join(front, "_part").select(*df.columns, (F.col("_front") + F.col("_in") + 1).alias(out))
+
+
 def nearest(points: DataFrame, features: DataFrame, on: Sequence[str], point: str, start: str, end: str, side: str, block: int = BLOCK) -> DataFrame:
     """For each point the distance to the nearest feature that ends left (or starts right) of it.
 

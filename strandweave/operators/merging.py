@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
-from .intervals import interval_join
+from .intervals import interval_join, numbered
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -86,7 +86,13 @@ def some_panels(panels: DataFrame, n: int, seed: int | None = None, column: str
 
 def panel_groups(panels: DataFrame, n: int, column: str = "panel") -> DataFrame:
     """Panels in ``n`` groups of equal size, in order."""
-    return panels.select(column).distinct().withColumn("panel_group", F.ntile(n).over(Window.orderBy(column)))
+    rows = numbered(panels.select(column).distinct(), [column], "_place")
+    total = rows.agg(F.count(F.lit(1)).alias("_all"))  # one row
+    small, more = F.floor(F.col("_all") / n), F.col("_all") % n
+    # the first groups hold one more, as ntile has it
+    edge, at = more * (small + 1), F.col("_place") - 1
+    group = F.when(at < edge, F.floor(at / (small + 1))).otherwise(more + F.floor((at - edge) / F.greatest(small, F.lit(1)))) + 1
+    return rows.crossJoin(F.broadcast(total)).withColumn("panel_group", group.cast("int")).drop("_place", "_all")
 
 
 def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: int, chunk: int = 1 << 8) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import color, stats
 from ..functions.scalar import natural_key
 from ..lineage import cut
 from ..operators import alignments as al
-from ..operators import counting, coverage, extension, intervals, junctions, mapping, ntr, pairs, variants
+from ..operators import counting, coverage, extension, intervals, junctions, mapping, merging, ntr, pairs, variants
 from . import views
 
 GAP, MIN_POSSIBLE, MIN_SCORE, MAX_LOCI = 4, 10, 10, 4
@@ -349,11 +349,11 @@ def panel_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def equal_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "supplier").select("s_suppkey", F.ntile(7).over(Window.orderBy("s_suppkey")).alias("panel_group"))
+    return merging.panel_groups(views.table(spark, sf_dir, "supplier"), 7, "s_suppkey")
 
 
 def natural_sort_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "supplier").select("s_name", F.row_number().over(Window.orderBy(*natural_key(F.col("s_name")))).alias("place"))
+    return intervals.numbered(views.table(spark, sf_dir, "supplier").select("s_name"), natural_key(F.col("s_name")), "place")
 
 
 QUERIES = {
