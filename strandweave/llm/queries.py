@@ -95,6 +95,32 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: White space as Python's texts split at it; RE2 knows the ASCII part only.
+_SPACE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WORDS = "regexp_extract_all(lower({}), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+OP5_SQL = rf"""
+WITH item AS (SELECT row_number() OVER () AS k, t, {_WORDS.format("t")} AS ws FROM (SELECT DISTINCT coalesce(text, '') AS t FROM benchmark)),
+stat AS (SELECT count(*) AS n, avg(len(ws)) AS mean FROM item),
+tf AS (SELECT k, w, count(*) AS tf FROM (SELECT k, unnest(ws) AS w FROM item) GROUP BY k, w),
+df AS (SELECT w, count(*) AS df FROM tf GROUP BY w),
+raw AS (SELECT k, w, ln(1 + (n - df + 0.5e0) / (df + 0.5e0)) * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * len(ws) / greatest(1, mean))) AS v, least(1, 64e0 / greatest(1, len(ws))) AS reach FROM tf JOIN df USING (w) JOIN item USING (k), stat),
+post AS (SELECT k, w, v / greatest(0.6e0 * sum(v) OVER (PARTITION BY k) * reach, 1e-9) AS v FROM raw),
+doc AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+step AS (SELECT d, unnest(ws) AS w, unnest(range(len(ws))) // 64 AS step FROM doc),
+win AS (SELECT DISTINCT d, step + x AS win, w FROM step, (VALUES (0), (1)) t(x) WHERE w IN (SELECT w FROM post)),
+hit AS (SELECT d, k, max(s) AS bm25 FROM (SELECT d, win, k, sum(v) AS s FROM win JOIN post USING (w) GROUP BY ALL) WHERE s >= 1 - 1e-9 GROUP BY d, k),
+tok AS (SELECT k, t, regexp_extract_all(t, '[^{_SPACE}]+[{_SPACE}]*') AS ts FROM item),
+cut AS (SELECT k, t, ts, list_max(list_filter(range(3, len(ts) - 2), lambda i: regexp_matches(ts[i], '([.?!…][{_SPACE}]+|\n)$'))) AS c FROM tok),
+half AS (SELECT k, {_WORDS.format("CASE WHEN c IS NULL THEN t ELSE array_to_string(ts[1:c], '') END")} AS q, {_WORDS.format("CASE WHEN c IS NULL THEN '' ELSE array_to_string(ts[c + 1:], '') END")} AS a FROM cut),
+part AS (SELECT k, len(q) AS c, list_concat(q, a) AS ws, least(5, len(q) + len(a)) AS n FROM half),
+gram AS (SELECT DISTINCT k, n, i + n - 1 > c AS answer, array_to_string(ws[i : i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM part)),
+own AS (SELECT DISTINCT d, n, array_to_string(ws[i : i + n - 1], ' ') AS g FROM (SELECT d, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM (SELECT DISTINCT d, n FROM hit JOIN part USING (k)) JOIN doc USING (d))),
+share AS (SELECT d, k, avg(CASE WHEN own.g IS NULL THEN 0 ELSE 1 END) FILTER (NOT answer) AS q, avg(CASE WHEN own.g IS NULL THEN 0 ELSE 1 END) FILTER (answer) AS a FROM hit JOIN gram USING (k) LEFT JOIN own USING (d, n, g) GROUP BY d, k)
+SELECT doc_id, item_id, round_even(bm25, 6) AS bm25, round_even(coalesce(q, 1e0), 6) AS question_overlap, round_even(coalesce(a, 1e0), 6) AS answer_overlap
+FROM hit JOIN share USING (d, k) JOIN doc USING (d) JOIN item USING (k) JOIN benchmark b ON coalesce(b.text, '') = t WHERE coalesce(q, 1) >= 0.5 AND coalesce(a, 1) >= 0.5
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
@@ -140,4 +166,4 @@ SELECT doc_id, class_id, n_lines, n_removed, n_near, coalesce(n_links, 0) AS n_l
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_dedup, op3_token_counts, op4_secret_scan, op5_decontaminate, op6_byte_bpe, op7_media_columns, op8_quality, op9_personal_data, op10_line_dedup)}
-ORACLES = {"op1_chat_format": OP1_SQL, "op2_near_dedup": OP2_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES = {"op1_chat_format": OP1_SQL, "op2_near_dedup": OP2_SQL, "op5_decontaminate": OP5_SQL, "op10_line_dedup": OP10_SQL}

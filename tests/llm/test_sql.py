@@ -11,7 +11,7 @@ from ..test_queries import SF, plain
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     cur = c.execute(queries.ORACLES[name])
     names, df = [d[0] for d in cur.description], queries.QUERIES[name](spark, SF)
