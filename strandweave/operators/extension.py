@@ -135,6 +135,77 @@ def one_indel(read: str, ref: str, longest: int) -> tuple[int, int, int] | None:
     return best
 
 
+def indel_scan(read: np.ndarray, ref: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``one_indel`` of many reads at all places at once: (mismatches, size, matched in front) for each row and place, size 0 where nothing fits.
+
+    ``read`` and ``ref`` are code matrices; place 0 is column ``longest`` of ``ref``, which
+    ends ``longest`` columns behind the last place's read.
+    """
+    k, n = read.shape
+    starts = ref.shape[1] - n + 1
+    places = starts - 2 * longest
+    wrong = np.zeros((n + 1, k, starts), np.int16)
+    for i in range(n):
+        wrong[i + 1] = wrong[i] + ((ref[:, i : i + starts] != read[:, i : i + 1]) | (read[:, i : i + 1] == NO))
+    sums = lambda a, f: np.concatenate([np.zeros((k, 1), np.int32), f.accumulate(a.astype(np.int32), axis=1)], axis=1)
+    ref_xor, ref_none = sums(np.where(ref == NO, 0, ref), np.bitwise_xor), sums(ref == NO, np.add)
+    read_xor, read_none = sums(np.where(read == NO, 0, read), np.bitwise_xor), sums(read == NO, np.add)
+    best, size, cut = np.full((k, places), n + 1, np.int32), np.zeros((k, places), np.int32), np.zeros((k, places), np.int32)
+    at = lambda i: slice(i, i + places)
+    for d in range(1, longest + 1):
+        for step in (d, -d):
+            for c in range(1, n if step > 0 else n - d):
+                if step > 0:  # d + 1 reference colours became one
+                    a, b, behind = at(longest + c), at(longest + c + d + 1), c + 1
+                    fits = ((ref_xor[:, b] ^ ref_xor[:, a]) == read[:, c : c + 1]) & (ref_none[:, b] == ref_none[:, a])
+                else:  # one reference colour became d + 1
+                    behind = c + d + 1
+                    whole = (read_none[:, behind] == read_none[:, c])[:, None]
+                    fits = (ref[:, at(longest + c)] == (read_xor[:, behind] ^ read_xor[:, c])[:, None]) & whole
+                there = at(longest + step)
+                total = wrong[c][:, at(longest)] + wrong[n][:, there] - wrong[behind][:, there]
+                better = fits & (total < best)
+                best[better], size[better], cut[better] = total[better], step, c
+    return best, size, cut
+
+
+def align_banded(rows: DataFrame, band: int, read: str = "read_colors", ref: str = "ref_colors", match: int = 1, mismatch: int = -1, gap: int = -2) -> DataFrame:
+    """Appends ``banded``'s gap_score, ref_end and n_gaps; rows of equal lengths go through the cells together."""
+    names = ("gap_score", "ref_end", "n_gaps")
+    kept = [c for c in rows.columns if c not in names]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            a, b = frame[read].fillna(""), frame[ref].fillna("")
+            out = np.zeros((len(frame), 3), np.int64)
+            for _, part in pd.DataFrame({"n": a.str.len().to_numpy(), "m": b.str.len().to_numpy()}).groupby(["n", "m"]):
+                i = part.index.to_numpy()
+                out[i] = _banded(*(np.array([list(t.encode("ascii", "replace")) for t in x.iloc[i]], np.int64).reshape(len(i), -1) for x in (a, b)), band, match, mismatch, gap)
+            yield frame[kept].assign(**{c: out[:, j] for j, c in enumerate(names)})
+
+    types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInPandas(run, ", ".join(filter(None, [types, *[f"{c} bigint" for c in names]])))
+
+
+def _banded(a: np.ndarray, b: np.ndarray, band: int, match: int, mismatch: int, gap: int) -> np.ndarray:
+    # a cell is score * big - gaps, so that the greater one has the better score, then the fewer gaps
+    (k, n), m, big = a.shape, b.shape[1], 1 << 20
+    low = -(10**9) * big
+    cell = np.zeros((k, m + 1), np.int64)
+    for i in range(1, n + 1):
+        row = np.full((k, m + 1), low, np.int64)
+        if i <= band:
+            row[:, 0] = i * (gap * big - 1)
+        for j in range(max(1, i - band), min(m, i + band + max(0, m - n)) + 1):
+            same = (a[:, i - 1] == b[:, j - 1]) & (a[:, i - 1] != ord("."))
+            row[:, j] = np.maximum.reduce([cell[:, j - 1] + np.where(same, match, mismatch) * big, cell[:, j] + gap * big - 1, row[:, j - 1] + gap * big - 1])
+        cell = row
+    score = -(-cell // big)
+    end = score.argmax(axis=1)
+    top = cell[np.arange(k), end]
+    return np.stack([-(-top // big), end, -(-top // big) * big - top], axis=1)
+
+
 def rescore(rows: DataFrame, read: str = "read_colors", ref: str = "ref_colors", quality: str = "quality", most: int = 10) -> DataFrame:
     """Appends ``cost``: the summed quality weights of the mismatches (``quality``: array<int>)."""
     kept = [c for c in rows.columns if c != "cost"]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .extension import NO, color_array, indel_scan
+
 # Hits of the two tags: (bead_id, contig, strand, pos, len, mm, score); columns of the pair are prefixed r_ and f_.
 
 
@@ -71,6 +74,39 @@ def best_by_mismatch(hits: DataFrame, keys: list[str]) -> DataFrame:
     return hits.withColumn("_rank", F.rank().over(Window.partitionBy(*keys).orderBy("mm"))).where("_rank = 1").drop("_rank")
 
 
+def _probes(anchors: DataFrame, mates: DataFrame, chunks: DataFrame, chunk: int, low: int, high: int) -> DataFrame:
+    """Each anchor with its mate's colours and every chunk that the window low..high behind it touches."""
+    touch = F.sequence(F.floor((F.col("pos") + low) / chunk).cast("bigint"), F.floor((F.col("pos") + high) / chunk).cast("bigint"))
+    probes = anchors.join(mates.select("bead_id", F.col("colors").alias("mate")), "bead_id").withColumn("_no", F.explode(touch))
+    refs = chunks.withColumn("_no", F.floor(F.col("chunk_start") / chunk).cast("bigint")).select("contig", "_no", "chunk_start", F.col("colors").alias("ref"))
+    return probes.join(refs, ["contig", "_no"]).select("bead_id", "contig", "pos", "mate", "chunk_start", "ref")
+
+
+def _slabs(frame: pd.DataFrame, chunk: int, low: int, high: int, margin: int, cells: int = 1 << 22) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, mates, references, first place, number of places) of rows with mates of one length, ``cells`` colours times read places at most (or one row).
+
+    Reference rows start ``margin`` codes in front of the first place and end ``margin``
+    behind the last read's end; what lies outside the chunk has no call.
+    """
+    size, wide = frame["mate"].str.len().to_numpy(), frame["ref"].str.len().to_numpy()
+    start = frame["chunk_start"].to_numpy()
+    first = np.maximum(frame["pos"].to_numpy() + low, start)
+    count = np.minimum.reduce([frame["pos"].to_numpy() + high, start + chunk - 1, start + wide - size]) - first + 1
+    for n in np.unique(size[(count > 0) & (size > 0)]):
+        some = np.flatnonzero((size == n) & (count > 0))
+        some = some[np.argsort(count[some], kind="stable")]
+        while len(some):
+            rows = max(1, int(cells // ((count[some[-1]] + n + 2 * margin) * (n + 1))))
+            part, some = some[-rows:], some[:-rows]
+            picked, most = frame.iloc[part], int(count[part].max())
+            mates_, _ = color_array(picked["mate"].tolist())
+            at = first[part] - start[part]
+            refs, _ = color_array([r[i : i + c + n - 1 + margin] for r, i, c in zip(picked["ref"], at, count[part], strict=True)])
+            held = np.full((len(part), 2 * margin + most + n - 1), NO, np.uint8)
+            held[:, margin : margin + refs.shape[1]] = refs[:, : held.shape[1] - margin]
+            yield picked, mates_, held, first[part], count[part]
+
+
 def rescue(anchors: DataFrame, mates: DataFrame, chunks: DataFrame, chunk: int, low: int, high: int, most: int) -> DataFrame:
     """Ungapped search for a mate in the window low..high behind its anchor.
 
@@ -78,34 +114,49 @@ def rescue(anchors: DataFrame, mates: DataFrame, chunks: DataFrame, chunk: int,
     chunk_start, colors) starting at multiples of ``chunk`` and overlapping by a read
     length or more.  Each anchor meets the chunks its window touches; every position of
     the window is owned by one chunk.  Returns placements with the fewest mismatches,
-    at most ``most``.
+    at most ``most``.  All rows of a slab go through one numpy operation a colour.
     """
-    touch = F.sequence(F.floor((F.col("pos") + low) / chunk).cast("bigint"), F.floor((F.col("pos") + high) / chunk).cast("bigint"))
-    probes = anchors.join(mates.select("bead_id", F.col("colors").alias("mate")), "bead_id").withColumn("_no", F.explode(touch))
-    refs = chunks.withColumn("_no", F.floor(F.col("chunk_start") / chunk).cast("bigint")).select("contig", "_no", "chunk_start", F.col("colors").alias("ref"))
-    rows = probes.join(refs, ["contig", "_no"]).select("bead_id", "contig", "pos", "mate", "chunk_start", "ref")
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
         for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                mate, ref = np.frombuffer(row.mate.encode(), np.uint8), np.frombuffer(row.ref.encode(), np.uint8)
-                first = max(row.pos + low, row.chunk_start) - row.chunk_start
-                last = min(row.pos + high, row.chunk_start + chunk - 1, row.chunk_start + len(ref) - len(mate)) - row.chunk_start
-                if last < first or not len(mate):
-                    continue
-                windows = np.lib.stride_tricks.sliding_window_view(ref[first : last + len(mate)], len(mate))
-                mm = ((windows != mate) | (mate == ord("."))).sum(axis=1)
-                for i in np.flatnonzero(mm <= most):
-                    out.append((row.bead_id, row.contig, int(row.chunk_start + first + i), int(mm[i])))
-            yield pd.DataFrame(out, columns=["bead_id", "contig", "pos", "mm"])
+            for rows, mate, ref, first, count in _slabs(frame, chunk, low, high, 0):
+                places = ref.shape[1] - mate.shape[1] + 1
+                mm = np.zeros((len(rows), places), np.int32)
+                for i in range(mate.shape[1]):
+                    mm += (ref[:, i : i + places] != mate[:, i : i + 1]) | (mate[:, i : i + 1] == NO)
+                r, p = np.nonzero((mm <= most) & (np.arange(places) < count[:, None]))
+                yield pd.DataFrame({"bead_id": rows["bead_id"].to_numpy()[r], "contig": rows["contig"].to_numpy()[r], "pos": first[r] + p, "mm": mm[r, p]})
 
     kind = anchors.schema["bead_id"].dataType.simpleString()
+    rows = _probes(anchors, mates, chunks, chunk, low, high)
     return best_by_mismatch(rows.mapInPandas(search, f"bead_id {kind}, contig string, pos bigint, mm int"), ["bead_id"])
 
 
+def rescue_indel(anchors: DataFrame, mates: DataFrame, chunks: DataFrame, chunk: int, low: int, high: int, longest: int, most: int, limit: int | None = None) -> DataFrame:
+    """Search for a mate with exactly one indel of up to ``longest`` bases, in the window of ``rescue``.
+
+    (bead_id, contig, pos, size, cut, mm): ``cut`` colours in front of the indel, positive
+    sizes for reference bases that the read lacks; a place's best split (fewest mismatches,
+    then the shortest indel, deletions first, then the smallest cut).  Chunks overlap by a
+    read length and ``longest`` or more.  Each bead keeps its placements with the fewest
+    mismatches, at most ``limit`` of them (shortest indel, contig, place) where that is set.
+    """
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for rows, mate, ref, first, count in _slabs(frame, chunk, low, high, longest):
+                mm, size, cut = indel_scan(mate, ref, longest)
+                r, p = np.nonzero((size != 0) & (mm <= most) & (np.arange(mm.shape[1]) < count[:, None]))
+                yield pd.DataFrame({"bead_id": rows["bead_id"].to_numpy()[r], "contig": rows["contig"].to_numpy()[r], "pos": first[r] + p, "size": size[r, p], "cut": cut[r, p], "mm": mm[r, p]})
+
+    kind = anchors.schema["bead_id"].dataType.simpleString()
+    found = best_by_mismatch(_probes(anchors, mates, chunks, chunk, low, high).mapInPandas(search, f"bead_id {kind}, contig string, pos bigint, size int, cut int, mm int"), ["bead_id"])
+    if limit is None:
+        return found
+    order = Window.partitionBy("bead_id").orderBy(F.abs("size"), "contig", "pos", F.desc("size"))
+    return found.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit).drop("_rank")
+
+
 INDEL = r"^([^,]+),(\d+)_(-?\d+)(?:\.\d+)?\|(\d+)_(-?\d+)\.(\d+)\.(\d+)\((\d+),(\d+)_(\d+)\)$"
 
 

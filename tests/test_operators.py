@@ -273,3 +273,43 @@ def test_simulators_repeat(spark):
     p = simulate.simulate_pairs(spark, contigs, 30).collect()
     assert all(r.f_pos - r.r_pos + 25 == r.distance for r in p)
     assert simulate.simulate_expression(spark, [("t1", contigs[0][1], 1.0), ("t2", contigs[0][1][:100], 0.0)], 20).select("transcript_id").distinct().count() == 1
+
+
+def test_indel_rescue_equals_brute_force(spark):
+    draw = random.Random(4)
+    seq = letters(11, "0123", 400)
+    chunks = spark.createDataFrame([("A", i, seq[i : i + 64]) for i in range(0, 400, 32)], "contig string, chunk_start bigint, colors string")
+    beads, reads = [], []
+    for bead in range(60):
+        pos, n = draw.randrange(0, 300), draw.choice([14, 15, 20])
+        at = pos + draw.randrange(5, 60)
+        part, cut, d = seq[at : at + n + 4], draw.randrange(2, n - 4), draw.choice([1, 2, 3])
+        xor = lambda t: str(np.bitwise_xor.reduce([int(c) for c in t]))
+        if bead % 3 == 0 and len(part) > cut + d:
+            mate = part[:cut] + xor(part[cut : cut + d + 1]) + part[cut + d + 1 :]
+        elif bead % 3 == 1:
+            new = letters(bead, "0123", d)
+            mate = part[:cut] + new + str(int(xor(new)) ^ int(part[cut : cut + 1] or 0)) + part[cut + 1 :]
+        else:
+            mate = part
+        beads.append((bead, "A", pos))
+        reads.append((bead, mate[:n].replace("3", "." if bead % 10 == 9 else "3", 1)))
+    anchors, mates = spark.createDataFrame(beads, "bead_id bigint, contig string, pos bigint"), spark.createDataFrame(reads, "bead_id bigint, colors string")
+    want, flat = set(), set()
+    for (bead, _, pos), (_, mate) in zip(beads, reads, strict=True):
+        places = [p for p in range(pos + 4, min(pos + 70, 400 - len(mate)) + 1)]
+        found = [(p, x[1], x[0], x[2]) for p in places if (x := extension.one_indel(mate, seq[p:], 3)) and x[2] <= 1]
+        want |= {(bead, *f) for f in found if f[3] == min(g[3] for g in found)}
+        mm = {p: sum(a != b or a == "." for a, b in zip(mate, seq[p:], strict=False)) for p in places}
+        flat |= {(bead, p, v) for p, v in mm.items() if v <= 2 and v == min(mm.values())}
+    got = pairs.rescue_indel(anchors, mates, chunks, 32, 4, 70, 3, 1)
+    assert {tuple(r) for r in got.select("bead_id", "pos", "size", "cut", "mm").collect()} == want and len({w[0] for w in want}) > 30
+    assert pairs.rescue_indel(anchors, mates, chunks, 32, 4, 70, 3, 1, limit=1).count() == len({w[0] for w in want})
+    assert {tuple(r) for r in pairs.rescue(anchors, mates, chunks, 32, 4, 70, 2).select("bead_id", "pos", "mm").collect()} == flat
+    assert pairs.rescue_indel(anchors.limit(0), mates, chunks, 32, 4, 70, 3, 1).count() == 0
+
+
+def test_banded_rows_equal_kernel(spark):
+    rows = [(i, letters(i, "0123", 8 + i % 4), letters(i + 900, "0123", 9 + i % 5)) for i in range(40)] + [(90, "", "012"), (91, "012", ""), (92, None, None), (93, "0.12", "0312")]
+    got = extension.align_banded(spark.createDataFrame(rows, "id int, read_colors string, ref_colors string"), 3).collect()
+    assert {r.id: (r.gap_score, r.ref_end, r.n_gaps) for r in got} == {i: extension.banded(a or "", b or "", 3) for i, a, b in rows}
