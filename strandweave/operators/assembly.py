@@ -1,7 +1,8 @@
-"""Small per-group algorithms: read overlap assembly, colour consensus, edit scripts.
+"""Read overlap assembly, colour consensus, edit scripts.
 
-Each works on one region or contig at a time through ``applyInPandas``; groups are
-regions, whose reads are few, so hot keys don't arise from the data's size.
+Assembly works on one region at a time through ``applyInPandas``, whose reads are
+few; edit scripts on one sequence.  The consensus and the windows of edits run over
+blocks of places.
 """
 
 from __future__ import annotations
@@ -9,6 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..lineage import cut
+from .intervals import running
 
 BASES = "ACGT"
 
@@ -97,15 +102,34 @@ def consensus(length: int, placed: list[tuple[int, str]], first: str | None = No
     return "".join(BASES[s] if k else "N" for s, k in zip(out[::-1], known, strict=True)) if length else ""
 
 
-def consensus_contigs(rows: DataFrame) -> DataFrame:
-    """(contig, sequence) of placed reads (contig, length, pos, colors); minus-strand colours must be reversed already."""
-    kind = rows.schema["contig"].dataType.simpleString()
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        placed = sorted(zip(frame["pos"].tolist(), frame["colors"].tolist(), strict=True))
-        return pd.DataFrame({"contig": frame["contig"].iloc[:1], "sequence": [consensus(int(frame["length"].max()), placed)]})
+def consensus_contigs(rows: DataFrame, chunk: int = 1 << 12) -> DataFrame:
+    """(contig, chunk_start, seq), ``consensus`` of placed reads (contig, length, pos, colors) in chunks; minus-strand colours must be reversed already.
 
-    return rows.groupBy("contig").applyInPandas(one, f"contig {kind}, sequence string")
+    Each pair of bases has one colour, so the cheapest path takes each column's most
+    frequent colour on its own (ties: the lowest), and a base is the exclusive or of all
+    colours in front: two parities, which run over blocks of places.  No task holds a
+    contig.  Paths start from ``first`` if the rows have such a column, from A otherwise
+    (all four starts cost the same), and go on over uncovered columns as over colour 0.
+    Bases beside no covered column are N.
+    """
+    start = F.min("first") if "first" in rows.columns else F.lit("A")
+    contigs = cut(rows.groupBy("contig").agg(F.max("length").alias("length"), F.coalesce(start, F.lit("A")).alias("first")).where("length > 0"))
+    color = F.substring("colors", F.col("i") + 1, F.lit(1))
+    spots = rows.where(F.length("colors") > 0).select("contig", "pos", "colors", F.explode(F.sequence(F.lit(0), F.length("colors") - 1)).alias("i")).select("contig", (F.col("pos") + F.col("i")).alias("place"), color.alias("color"))
+    votes = spots.where(F.col("color").isin(*"0123")).groupBy("contig", "place", "color").agg(F.count(F.lit(1)).alias("n"))
+    best = votes.groupBy("contig", "place").agg((-F.max(F.struct("n", (-F.col("color").cast("int")).alias("c")))["c"]).alias("c"))
+    best = best.join(contigs, "contig").where((F.col("place") >= 0) & (F.col("place") < F.col("length") - 1))
+    bits = best.withColumns({"_lo": F.col("c").bitwiseAND(1), "_hi": F.shiftright("c", 1)})
+    sums = running(bits, ["contig"], "place", {"_a": ("_lo", "sum"), "_b": ("_hi", "sum")})
+    behind = ((F.col("_a") % 2) + 2 * (F.col("_b") % 2)).cast("int").bitwiseXOR(F.instr(F.lit(BASES), F.col("first")) - 1)
+    ends = F.array(F.struct(F.col("place").alias("at"), behind.bitwiseXOR(F.col("c")).alias("code")), F.struct((F.col("place") + 1).alias("at"), behind.alias("code")))
+    known = sums.select("contig", F.explode(ends).alias("x")).select("contig", "x.*").withColumn("chunk_start", F.floor(F.col("at") / chunk) * chunk)
+    known = known.groupBy("contig", "chunk_start").agg(F.array_sort(F.collect_set(F.struct("at", "code"))).alias("x"))
+    every = contigs.select("contig", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length").cast("bigint") - 1, F.lit(chunk).cast("bigint"))).alias("chunk_start"))
+    held = every.join(known, ["contig", "chunk_start"], "left").withColumn("x", F.coalesce("x", F.expr("CAST(array() AS array<struct<at:bigint,code:int>>)")))
+    letter = F.transform("x", lambda e, i: F.concat(F.repeat(F.lit("N"), (e["at"] - F.when(i > 0, F.get("x", i - 1)["at"] + 1).otherwise(F.col("chunk_start"))).cast("int")), F.substring(F.lit(BASES), e["code"] + 1, F.lit(1))))
+    wide = F.least(F.col("length") - F.col("chunk_start"), F.lit(chunk)).cast("int")
+    return held.select("contig", "chunk_start", F.rpad(F.array_join(letter, ""), wide, F.lit("N")).alias("seq"))
 
 
 def apply_edits(seq: str, edits: list[tuple[int, str, str]]) -> str:
@@ -130,3 +154,12 @@ def edit_contigs(sequences: DataFrame, edits: DataFrame) -> DataFrame:
         return pd.DataFrame({"contig": a["contig"], "seq": [apply_edits(s, changes) for s in a["seq"]]})
 
     return left.cogroup(right).applyInPandas(one, f"contig {kind}, seq string")
+
+
+def edit_windows(edits: DataFrame, flank: int = 5) -> DataFrame:
+    """The edits (contig, place, kind, text) with the window of ``flank`` on both sides of their place in the edited sequence: start0, end0."""
+    size = F.length("text").cast("bigint")
+    change = F.when(F.col("kind") == "I", size).when(F.col("kind") == "D", -size).otherwise(F.lit(0).cast("bigint"))
+    rows = running(edits.withColumn("_change", change), ["contig"], "place", {"_shift": ("_change", "sum")}, order=["kind", "text"], before=True)
+    at = F.col("place") + F.col("_shift")
+    return rows.select(*edits.columns, (at - flank).alias("start0"), (at + flank).alias("end0"))

@@ -45,3 +45,10 @@ def dense_enough(summaries: DataFrame, bases: int, per_mb: int) -> DataFrame:
 def merge_means(parts: DataFrame, keys: list[str], mean: str, n: str) -> DataFrame:
     """Means of parts (each with its count) as one mean."""
     return parts.groupBy(*keys).agg((F.sum(F.col(mean) * F.col(n)) / F.sum(n)).alias(mean), F.sum(n).alias(n))
+
+
+def curves(summaries: DataFrame, across: str = "min_coverage", own: tuple[str, ...] = ("window",)) -> DataFrame:
+    """The series of a chart, a row a point: (the ``own`` columns, measure, x, y) for every other column over ``across``."""
+    measures = [c for c in summaries.columns if c != across and c not in own]
+    rows = summaries.select(*own, F.col(across).alias("x"), *[F.col(c).cast("double").alias(c) for c in measures])
+    return rows.unpivot([*own, "x"], measures, "measure", "y").select(*own, "measure", "x", "y")

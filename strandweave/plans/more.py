@@ -12,10 +12,11 @@ from ..functions.mask import ReadMask
 from ..functions.color import IUPAC
 from ..lineage import cut, shared_folder
 from ..operators import alignments as al
-from ..operators import chain, extension, junctions, mapping, merging, ntr, pairs, variants
+from ..operators import assembly, chain, extension, junctions, mapping, merging, ntr, pairs, variants
 from ..sources import readers, store, writers
 from . import views
-from .oracles import ALN, FEAT, SEQ, SEQS
+from .oracles import ALN, FEAT, LETTERS, SEQ, SEQS
+from .oracles import ORACLES as BASE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -710,3 +711,130 @@ def stored_hits(spark, sf_dir):
     path = _path(spark, "hits")
     store.write_hits(views.alignments(spark, sf_dir), path)
     return store.hits_from(spark, path, "N", 50).select("read_id", "hit_no", "start0", "strand")
+
+
+# -- rescue, consensus, edits, reports -----------------------------------------
+
+#: A mate in every chunk of 256 colours of every document: as it is, with a wrong colour, with two bases lost, with two gained.
+_MATES = f"""{LETTERS}, chunks AS (SELECT doc_id, colors, unnest(range(0, len(colors) // 256 + 1)) AS no FROM colored),
+part AS (SELECT doc_id || ':' || no AS bead_id, CAST(doc_id AS VARCHAR) AS contig, 256 * no AS pos, (doc_id + no) % 4 AS kind, colors[256 * no + 61 + no % 15 : 256 * no + 82 + no % 15] AS p, colors[256 * no + 51 : 256 * no + 103] AS cl
+  FROM chunks WHERE 256 * no + 82 + no % 15 <= len(colors)),
+mate AS (SELECT *, rpad(array_to_string(cl, ''), 53, 'x') AS near, array_to_string(ml, '') AS mate FROM (SELECT bead_id, contig, pos, cl,
+  CASE kind WHEN 0 THEN p[1:20] WHEN 1 THEN p[1:8] || [(p[9] + 1) % 4] || p[10:20] WHEN 2 THEN p[1:10] || [xor(xor(p[11], p[12]), p[13])] || p[14:22] ELSE p[1:9] || [0, 1, xor(1, p[10])] || p[11:18] END AS ml FROM part)),
+place AS (SELECT *, unnest(range(0, 31)) AS r FROM mate)"""
+_PREFIX = "list_prepend(CAST(0 AS BIGINT), list_transform(range(1, len({0}) + 1), lambda i: list_reduce({0}[1:i], lambda a, b: xor(a, b))))"
+
+
+def _mates(spark, sf_dir):
+    chunks = cut(mapping.chunk_reference(_doc_contigs(spark, sf_dir), 256, 33).select("contig", "chunk_start", color.encode_colors(F.col("seq")).alias("colors")))
+    no = (F.col("chunk_start") / 256).cast(L)
+    at, digit = 60 + no % 15, lambda i: F.substring("p", i, 1).cast("int")
+    rows = chunks.where(F.length("colors") >= at + 22).select(F.concat_ws(":", "contig", no.cast("string")).alias("bead_id"), "contig", F.col("chunk_start").alias("pos"), F.substring(F.col("colors"), (at + 1).cast("int"), F.lit(22)).alias("p"), ((F.col("contig").cast(L) + no) % 4).alias("kind"))
+    some = lambda a, n: F.substring("p", a, n)
+    wrong = F.concat(some(1, 8), ((digit(9) + 1) % 4).cast("string"), some(10, 11))
+    lost = F.concat(some(1, 10), digit(11).bitwiseXOR(digit(12)).bitwiseXOR(digit(13)).cast("string"), some(14, 9))
+    gained = F.concat(some(1, 9), F.lit("01"), digit(10).bitwiseXOR(F.lit(1)).cast("string"), some(11, 8))
+    mates = rows.select("bead_id", F.when(F.col("kind") == 0, some(1, 20)).when(F.col("kind") == 1, wrong).when(F.col("kind") == 2, lost).otherwise(gained).alias("colors"))
+    return rows.select("bead_id", "contig", "pos"), mates, chunks
+
+
+@sql(f"""WITH {_MATES} SELECT bead_id, contig, pos + 50 + r AS pos, CAST(mm AS INTEGER) AS mm FROM (SELECT *, hamming(substr(near, r + 1, 20), mate) AS mm FROM place WHERE r + 20 <= len(cl))
+WHERE mm <= 1 QUALIFY rank() OVER (PARTITION BY bead_id ORDER BY mm) = 1""")
+def rescued_mates(spark, sf_dir):
+    return pairs.rescue(*_mates(spark, sf_dir), 256, 50, 80, 1)
+
+
+@sql(f"""WITH {_MATES}, sums AS (SELECT p.*, px, mx FROM place p JOIN (SELECT bead_id, {_PREFIX.format("cl")} AS px, {_PREFIX.format("ml")} AS mx FROM (SELECT bead_id, cl, string_split(mate, '')::BIGINT[] AS ml FROM mate)) USING (bead_id) WHERE r + 20 <= len(cl)),
+tries AS (SELECT *, d, c FROM sums, (VALUES (1), (2)) t(d), (SELECT unnest(range(1, 20)) AS c)),
+split AS (SELECT bead_id, contig, pos, r, d AS size, c, hamming(substr(near, r + 1, c) || substr(near, r + d + c + 2, 19 - c), substr(mate, 1, c) || substr(mate, c + 2, 19 - c)) AS mm FROM tries WHERE xor(px[r + c + d + 2], px[r + c + 1]) = CAST(substr(mate, c + 1, 1) AS BIGINT)
+  UNION ALL SELECT bead_id, contig, pos, r, -d, c, hamming(substr(near, r + 1, c) || substr(near, r + c + 2, 19 - c - d), substr(mate, 1, c) || substr(mate, c + d + 2, 19 - c - d)) FROM tries WHERE c < 20 - d AND cl[r + c + 1] = xor(mx[c + d + 2], mx[c + 1])),
+best AS (SELECT * FROM split WHERE mm <= 1 QUALIFY row_number() OVER (PARTITION BY bead_id, r ORDER BY mm, abs(size), size DESC, c) = 1)
+SELECT bead_id, contig, pos + 50 + r AS pos, CAST(size AS INTEGER) AS size, CAST(c AS INTEGER) AS cut, CAST(mm AS INTEGER) AS mm FROM best QUALIFY rank() OVER (PARTITION BY bead_id ORDER BY mm) = 1""")
+def rescued_indels(spark, sf_dir):
+    return pairs.rescue_indel(*_mates(spark, sf_dir), 256, 50, 80, 2, 1)
+
+
+@sql(f"""WITH {SEQS}, c AS (SELECT CAST(doc_id AS VARCHAR) AS contig, seq, unnest(range(0, length(seq), 4096)) AS chunk_start FROM seqs WHERE seq <> '')
+SELECT contig, chunk_start, sha256(CASE WHEN length(seq) = 1 THEN 'N' ELSE substr(seq, chunk_start + 1, 4096) END) AS seq_sha256 FROM c""")
+def consensus_sequences(spark, sf_dir):
+    """Every document from colour reads over the whole of it, a third of which have a wrong colour that others outvote."""
+    rows = _doc_contigs(spark, sf_dir).where("seq <> ''").select("contig", F.length("seq").alias("length"), F.left("seq", F.lit(1)).alias("first"), F.posexplode(mapping.pieces(F.col("seq"), 48, 97)).alias("no", "part"))
+    rows = rows.select("contig", "length", "first", "no", (F.col("no").cast(L) * 48).alias("pos"), color.encode_colors(F.col("part")).alias("colors"))
+    # the 49th colour is wrong where the two reads in front and the one behind hold it, too
+    spoilt = F.concat(F.left("colors", F.lit(48)), F.translate(F.substring("colors", 49, 1), "0123", "1230"), F.substring("colors", 50, 1 << 20))
+    rows = rows.withColumn("colors", F.when((F.col("no") % 3 == 2) & (F.length("colors") > 49), spoilt).otherwise(F.col("colors")))
+    return assembly.consensus_contigs(rows).select("contig", "chunk_start", F.sha2("seq", 256).alias("seq_sha256"))
+
+
+def _edits(spark, sf_dir):
+    """A replacement, an insertion or a deletion every 500 letters of every document."""
+    n = F.length("seq")
+    rows = _doc_contigs(spark, sf_dir).where(n >= 103).select("contig", F.explode(F.sequence(F.lit(0), F.floor((n - 103) / 500).cast("int"))).alias("i"))
+    pick = lambda *x: F.element_at(F.array(*map(F.lit, x)), F.col("i") % 3 + 1)
+    return rows.select("contig", (F.col("i").cast(L) * 500 + 100).alias("place"), pick("R", "I", "D").alias("kind"), pick("TT", "GGA", "ACG").alias("text"))
+
+
+_EDITS = f"{SEQS}, ed AS (SELECT doc_id, seq, i, 500 * i + 100 AS place FROM (SELECT doc_id, seq, unnest(range(0, (length(seq) - 103) // 500 + 1)) AS i FROM seqs WHERE length(seq) >= 103))"
+
+
+@sql(f"""WITH {_EDITS}, seg AS (SELECT doc_id, i, CASE i % 3 WHEN 0 THEN 'TT' WHEN 1 THEN 'GGA' ELSE '' END || substr(seq, place + used + 1, coalesce(lead(place) OVER (PARTITION BY doc_id ORDER BY i), length(seq)) - place - used) AS part FROM (SELECT *, CASE i % 3 WHEN 0 THEN 2 WHEN 1 THEN 0 ELSE 3 END AS used FROM ed)),
+done AS (SELECT doc_id, string_agg(part, '' ORDER BY i) AS tail FROM seg GROUP BY doc_id) SELECT CAST(doc_id AS VARCHAR) AS contig, sha256(CASE WHEN tail IS NULL THEN seq ELSE substr(seq, 1, 100) || tail END) AS seq_sha256 FROM seqs LEFT JOIN done USING (doc_id)""")
+def edited_sequences(spark, sf_dir):
+    return assembly.edit_contigs(_doc_contigs(spark, sf_dir), _edits(spark, sf_dir)).select("contig", F.sha2("seq", 256).alias("seq_sha256"))
+
+
+@sql(f"WITH {_EDITS} SELECT CAST(doc_id AS VARCHAR) AS contig, place, place + CASE WHEN i % 3 = 2 THEN 3 ELSE 0 END - 5 AS start0, place + CASE WHEN i % 3 = 2 THEN 3 ELSE 0 END + 5 AS end0 FROM ed")
+def edited_windows(spark, sf_dir):
+    return assembly.edit_windows(_edits(spark, sf_dir)).select("contig", "place", "start0", "end0")
+
+
+@sql(f"WITH {FEAT} SELECT contig, pos1, count(*) AS n, min(feature_id) AS first_feature FROM (SELECT contig, feature_id, unnest(range(start1, end1 + 1)) AS pos1 FROM feat) GROUP BY contig, pos1")
+def feature_position_map(spark, sf_dir):
+    f = merging.feature_positions(views.features(spark, sf_dir))
+    return f.groupBy("contig", "pos1").agg(F.count(F.lit(1)).alias("n"), F.min("feature_id").alias("first_feature"))
+
+
+@sql(f"WITH {ALN} SELECT o_orderkey AS read_id FROM orders WHERE o_orderkey NOT IN (SELECT read_id FROM aln WHERE mm = 3)")
+def unmapped_reads(spark, sf_dir):
+    reads = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("read_id"))
+    return readers.unmapped(reads, views.alignments(spark, sf_dir).where("mm = 3"))
+
+
+@sql(f"SELECT * FROM ({BASE_SQL['ptr_summary']}) WHERE n_ptr * 1000000 <= 485 * bases")
+def dense_regions(spark, sf_dir):
+    from .queries import ptr_summary
+
+    return ntr.dense_enough(ptr_summary(spark, sf_dir), F.col("bases"), 485)
+
+
+@sql(f"SELECT \"window\", measure, min_coverage AS x, y FROM (UNPIVOT (SELECT \"window\", min_coverage, CAST(n_ptr AS DOUBLE) AS n_ptr, CAST(bases AS DOUBLE) AS bases, CAST(n_ptr_matched AS DOUBLE) AS n_ptr_matched, CAST(n_atr_matched AS DOUBLE) AS n_atr_matched, mean_ptr_overlap, mean_atr_overlap FROM ({BASE_SQL['ptr_summary']})) ON n_ptr, bases, n_ptr_matched, n_atr_matched, mean_ptr_overlap, mean_atr_overlap INTO NAME measure VALUE y)")
+def ptr_curves(spark, sf_dir):
+    from .queries import ptr_summary
+
+    return ntr.curves(ptr_summary(spark, sf_dir)).where("y IS NOT NULL")
+
+
+@sql(f"SELECT CAST(row_number() OVER (ORDER BY contig, split_no, mm) AS BIGINT) AS place, concat_ws(chr(9), contig, split_no, mm, n_reads, n_all_splits) AS value FROM ({BASE_SQL['mismatch_report']}) UNION ALL SELECT 0, concat_ws(chr(9), 'sequence', 'split', 'mismatches', 'reads', 'all splits')")
+def filter_report_text(spark, sf_dir):
+    from .queries import mismatch_report
+
+    titles = {"contig": "sequence", "split_no": "split", "mm": "mismatches", "n_reads": "reads", "n_all_splits": "all splits"}
+    return writers.table_lines(mismatch_report(spark, sf_dir).select(*titles), ["contig", "split_no", "mm"], titles)
+
+
+@sql(f"WITH {FEAT} SELECT contig AS contig_id, start1, end1, f_strand AS strand, 'ID=' || concat_ws('_', contig, f_strand, row_number() OVER (PARTITION BY contig, f_strand ORDER BY start1, end1)) || ';coverage=' || feature_id AS attributes FROM feat")
+def region_gff(spark, sf_dir):
+    regions = views.features(spark, sf_dir).select("contig", F.col("f_strand").alias("strand"), (F.col("start1") - 1).alias("start0"), (F.col("end1") - 1).alias("end0"), F.col("feature_id").alias("coverage"))
+    return writers.region_features(regions).select("contig_id", "start1", "end1", "strand", "attributes")
+
+
+@sql("SELECT CAST(n_nationkey + 1 AS INTEGER) AS pattern_id, bin(n_nationkey + 1) AS mask FROM nation")
+def seed_mask_scan(spark, sf_dir):
+    lines = views.table(spark, sf_dir, "nation").select(F.bin(F.col("n_nationkey") + 1).alias("value"))
+    return readers.seed_masks(spark, _written(spark, lines, "masks"))
+
+
+@sql("SELECT CAST(n_nationkey + 1 AS INTEGER) AS position, CAST(k // 4 AS INTEGER) AS ref_color, CAST(k % 4 AS INTEGER) AS read_color, CAST(n_nationkey * k % 7 AS INTEGER) AS cost FROM nation, (SELECT unnest(range(0, 16)) AS k)")
+def score_matrix_scan(spark, sf_dir):
+    costs = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: (F.col("n_nationkey") * k % 7).cast("string"))
+    return readers.score_matrix(spark, _written(spark, views.table(spark, sf_dir, "nation").select(F.array_join(costs, " ").alias("value")), "costs"))

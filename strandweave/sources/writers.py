@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,3 +96,13 @@ def report_lines(counters: DataFrame, titles: Mapping[str, str]) -> list[str]:
     row = counters.first().asDict()
     whole = max(1, next(iter(row.values())) or 0)
     return [f"{titles.get(k, k)}\t{v}\t{100 * (v or 0) / whole:.1f}%" for k, v in row.items()]
+
+
+def table_lines(rows: DataFrame, order: Sequence[str], titles: Mapping[str, str] | None = None) -> DataFrame:
+    """Tab-separated lines of a report: its header, then its rows by ``order`` (nulls are empty); columns are value and the line's place."""
+    from ..operators.intervals import numbered
+
+    cells = F.concat_ws("\t", *[F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t", "_") for c in rows.columns])
+    body = numbered(rows.withColumn("value", cells), order, "place").select("value", F.col("place").cast("bigint").alias("place"))
+    head = rows.sparkSession.createDataFrame([("\t".join((titles or {}).get(c, c) for c in rows.columns), 0)], "value string, place bigint")
+    return head.unionByName(body)

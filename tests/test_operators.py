@@ -313,3 +313,41 @@ def test_banded_rows_equal_kernel(spark):
     rows = [(i, letters(i, "0123", 8 + i % 4), letters(i + 900, "0123", 9 + i % 5)) for i in range(40)] + [(90, "", "012"), (91, "012", ""), (92, None, None), (93, "0.12", "0312")]
     got = extension.align_banded(spark.createDataFrame(rows, "id int, read_colors string, ref_colors string"), 3).collect()
     assert {r.id: (r.gap_score, r.ref_end, r.n_gaps) for r in got} == {i: extension.banded(a or "", b or "", 3) for i, a, b in rows}
+
+
+def test_consensus_of_columns_equals_paths(spark):
+    draw = random.Random(6)
+    rows, want = [], {}
+    for name, n, chunk in (("a", 300, 64), ("b", 64, 64), ("c", 65, 64), ("d", 1, 64), ("e", 700, 64), ("f", 2, 64)):
+        placed = []
+        for _ in range(max(1, n // 20)):
+            at = draw.randrange(-5, n) if name != "e" else draw.randrange(0, 90) + 500 * draw.randrange(2)
+            placed += [(at, "".join(draw.choice("0123.") for _ in range(draw.randrange(1, 25))))] * draw.choice([1, 2, 4])
+        first = draw.choice("ACGT")
+        rows += [(name, n, at, c, first) for at, c in placed]
+        votes = {}
+        for at, colors in placed:
+            for i, c in enumerate(colors):
+                if c != "." and 0 <= at + i < n - 1:
+                    votes.setdefault(at + i, []).append(c)
+        colors = {p: min(v, key=lambda c: (-v.count(c), c)) for p, v in votes.items()}
+        code, codes = "ACGT".index(first), []
+        for p in range(n):
+            codes.append(code if p in colors or p - 1 in colors else None)
+            code ^= int(colors.get(p, 0))
+        want[name] = "".join("N" if c is None else "ACGT"[c] for c in codes)
+        # a cheapest path takes the same colours; behind a gap it may go on from any base
+        path = assembly.consensus(n, list(colors.items()), first)
+        assert [c == "N" for c in path] == [c == "N" for c in want[name]]
+        assert all("ACGT".index(t[p]) ^ "ACGT".index(t[p + 1]) == int(c) for t in (path, want[name]) for p, c in colors.items())
+    got = {}
+    df = spark.createDataFrame(rows, "contig string, length int, pos bigint, colors string, first string")
+    for r in assembly.consensus_contigs(df, 64).orderBy("chunk_start").collect():
+        got[r.contig] = got.get(r.contig, "") + r.seq
+    assert got == want
+
+
+def test_edit_windows_follow_the_edited_sequence(spark):
+    edits = [("a", 10, "I", "GGG"), ("a", 20, "D", "AC"), ("a", 30, "R", "T"), ("b", 7, "R", "T")]
+    got = assembly.edit_windows(spark.createDataFrame(edits, "contig string, place bigint, kind string, text string")).collect()
+    assert {(r.contig, r.place, r.start0, r.end0) for r in got} == {("a", 10, 5, 15), ("a", 20, 18, 28), ("a", 30, 26, 36), ("b", 7, 2, 12)}
