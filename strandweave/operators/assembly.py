@@ -116,8 +116,9 @@ def consensus_contigs(rows: DataFrame, chunk: int = 1 << 12) -> DataFrame:
     contigs = cut(rows.groupBy("contig").agg(F.max("length").alias("length"), F.coalesce(start, F.lit("A")).alias("first")).where("length > 0"))
     color = F.substring("colors", F.col("i") + 1, F.lit(1))
     spots = rows.where(F.length("colors") > 0).select("contig", "pos", "colors", F.explode(F.sequence(F.lit(0), F.length("colors") - 1)).alias("i")).select("contig", (F.col("pos") + F.col("i")).alias("place"), color.alias("color"))
-    votes = spots.where(F.col("color").isin(*"0123")).groupBy("contig", "place", "color").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("contig", "place").agg((-F.max(F.struct("n", (-F.col("color").cast("int")).alias("c")))["c"]).alias("c"))
+    votes = spots.where(F.col("color").isin(*"0123")).groupBy("contig", "place").agg(*[F.count_if(F.col("color") == c).alias(f"n{c}") for c in "0123"])
+    most = F.greatest("n0", "n1", "n2", "n3")
+    best = votes.select("contig", "place", F.when(F.col("n0") == most, 0).when(F.col("n1") == most, 1).when(F.col("n2") == most, 2).otherwise(3).alias("c"))
     best = best.join(contigs, "contig").where((F.col("place") >= 0) & (F.col("place") < F.col("length") - 1))
     bits = best.withColumns({"_lo": F.col("c").bitwiseAND(1), "_hi": F.shiftright("c", 1)})
     sums = running(bits, ["contig"], "place", {"_a": ("_lo", "sum"), "_b": ("_hi", "sum")})

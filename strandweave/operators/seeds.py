@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from itertools import combinations
 
 
@@ -80,3 +80,36 @@ def smallest(masks: Iterable[str], length: int, most: int, adjacent: bool = Fals
         out.append(best)
         open_ = rest
     return sorted(out)
+
+
+def chance(masks: Iterable[str]) -> float:
+    """The hits that a random place has with a set of masks: what verifying them costs."""
+    return sum(4.0 ** -m.count("1") for m in masks)
+
+
+def composed(known: Mapping[tuple[int, int], Iterable[str]], length: int, most: int, adjacent: bool = False) -> list[str]:
+    """The cheapest complete set for ``length`` and ``most`` errors out of ``known`` sets, by (length, errors).
+
+    Either a shorter set for as many errors, padded; or two sets side by side whose
+    errors add up to one less, since then one of the halves has no more than its own.
+    With ``adjacent`` the halves don't share the neighbours that one error spoils, so
+    the one behind starts a place later.
+    """
+    known = {k: sorted(set(v)) for k, v in known.items()}
+    options = [extended(v, length) for (n, e), v in known.items() if n <= length and e == most]
+    for (n, e), front in known.items():
+        behind = length - n - (1 if adjacent else 0)
+        back = known.get((behind, most - 1 - e))
+        if back is not None:
+            options.append(merged(extended(front, length), ["0" * (length - behind) + m.ljust(behind, "0") for m in back]))
+    options = [o for o in options if complete(o, length, most, adjacent)]
+    if not options:
+        raise ValueError(f"no known sets make one of {length} for {most} errors")
+    return min(options, key=lambda o: (chance(o), o))
+
+
+def best_sets(candidates: Iterable[str], length: int, most: int, count: int, size: int, adjacent: bool = False) -> list[list[str]]:
+    """The ``count`` cheapest complete sets of at most ``size`` masks out of ``candidates`` (ties: fewer masks, text order)."""
+    masks = sorted(set(candidates))
+    found = [list(c) for k in range(1, size + 1) for c in combinations(masks, k) if complete(c, length, most, adjacent)]
+    return sorted(found, key=lambda c: (chance(c), len(c), c))[:count]

@@ -351,3 +351,17 @@ def test_edit_windows_follow_the_edited_sequence(spark):
     edits = [("a", 10, "I", "GGG"), ("a", 20, "D", "AC"), ("a", 30, "R", "T"), ("b", 7, "R", "T")]
     got = assembly.edit_windows(spark.createDataFrame(edits, "contig string, place bigint, kind string, text string")).collect()
     assert {(r.contig, r.place, r.start0, r.end0) for r in got} == {("a", 10, 5, 15), ("a", 20, 18, 28), ("a", 30, 26, 36), ("b", 7, 2, 12)}
+
+
+def test_composed_seed_sets():
+    known = {(6, 0): ["111111"], (5, 0): ["11111"], (12, 1): seeds.block_masks(12, 1, 4), (6, 1): seeds.block_masks(6, 1, 3)}
+    assert seeds.composed(known, 12, 1) == sorted(known[12, 1])  # four masks of nine cost less than two of six
+    assert seeds.composed({(6, 0): ["111111"]}, 12, 1) == sorted(["111111000000", "000000111111"])
+    two = seeds.composed(known, 12, 2)
+    assert seeds.complete(two, 12, 2) and len(two) == 4
+    apart = seeds.composed({(6, 0): ["111111"], (5, 0): ["11111"]}, 12, 1, adjacent=True)
+    assert seeds.complete(apart, 12, 1, adjacent=True) and len(apart) == 2
+    with pytest.raises(ValueError):
+        seeds.composed(known, 11, 5)
+    best = seeds.best_sets(seeds.block_masks(8, 1, 4) + ["11110000", "00001111"], 8, 1, 3, 4)
+    assert len(best) == 3 and all(seeds.complete(b, 8, 1) for b in best) and seeds.chance(best[0]) <= seeds.chance(best[1]) <= seeds.chance(best[2])
