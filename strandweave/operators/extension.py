@@ -108,7 +108,7 @@ def one_indel(read: str, ref: str, longest: int) -> tuple[int, int, int] | None:
     Positive sizes are missing reference colours (a deletion in the read).
     """
     n = len(read)
-    a, b = np.frombuffer(read.encode(), np.uint8), np.frombuffer(ref.encode(), np.uint8)
+    a, b = (np.frombuffer(t.encode(), np.uint8).astype(np.int16) for t in (read, ref))
     front = np.concatenate([[0], np.cumsum(a[: min(n, len(b))] != b[: min(n, len(b))])])
     best = None
     for size in [s for d in range(1, longest + 1) for s in (d, -d)]:
