@@ -54,7 +54,8 @@ HOT = 1 << 16
 WIDE = 2048
 _SALT = np.uint64(0x5851F42D4C957F2D)
 _BIN = np.uint64(0xA0761D6478BD642F)
-_WIDTHS = (16, 8, 4, 2, 1)  # 32-bit lanes of bitmaps
+_WIDTHS = (1, 2, 4, 8)  # 64-bit lanes of bitmaps
+_LANES = np.select([np.arange(402) <= 56, np.arange(402) <= 160, np.arange(402) <= 400], _WIDTHS[:3], _WIDTHS[3])
 
 
 class LineSets:
@@ -151,18 +152,22 @@ def needed(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def lanes_of(n: np.ndarray) -> np.ndarray:
-    """32-bit lanes of the bitmap of a set of n words."""
-    return np.select([n <= 40, n <= 96, n <= 200, n <= 400], [1, 2, 4, 8], 16)
+    """64-bit lanes of the bitmap of a set of n words.
+
+    Unrelated sets of 13 to 900 words pass with a chance of less than one in 100,000.
+    More would join most lines of a large input to one group, whose cells cost the
+    square of its size.
+    """
+    return _LANES[np.minimum(n, len(_LANES) - 1)]
 
 
-def bitmaps(sets: LineSets) -> dict[int, np.ndarray]:
-    """By number of lanes, the parity of the words at each bit; narrower maps are folded by exclusive or."""
-    slot = (mix(sets.token + np.uint64(77)) & np.uint64(511)).astype(np.int64)
-    odd = np.bincount(sets.owner() * 512 + slot, minlength=len(sets.n) * 512).astype(np.uint8) & 1
-    maps = {16: np.packbits(odd.reshape(-1, 512), axis=1, bitorder="little").view(np.uint32)}
-    for wide in _WIDTHS[1:]:
-        maps[wide] = maps[2 * wide][:, :wide] ^ maps[2 * wide][:, wide:]
-    return maps
+def bitmaps(sets: LineSets) -> tuple[np.ndarray, np.ndarray]:
+    """The parity of the words at each bit, and where each set's lanes start; a map folded by exclusive or is the narrower one."""
+    lanes = lanes_of(sets.n)
+    at = np.r_[0, np.cumsum(lanes)].astype(np.int64)
+    bit = (mix(sets.token + np.uint64(77)) & np.repeat((64 * lanes - 1).astype(np.uint64), sets.n)).astype(np.int64)
+    odd = np.bincount(bit + np.repeat(64 * at[:-1], sets.n), minlength=64 * at[-1]).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.uint64), at
 
 
 BLOCKS = "bin int, n_rows int, key binary, cls binary, n binary, pos binary, bits binary"
@@ -191,7 +196,8 @@ def _triangle(hash_: np.ndarray, own: np.ndarray, parts: np.ndarray):
 def _prefixes(batches, shared, threshold: float, least: int, bins: int, flush: int = 1_000_000):
     """Prefix rows as columnar blocks, one for each bin and flush."""
     rank, seen = shared.value, Seen()
-    held, size = [], 0
+    many = np.maximum(1, np.ceil(np.exp2(np.arange(256) / 8) / HOT)).astype(np.int64)
+    held, lines, size = [], 0, 0
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
             sets = LineSets(part.column(1), least)
@@ -200,32 +206,28 @@ def _prefixes(batches, shared, threshold: float, least: int, bins: int, flush: i
             if not len(sets.n):
                 continue
             token, line, pos, level = _prefix_rows(sets, rank, threshold)
-            parts = np.maximum(1, np.ceil(np.exp2(level / 8) / HOT)).astype(np.int64)
-            row, cell = _triangle(token, (mix(sets.cls[line].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64), parts)
-            line, pos = line[row], pos[row]
-            n = sets.n[line]
-            lanes, maps = lanes_of(n), bitmaps(sets)
-            at = np.r_[0, np.cumsum(lanes)].astype(np.int64)
-            bits = np.zeros(at[-1], np.uint32)
-            for wide in _WIDTHS:
-                some = np.flatnonzero(lanes == wide)
-                bits[at[some][:, None] + np.arange(wide)] = maps[wide][line[some]]
-            held.append((cell, sets.cls[line], n, pos, bits))
-            size += len(cell)
+            parts = many[level]
+            if (parts > 1).any():
+                row, token = _triangle(token, (mix(sets.cls[line].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64), parts)
+                line, pos = line[row], pos[row]
+            held.append((token, line + lines, pos, sets.cls, sets.n, bitmaps(sets)[0]))
+            lines, size = lines + len(sets.n), size + len(token)
             if size >= flush:
                 yield _packed(held, bins)
-                held, size = [], 0
+                held, lines, size = [], 0, 0
     if held:
         yield _packed(held, bins)
 
 
 def _packed(held: list, bins: int) -> pa.RecordBatch:
-    cell, cls, n, pos, bits = (np.concatenate(x) for x in zip(*held, strict=True))
+    cell, line, pos, cls, n, bits = (np.concatenate(x) for x in zip(*held, strict=True))
     bin_ = (cell % np.uint64(bins)).astype(np.int64)
     key = (cell >> np.uint64(32)).astype(np.uint32)
     order = np.argsort((bin_.astype(np.uint64) << np.uint64(32)) | key)
+    line = line[order]
     lanes = lanes_of(n)
-    entry, _ = expand(np.r_[0, np.cumsum(lanes)].astype(np.int64), order)
+    entry, _ = expand(np.r_[0, np.cumsum(lanes)].astype(np.int64), line)
+    cls, n, lanes = cls[line], n[line], lanes[line]
     start = np.flatnonzero(np.r_[True, np.diff(bin_[order]) > 0])
     ends = np.r_[start, len(order)]
 
@@ -233,8 +235,8 @@ def _packed(held: list, bins: int) -> pa.RecordBatch:
         return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
     least = lambda x: x.astype(np.uint8 if x.max() < 256 else np.uint16 if x.max() < 65536 else np.uint32)
-    lane_ends = np.r_[0, np.cumsum(lanes[order])][ends]
-    columns = [binary(key[order], ends), binary(cls[order], ends), binary(least(n[order]), ends), binary(least(pos[order]), ends), binary(bits[entry], lane_ends)]
+    lane_ends = np.r_[0, np.cumsum(lanes)][ends]
+    columns = [binary(key[order], ends), binary(cls, ends), binary(least(n), ends), binary(least(pos[order]), ends), binary(bits[entry], lane_ends)]
     return pa.RecordBatch.from_arrays([pa.array(bin_[order][start], pa.int32()), pa.array(np.diff(ends), pa.int32()), *columns], schema=_BLOCKS)
 
 
@@ -250,8 +252,8 @@ class Bucket:
             cls.append(np.frombuffer(c, np.int64))
             n.append(kind(x))
             pos.append(kind(y))
-            bits.append(np.frombuffer(z, np.uint32))
-        key, cls, n, pos, bits = (np.concatenate(x) for x in (key, cls, n, pos, bits))
+            bits.append(np.frombuffer(z, np.uint64))
+        key, cls, n, pos, self.bits = (np.concatenate(x) for x in (key, cls, n, pos, bits))
         code = (key.astype(np.uint64) << np.uint64(32)) | (np.minimum(n, 65535).astype(np.uint64) << np.uint64(16)) | (cls & 65535).astype(np.uint64)
         order = np.argsort(code)
         k, c = key[order], cls[order]
@@ -261,28 +263,45 @@ class Bucket:
         alone = np.r_[True, k[1:] != k[:-1]] & np.r_[k[1:] != k[:-1], True]
         order = order[~alone]
         self.code, self.cls, self.n, self.pos = code[order], cls[order], n[order], pos[order]
-        self.lanes = lanes_of(self.n)
-        at = np.r_[0, np.cumsum(lanes_of(n))].astype(np.int64)[:-1][order]
-        self.bits = {wide: np.zeros((len(order), wide), np.uint32) for wide in _WIDTHS}
-        for i, wide in enumerate(_WIDTHS):
-            own = np.flatnonzero(self.lanes == wide)
-            self.bits[wide][own] = bits[at[own][:, None] + np.arange(wide)]
-            for less in _WIDTHS[i + 1 :]:
-                big = self.bits[2 * less][own]
-                self.bits[less][own] = big[:, :less] ^ big[:, less:]
+        lanes = lanes_of(n)
+        self.lanes, self.at = lanes[order], (np.cumsum(lanes) - lanes)[order]
+
+    def folded(self, rows: np.ndarray, wide: int) -> np.ndarray:
+        """The rows' bitmaps, folded to ``wide`` lanes."""
+        lane = np.arange(wide)
+        out, step = self.bits[self.at[rows][:, None] + lane], wide
+        more = np.flatnonzero(self.lanes[rows] > step)
+        while len(more):
+            out[more] ^= self.bits[self.at[rows[more]][:, None] + step + lane]
+            step += wide
+            more = more[self.lanes[rows[more]] > step]
+        return out
 
     def pairs(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(row, row of a class of at most its size and long enough), in blocks."""
+        """(row, row of a class of at most its size), in blocks: those whose sizes and places leave enough words, with few others.
+
+        The overlap that two sets need is at least that of two sets of the smaller
+        size, so a row can only be the smaller one's near the head of its set; and the
+        deeper a row lies in its own, the fewer words the other may have.
+        """
         rows = np.arange(len(self.code))
+        share = threshold / (1 + threshold)
+        vast = self.n >= 65535  # these aren't in order of their sizes
+        head = np.flatnonzero(vast | (self.n - self.pos >= needed(self.n, self.n, threshold)))
+        word = self.code & np.uint64(0xFFFFFFFF << 32)
         shortest = np.minimum(65535, np.ceil(threshold * self.n - 1e-9)).astype(np.uint64)
-        low = np.searchsorted(self.code, (self.code & np.uint64(0xFFFFFFFF << 32)) | (shortest << np.uint64(16)))
-        count = rows - low
+        longest = np.where(vast, np.inf, np.floor((self.n - self.pos) / share - self.n + 1e-6))
+        low = np.searchsorted(self.code, word | (shortest << np.uint64(16)))
+        high = np.searchsorted(self.code, word | (np.clip(longest + 1, 0, 65535).astype(np.uint64) << np.uint64(16)))
+        high = np.where(longest < self.n, high, rows)
+        low, high = np.searchsorted(head, low), np.searchsorted(head, high)
+        count = np.maximum(0, high - low)
         ends = np.cumsum(count)
         at = 0
         while at < len(rows):
             stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, "right")))
             c = np.repeat(rows[at:stop], count[at:stop])
-            yield c, low[c] + np.arange(len(c)) - np.repeat(ends[at:stop] - count[at:stop] - (ends[at - 1] if at else 0), count[at:stop])
+            yield c, head[low[c] + np.arange(len(c)) - np.repeat(ends[at:stop] - count[at:stop] - (ends[at - 1] if at else 0), count[at:stop])]
             at = stop
 
     def alike(self, c: np.ndarray, e: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -291,13 +310,11 @@ class Bucket:
         least = needed(n, m, threshold)
         ok = (np.minimum(n - self.pos[c], m - self.pos[e]) >= least) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
         c, e, spare = c[ok], e[ok], (n + m - 2 * least)[ok]
-        lanes = np.minimum(self.lanes[c], self.lanes[e])
-        for wide in _WIDTHS[::-1]:
-            able = np.flatnonzero(lanes >= wide)
-            far = np.zeros(len(c), bool)
-            far[able] = np.bitwise_count(self.bits[wide][c[able]] ^ self.bits[wide][e[able]]).sum(axis=1) > spare[able]
-            c, e, spare, lanes = c[~far], e[~far], spare[~far], lanes[~far]
-        return c, e
+        lanes, near = np.minimum(self.lanes[c], self.lanes[e]), np.zeros(len(c), bool)
+        for wide in _WIDTHS:
+            some = np.flatnonzero(lanes == wide)
+            near[some] = np.bitwise_count(self.folded(c[some], wide) ^ self.folded(e[some], wide)).sum(axis=1) <= spare[some]
+        return c[near], e[near]
 
 
 def _forest(batches, threshold: float):
@@ -470,7 +487,8 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
     firsts = lines.groupBy("cls").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     firsts = materialise(firsts.select("cls", "first.doc", "first.line", "times"), "line-firsts")
     bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, bins), BLOCKS).repartitionById(bins, F.col("bin")).sortWithinPartitions("bin")
+    texts = docs.select("doc", "text")
+    dealt = texts.mapInArrow(lambda x: _prefixes(x, rank, threshold, least, bins), BLOCKS).repartitionById(bins, F.col("bin")).sortWithinPartitions("bin")
     forest = dealt.mapInArrow(partial(_forest, threshold=threshold), "cls bigint, other bigint")
     groups = materialise(components(forest), "line-groups")
     held = send(bloom(groups.select("node"), groups.count()))  # 16 MB at most
@@ -483,7 +501,7 @@ def _joined(docs: DataFrame, threshold: float, least: int, ids: DataFrame | None
     spread = spread.select("cls", "doc", "line", F.xxhash64("comp", "at.i", "at.j").alias("cell"), F.when(F.col("at.i") < F.col("at.j"), F.col("own")).otherwise(F.lit(-1)).alias("part"))
     spread = materialise(spread, "line-cells")
     there = send(bloom(spread.select("doc"), spread.count()))  # 16 MB at most
-    sets = docs.mapInArrow(lambda x: _wanted_sets(x, held, there, least), "cls bigint, tokens binary")
+    sets = texts.mapInArrow(lambda x: _wanted_sets(x, held, there, least), "cls bigint, tokens binary")
     rows = sets.join(spread, "cls").select("cell", "part", "cls", "doc", "line", "tokens")
     decided = rows.repartition(F.col("cell")).sortWithinPartitions("cell").mapInArrow(partial(_decide, threshold=threshold), LINKS)
     links = materialise(decided, "line-links")

@@ -100,7 +100,10 @@ def words(column: pa.Array) -> Words:
             s, e = np.sort(np.r_[s, cuts]), np.sort(np.r_[e, cuts])
         up, down = _powers(len(part) + 1)
         total = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=total[1:])
+        weight = part.astype(np.uint64)
+        weight += np.uint64(1)
+        weight *= up[: len(part)]
+        np.cumsum(weight, out=total[1:])
         hashes.append(mix((total[e] - total[s]) * down[s]))
         starts.append(s + at)
         ends.append(e + at)

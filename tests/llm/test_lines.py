@@ -2,12 +2,16 @@ import hashlib
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 import corpus_pipeline
-from strandweave.llm import queries
+from strandweave.llm import lines, queries
 from strandweave.llm.lines import dedup_lines, linked_lines
+from strandweave.llm.scan import mix, word_hash
 
 
 def word_set(line):
@@ -136,3 +140,16 @@ def test_links_equal_brute_force(spark):
     rows = list(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True))
     got, kept = linked(spark, rows)
     assert got == brute_links(rows) and kept == brute_force(rows, least=1)
+
+
+def test_unrelated_lines_of_a_word_stay_apart():
+    """Lines that share a rare word and nothing else: if the filters let them pass, the groups of a large input grow into one."""
+    draw = random.Random(4)
+    rank = np.ones(lines.CELLS, np.uint8)
+    rank[int(mix(np.array([word_hash("shared")], np.uint64))[0]) % lines.CELLS] = 0
+    for n in (13, 20, 40, 56, 96, 160, 200, 400):
+        texts = [" ".join(["shared", *(f"w{draw.randrange(10**9)}" for _ in range(n - 1))]) for _ in range(600)]
+        near = " ".join(["shared", *(f"v{i}" for i in range(n - 1))])
+        batch = pa.record_batch({"doc": list(range(602)), "text": [*texts, near, near + " more"]})
+        blocks = pa.Table.from_batches(lines._prefixes(iter([batch]), SimpleNamespace(value=rank), 0.8, 1, 1))
+        assert sum(links.num_rows for links in lines._forest(iter(blocks.to_batches()), 0.8)) == 1
