@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lineage import cut
-from .intervals import interval_join, numbered
+from .intervals import interval_join, numbered, running
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -57,13 +57,22 @@ def near_regions(hits: DataFrame, regions: DataFrame, low: int, high: int) -> Da
     return interval_join(spans, right, ["contig"], ("_s", "_e", "_rs", "_re"), how="left_semi").drop("_s", "_e")
 
 
-def locate(offsets: DataFrame, contigs: DataFrame, width: int = 1024) -> DataFrame:
-    """Contig and position of offsets into the concatenation of all contigs (contig_idx, length), in order of the index."""
-    total = Window.orderBy("contig_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row per contig
-    ends = contigs.withColumn("_end", F.sum("length").over(total)).withColumn("_start", F.col("_end") - F.col("length")).where("length > 0")
-    spans = ends.select("contig_idx", "_start", (F.col("_end") - 1).alias("_last"), F.lit(1).alias("_all"))
-    points = offsets.withColumn("_p", F.col("offset")).withColumn("_all", F.lit(1))
-    return interval_join(points, spans, ["_all"], ("offset", "_p", "_start", "_last"), width=max(width, 1 << 20)).withColumn("pos0", F.col("offset") - F.col("_start")).drop("_p", "_all", "_start", "_last")
+def locate(offsets: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Contig and position of offsets into the concatenation of all contigs (contig_idx, length), in order of the index.
+
+    A contig of 2^k to 2^(k + 1) - 1 bases is listed under the bins of 2^k bases that it
+    touches, three at most, and a bin of its k holds two such contigs at most.  So an
+    offset meets few contigs, however short or long they are; it looks in a bin of every
+    k that occurs.
+    """
+    ends = running(contigs.select("contig_idx", "length"), [], "contig_idx", {"_end": ("length", "sum")}).where("length > 0")
+    level = lambda c: F.length(F.bin(c)) - 1
+    spans = cut(ends.select("contig_idx", (F.col("_end") - F.col("length")).alias("_start"), F.col("_end"), level(F.col("length")).alias("_level")))
+    found = sorted(r["_level"] for r in spans.select("_level").distinct().collect())  # 63 at most
+    bins = F.explode(F.expr("sequence(shiftright(_start, _level), shiftright(_end - 1, _level))"))
+    points = offsets.withColumn("_level", F.explode(F.array(*map(F.lit, found)) if found else F.expr("CAST(array() AS array<int>)"))).withColumn("_bin", F.expr("shiftright(CAST(offset AS bigint), _level)"))
+    rows = points.join(spans.withColumn("_bin", bins), ["_level", "_bin"]).where((F.col("offset") >= F.col("_start")) & (F.col("offset") < F.col("_end")))
+    return rows.select(*offsets.columns, "contig_idx", (F.col("offset") - F.col("_start")).alias("pos0"))
 
 
 def junction_by_number(hits: DataFrame, junctions: DataFrame) -> DataFrame:

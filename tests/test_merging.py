@@ -37,3 +37,16 @@ def test_base_space_mapping(spark):
     reads = spark.createDataFrame([("f", seq[4:20]), ("r", simulate.reverse_complement(seq[10:26])), ("m", seq[4:11] + "A" + seq[12:20])], "read_id string, seq string")
     got = {(r.read_id, r.pos0, r.strand, r.mm) for r in merging.sequence_matches(reads, spark.createDataFrame([("c", seq)], "contig string, seq string"), 16, 1).collect()}
     assert got == {("f", 4, "+", 0), ("r", 10, "-", 0), ("m", 4, "+", int(seq[11] != "A"))}
+
+
+def test_offsets_in_many_short_contigs(spark):
+    """Contigs of 1 to 40 bases, an empty one and a very long one; every offset against every contig of a wide bin takes billions of pairs."""
+    sizes = {i: i * 7 % 40 + 1 for i in range(1, 60_001)} | {70_000: 0, 80_000: 10**9, 90_000: 3}
+    contigs = spark.createDataFrame(list(sizes.items()), "contig_idx bigint, length bigint")
+    want, at = {}, 0
+    for i, n in sizes.items():
+        want |= {at + k: (i, k) for k in ({0, n - 1} if n else ())}
+        at += n
+    offsets = spark.createDataFrame([(p,) for p in [*want, at, -1]], "offset bigint")
+    assert {r.offset: (r.contig_idx, r.pos0) for r in merging.locate(offsets, contigs).collect()} == want
+    assert merging.locate(offsets, contigs.where("false")).count() == 0
