@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.color import decode_colors, encode_colors, mismatches
 from ..lineage import cut
 
+#: Seeds up to this number of rows may be broadcast; a broadcast is built in the driver, in many times the size of its file.
+MOST_SENT = 1 << 17
+
 
 def blocks(length: int, most: int, adjacent: bool = False) -> list[tuple[int, int]]:
     """(start, end) of the seed blocks of a read of ``length`` colours."""
@@ -84,9 +87,9 @@ def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adja
     first colour, and length - 1 further colours.  The first base costs one
     mismatch if it differs.  ``adjacent``: a valid-adjacent pair counts once.
     The reference is windowed once per position.  The reads' seeds are written
-    first, so that their size is known: where they are small, Spark broadcasts them
-    and the reference isn't shuffled at all; else the join on (block, key) is its
-    only shuffle.
+    first, so that their number is known: where they are few, Spark may broadcast them
+    and the reference isn't shuffled at all; more than ``MOST_SENT`` never go through
+    the driver, and the join on (block, key) is the reference's only shuffle.
     """
     ref = windows(chunk_reference(contigs, chunk, length), chunk, length)
     first = F.substring(decode_colors(F.col("primer"), F.substring("colors", 1, 1)), 2, 1)
@@ -100,6 +103,7 @@ def map_reads(reads: DataFrame, contigs: DataFrame, length: int, most: int, adja
         return df.withColumn("_seed", F.explode(seeds)).select("*", "_seed.block", "_seed.key").drop("_seed")
 
     seeds = cut(keyed(both, "query").where(~F.col("key").contains(".")))
+    seeds = seeds if seeds.count() <= MOST_SENT else seeds.hint("merge")
     candidates = keyed(ref, "ref").join(seeds, ["block", "key"])
     apart = mismatches(F.col("query"), F.col("ref"))
     if adjacent:

@@ -107,7 +107,7 @@ def panel_groups(panels: DataFrame, n: int, column: str = "panel") -> DataFrame:
 def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: int, chunk: int = 1 << 8) -> DataFrame:
     """Base-space mapping: (read_id, contig, pos0, strand, mm) of reads (read_id, seq) with at most ``most`` differing bases."""
     from ..functions.color import mismatches, reverse_complement
-    from .mapping import blocks, chunk_reference
+    from .mapping import MOST_SENT, blocks, chunk_reference
 
     usable = F.least(F.lit(chunk), F.length("seq") - length + 1)
     ref = chunk_reference(contigs, chunk, length).where(usable >= 1).withColumn("_i", F.explode(F.sequence(F.lit(0), usable - 1)))
@@ -119,7 +119,9 @@ def sequence_matches(reads: DataFrame, contigs: DataFrame, length: int, most: in
         seeds = F.array(*[F.struct(F.lit(i).alias("block"), F.substring(F.col(column), a + 1, b - a).alias("key")) for i, (a, b) in enumerate(blocks(length, most))])
         return df.withColumn("_seed", F.explode(seeds)).select("*", "_seed.*").drop("_seed")
 
-    hits = keyed(ref, "ref").join(cut(keyed(both, "query")), ["block", "key"]).withColumn("mm", mismatches(F.col("query"), F.col("ref")))
+    seeds = cut(keyed(both, "query"))
+    seeds = seeds if seeds.count() <= MOST_SENT else seeds.hint("merge")
+    hits = keyed(ref, "ref").join(seeds, ["block", "key"]).withColumn("mm", mismatches(F.col("query"), F.col("ref")))
     return hits.where(F.col("mm") <= most).select("read_id", "contig", "pos0", "strand", "mm").dropDuplicates(["read_id", "contig", "pos0", "strand"])
 
 

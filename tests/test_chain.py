@@ -95,3 +95,16 @@ def test_layered_settings(tmp_path):
         layered({"x": "1"}, (), {"w": "1"})
     with pytest.raises(ValueError, match="x: "):
         layered({"x": "one"}, checks={"x": int})
+
+
+def test_many_seeds_stay_out_of_the_driver(spark, monkeypatch):
+    from strandweave.operators import mapping, merging
+
+    contigs = spark.createDataFrame([("c", "ACGTTGCAAGGCTTAACCGGATATTCGCGA")], "contig string, seq string")
+    reads = spark.createDataFrame([(1, "A", "13101310202")], "read_id int, primer string, colors string")
+    texts = spark.createDataFrame([(1, "TTGCAAGG")], "read_id int, seq string")
+    few = [sorted(mapping.map_reads(reads, contigs, 10, 1).collect()), sorted(merging.sequence_matches(texts, contigs, 8, 1).collect())]
+    monkeypatch.setattr(mapping, "MOST_SENT", 0)
+    for want, got in zip(few, [mapping.map_reads(reads, contigs, 10, 1), merging.sequence_matches(texts, contigs, 8, 1)], strict=True):
+        assert sorted(got.collect()) == want and want
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
