@@ -7,10 +7,16 @@ blocks of places.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..lineage import cut
 from .intervals import running
@@ -102,35 +108,97 @@ def consensus(length: int, placed: list[tuple[int, str]], first: str | None = No
     return "".join(BASES[s] if k else "N" for s, k in zip(out[::-1], known, strict=True)) if length else ""
 
 
+def _blocks(rows: DataFrame, chunk: int) -> DataFrame:
+    """(contig, chunk_start, pos, colors): the part of each read in every chunk of places that it touches."""
+    spans = rows.where(F.length("colors") > 0).select("contig", F.col("pos").cast("bigint").alias("pos"), "colors", F.length("colors").alias("_n"))
+    first, last = F.floor(F.col("pos") / chunk), F.floor((F.col("pos") + F.col("_n") - 1) / chunk)
+    cut_ = spans.withColumn("chunk_start", F.explode(F.transform(F.sequence(first, last), lambda i: i * chunk))).where("chunk_start >= 0")
+    skip = F.greatest(F.col("chunk_start") - F.col("pos"), F.lit(0)).cast("int")
+    whole = (F.col("pos") >= F.col("chunk_start")) & (F.col("pos") + F.col("_n") <= F.col("chunk_start") + chunk)
+    at = F.col("pos") + skip
+    part = F.when(whole, F.col("colors")).otherwise(F.substring(F.col("colors"), skip + 1, (F.col("chunk_start") + chunk - at).cast("int")))
+    return cut_.select("contig", "chunk_start", (at - F.col("chunk_start")).cast("int").alias("at"), part.alias("colors"))
+
+
+def _voted(batches, schema: pa.Schema):
+    """Each chunk's most frequent colours (``.`` where no read votes) and their exclusive or, from its reads in order of (contig, chunk_start)."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        table = pa.Table.from_batches([*(rest.to_batches() if rest is not None else []), *([batch] if batch is not None else [])]) if rest is not None or batch is not None else None
+        if table is None or not table.num_rows:
+            continue
+        new = pc.or_(pc.not_equal(table["contig"][1:], table["contig"][:-1]), pc.not_equal(table["chunk_start"][1:], table["chunk_start"][:-1])).to_numpy()
+        start = np.r_[0, np.flatnonzero(new) + 1]
+        if batch is not None:  # the last chunk may go on
+            rest = table.slice(start[-1])
+            table, start = table.slice(0, start[-1]), start[:-1]
+            if not table.num_rows:
+                continue
+        text = table["colors"].combine_chunks().cast(pa.large_binary())
+        offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+        data = np.frombuffer(text.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        size, at = np.diff(offsets), table["at"].to_numpy().astype(np.int64)
+        group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(at)]))
+        width = np.maximum.reduceat(at + size, start)
+        ends = np.r_[0, np.cumsum(width)]
+        place = np.arange(len(data)) + np.repeat(ends[group] + at - (offsets[:-1] - offsets[0]), size)
+        code = data.astype(np.int64) - 48
+        ok = (code >= 0) & (code < 4)
+        votes = np.bincount(place[ok] * 4 + code[ok], minlength=4 * ends[-1]).reshape(-1, 4)
+        best = votes.argmax(axis=1).astype(np.uint8)  # ties: the lowest
+        colors = np.where(votes.any(axis=1), best + 48, 46).astype(np.uint8)
+        held = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(colors))
+        rows = table.select(["contig", "chunk_start"]).take(pa.array(start))
+        total = np.bitwise_xor.reduceat(best, ends[:-1]).astype(np.int32)  # uncovered places count as colour 0
+        last = (width > 0) & (colors[ends[1:] - 1] != 46)
+        columns = [rows["contig"].combine_chunks(), rows["chunk_start"].combine_chunks(), held, pa.array(width, pa.int32()), pa.array(total), pa.array(last)]
+        yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _decoded(colors: pd.Series, code: pd.Series, known: pd.Series, wide: pd.Series) -> pd.Series:
+    """Bases of chunks from their colours, the code of their first base, whether the place in front of it is covered, and their length."""
+    letters, out = np.frombuffer(BASES.encode(), np.uint8), []
+    for text, c, k, n in zip(colors, code, known, wide, strict=True):
+        raw = np.full(n, 46, np.uint8)
+        given = np.frombuffer((text or "").encode(), np.uint8)[:n]
+        raw[: len(given)] = given
+        covered = raw != 46
+        bases = np.full(n, c, np.uint8)
+        bases[1:] ^= np.bitwise_xor.accumulate(np.where(covered, raw - 48, 0).astype(np.uint8))[:-1]
+        seen = covered | np.r_[k, covered[:-1]]
+        out.append(np.where(seen, letters[bases], 78).astype(np.uint8).tobytes().decode())
+    return pd.Series(out, dtype=object)
+
+
 def consensus_contigs(rows: DataFrame, chunk: int = 1 << 12) -> DataFrame:
     """(contig, chunk_start, seq), ``consensus`` of placed reads (contig, length, pos, colors) in chunks; minus-strand colours must be reversed already.
 
     Each pair of bases has one colour, so the cheapest path takes each column's most
     frequent colour on its own (ties: the lowest), and a base is the exclusive or of all
-    colours in front: two parities, which run over blocks of places.  No task holds a
-    contig.  Paths start from ``first`` if the rows have such a column, from A otherwise
-    (all four starts cost the same), and go on over uncovered columns as over colour 0.
-    Bases beside no covered column are N.
+    colours in front.  Reads are dealt to chunks of places, where their votes are counted;
+    chunks carry their exclusive or on, a short row each.  No task holds a contig.  Paths
+    start from ``first`` if the rows have such a column, from A otherwise (all four
+    starts cost the same), and go on over uncovered columns as over colour 0.  Bases
+    beside no covered column are N.
     """
     start = F.min("first") if "first" in rows.columns else F.lit("A")
-    contigs = cut(rows.groupBy("contig").agg(F.max("length").alias("length"), F.coalesce(start, F.lit("A")).alias("first")).where("length > 0"))
-    color = F.substring("colors", F.col("i") + 1, F.lit(1))
-    spots = rows.where(F.length("colors") > 0).select("contig", "pos", "colors", F.explode(F.sequence(F.lit(0), F.length("colors") - 1)).alias("i")).select("contig", (F.col("pos") + F.col("i")).alias("place"), color.alias("color"))
-    votes = spots.where(F.col("color").isin(*"0123")).groupBy("contig", "place").agg(*[F.count_if(F.col("color") == c).alias(f"n{c}") for c in "0123"])
-    most = F.greatest("n0", "n1", "n2", "n3")
-    best = votes.select("contig", "place", F.when(F.col("n0") == most, 0).when(F.col("n1") == most, 1).when(F.col("n2") == most, 2).otherwise(3).alias("c"))
-    best = best.join(contigs, "contig").where((F.col("place") >= 0) & (F.col("place") < F.col("length") - 1))
-    bits = best.withColumns({"_lo": F.col("c").bitwiseAND(1), "_hi": F.shiftright("c", 1)})
-    sums = running(bits, ["contig"], "place", {"_a": ("_lo", "sum"), "_b": ("_hi", "sum")})
-    behind = ((F.col("_a") % 2) + 2 * (F.col("_b") % 2)).cast("int").bitwiseXOR(F.instr(F.lit(BASES), F.col("first")) - 1)
-    ends = F.array(F.struct(F.col("place").alias("at"), behind.bitwiseXOR(F.col("c")).alias("code")), F.struct((F.col("place") + 1).alias("at"), behind.alias("code")))
-    known = sums.select("contig", F.explode(ends).alias("x")).select("contig", "x.*").withColumn("chunk_start", F.floor(F.col("at") / chunk) * chunk)
-    known = known.groupBy("contig", "chunk_start").agg(F.array_sort(F.collect_set(F.struct("at", "code"))).alias("x"))
-    every = contigs.select("contig", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length").cast("bigint") - 1, F.lit(chunk).cast("bigint"))).alias("chunk_start"))
-    held = every.join(known, ["contig", "chunk_start"], "left").withColumn("x", F.coalesce("x", F.expr("CAST(array() AS array<struct<at:bigint,code:int>>)")))
-    letter = F.transform("x", lambda e, i: F.concat(F.repeat(F.lit("N"), (e["at"] - F.when(i > 0, F.get("x", i - 1)["at"] + 1).otherwise(F.col("chunk_start"))).cast("int")), F.substring(F.lit(BASES), e["code"] + 1, F.lit(1))))
+    contigs = rows.groupBy("contig").agg(F.max("length").cast("bigint").alias("length"), F.coalesce(start, F.lit("A")).alias("first")).where("length > 0")
+    kind = rows.schema["contig"].dataType.simpleString()
+    schema = f"contig {kind}, chunk_start bigint, colors string, n int, total int, covered boolean"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    dealt = _blocks(rows, chunk).repartition("contig", "chunk_start").sortWithinPartitions("contig", "chunk_start")
+    voted = cut(dealt.mapInArrow(lambda x: _voted(x, arrow), schema))
+    every = contigs.select("contig", "length", "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(chunk).cast("bigint"))).alias("chunk_start"))
+    short = every.join(voted.drop("colors"), ["contig", "chunk_start"], "left")
+    by = Window.partitionBy("contig").orderBy("chunk_start")  # a short row for each chunk
+    before, front = by.rowsBetween(Window.unboundedPreceding, -1), F.lag(F.when(F.col("n") == chunk, F.col("covered"))).over(by)
+    code = F.coalesce(F.bit_xor("total").over(before), F.lit(0)).bitwiseXOR(F.instr(F.lit(BASES), F.col("first")) - 1)
     wide = F.least(F.col("length") - F.col("chunk_start"), F.lit(chunk)).cast("int")
-    return held.select("contig", "chunk_start", F.rpad(F.array_join(letter, ""), wide, F.lit("N")).alias("seq"))
+    short = short.select("contig", "chunk_start", "length", code.alias("code"), F.coalesce(front, F.lit(False)).alias("known"), wide.alias("wide"))
+    held = short.join(voted.select("contig", "chunk_start", "colors"), ["contig", "chunk_start"], "left")
+    # the last place that counts is the one in front of the last base
+    colors = F.left("colors", (F.col("length") - 1 - F.col("chunk_start")).cast("int"))
+    return held.select("contig", "chunk_start", F.pandas_udf(_decoded, "string")(colors, "code", "known", "wide").alias("seq"))
 
 
 def apply_edits(seq: str, edits: list[tuple[int, str, str]]) -> str:

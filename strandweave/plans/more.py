@@ -758,8 +758,10 @@ def rescued_indels(spark, sf_dir):
 SELECT contig, chunk_start, sha256(CASE WHEN length(seq) = 1 THEN 'N' ELSE substr(seq, chunk_start + 1, 4096) END) AS seq_sha256 FROM c""")
 def consensus_sequences(spark, sf_dir):
     """Every document from colour reads over the whole of it, a third of which have a wrong colour that others outvote."""
-    rows = _doc_contigs(spark, sf_dir).where("seq <> ''").select("contig", F.length("seq").alias("length"), F.left("seq", F.lit(1)).alias("first"), F.posexplode(mapping.pieces(F.col("seq"), 48, 97)).alias("no", "part"))
-    rows = rows.select("contig", "length", "first", "no", (F.col("no").cast(L) * 48).alias("pos"), color.encode_colors(F.col("part")).alias("colors"))
+    texts = _doc_contigs(spark, sf_dir).where("seq <> ''").select("contig", F.length("seq").alias("length"), F.left("seq", F.lit(1)).alias("first"), color.encode_colors(F.col("seq")).alias("all"))
+    # colours are encoded once a document; a read of 145 letters has 144
+    rows = texts.select("contig", "length", "first", F.posexplode_outer(mapping.pieces(F.col("all"), 48, 96)).alias("no", "part"))
+    rows = rows.select("contig", "length", "first", "no", F.coalesce(F.col("no").cast(L) * 48, F.lit(0).cast(L)).alias("pos"), F.coalesce("part", F.lit("")).alias("colors"))
     # the 49th colour is wrong where the two reads in front and the one behind hold it, too
     spoilt = F.concat(F.left("colors", F.lit(48)), F.translate(F.substring("colors", 49, 1), "0123", "1230"), F.substring("colors", 50, 1 << 20))
     rows = rows.withColumn("colors", F.when((F.col("no") % 3 == 2) & (F.length("colors") > 49), spoilt).otherwise(F.col("colors")))

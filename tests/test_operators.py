@@ -365,3 +365,19 @@ def test_composed_seed_sets():
         seeds.composed(known, 11, 5)
     best = seeds.best_sets(seeds.block_masks(8, 1, 4) + ["11110000", "00001111"], 8, 1, 3, 4)
     assert len(best) == 3 and all(seeds.complete(b, 8, 1) for b in best) and seeds.chance(best[0]) <= seeds.chance(best[1]) <= seeds.chance(best[2])
+
+
+def test_consensus_deals_reads_not_letters(spark):
+    """Reads go to the chunks that they touch as they are; gaps, dots and chunk borders as in the plain form."""
+    draw = random.Random(12)
+    reads = [(p, "".join(draw.choice("0123.") for _ in range(90))) for p in [*range(0, 400, 30), 640, 700]]
+    df = spark.createDataFrame([("c", 800, p, c) for p, c in reads] + [("d", 1, 0, "")], "contig string, length int, pos bigint, colors string")
+    assert assembly._blocks(df, 64).count() <= 3 * len(reads)
+    got = {(r.contig, r.chunk_start): r.seq for r in assembly.consensus_contigs(df, 64).collect()}
+    text = "".join(got["c", at] for at in range(0, 800, 64))
+    votes = [[sum(p <= i < p + 90 and c[i - p] == x for p, c in reads) for x in "0123"] for i in range(799)]
+    code, plain = 0, []
+    for i in range(800):
+        plain.append("ACGT"[code] if (i < 799 and any(votes[i])) or (i and any(votes[i - 1])) else "N")
+        code ^= votes[i].index(max(votes[i])) if i < 799 else 0
+    assert text == "".join(plain) and got["d", 0] == "N"
