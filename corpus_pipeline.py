@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandweave.llm import bpe, decontaminate, lines, neardup, quality
-from strandweave.llm.common import materialise, read
+from strandweave.llm.common import drop_tables, materialise, read, tables_made
 from strandweave.llm.queries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -53,10 +53,14 @@ STAGES = [("quality", quality_stage), ("line dedup", line_stage), ("near-dedup",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each is written as Parquet and reread as the next one's input."""
-    docs = read(spark, sf_dir, "documents")
+    """Applies the stages to ``documents``; each is written as Parquet and reread as the next one's input, after which its own input and tables go."""
+    docs, past = read(spark, sf_dir, "documents"), []
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        with tables_made() as made:
+            docs = stage(spark, docs, sf_dir)
+            if i < len(STAGES) - 1:
+                docs = materialise(docs, f"stage-{i}")
         if i < len(STAGES) - 1:
-            docs = materialise(docs, f"stage-{i}")
+            drop_tables(spark, past + made, but=[docs])
+            past = made
     return docs

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from ..lineage import shared_folder
 from .scan import slices
 
 LOWEST = -(1 << 63)  # the key of a null id
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,13 +27,48 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """The folders that ``shared_path`` names within the block, also in the list of a block around it."""
+    outer, made = _MADE.get(), []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        if outer is not None:
+            outer.extend(made)
+
+
+def drop_tables(spark: SparkSession, paths: Sequence[str], but: Sequence[DataFrame | None] = ()) -> None:
+    """Deletes the folders of tables that nothing reads any more; those that the plans ``but`` read stay."""
+    kept = [f for df in but if df is not None for f in df.inputFiles()]
+    for path in paths:
+        if any(path.rpartition("/")[2] in f for f in kept):
+            continue
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there, and lost executors cost nothing."""
+    """Writes ``df`` to the shared folder and reads it back: lineage ends there, and lost executors cost nothing.
+
+    The shuffle files of the write go with its end; else they would stay until the
+    driver happens to collect its garbage, and those of all steps add up.
+    """
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWEST, fresh, materialise, numbered, renamed_ids
+from .common import LOWEST, drop_tables, fresh, materialise, numbered, renamed_ids, tables_made
 from .decontaminate import expand
 from .groups import components, unite, whole_groups
 from .scan import mix, release, slices, words
@@ -527,8 +527,12 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
 
     ``joined`` is the result of ``join_lines`` over the same documents, where it is at hand.
     """
-    joined = joined or join_lines(df, doc_id, text, threshold, least)
-    lost = materialise(removals(joined), "line-removals")
+    with tables_made() as made:
+        own = joined is None
+        joined = joined or join_lines(df, doc_id, text, threshold, least)
+        lost = materialise(removals(joined), "line-removals")
+    if own:  # nothing else reads the join's tables
+        drop_tables(df.sparkSession, made, but=[lost, joined.ids])
     held = df.sparkSession.sparkContext.broadcast(bloom(lost.select("doc"), lost.count()))  # 16 MB at most
 
     @F.pandas_udf("boolean")

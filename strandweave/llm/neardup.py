@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from .common import LOWEST, fresh, materialise, numbered, renamed_ids, with_arrow
+from .common import LOWEST, drop_tables, fresh, materialise, numbered, renamed_ids, tables_made, with_arrow
 from .decontaminate import expand, grams
 from .groups import components, whole_groups
 from .scan import mix, release, slices, words
@@ -296,11 +296,13 @@ def _class_of(batch: pa.RecordBatch, column: str) -> list:
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each group the document with the lowest id stays, once."""
-    docs, ids, key = _docs(df, doc_id, text)
-    lost = _grouped(docs, threshold).where("n_class > 1")
     near, doc, gone, times, cls, place = fresh(df, "near_", "doc_", "gone_", "times_", "class_", "place_")
-    copies = lost.groupBy("cls", "doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("times"))
-    copies = materialise(copies.select(F.col("cls").alias(near), F.col("doc_id").alias(doc), (F.col("doc_id") != F.col("class_id")).alias(gone), F.col("times").alias(times)), "near-copies")
+    with tables_made() as made:
+        docs, ids, key = _docs(df, doc_id, text)
+        lost = _grouped(docs, threshold).where("n_class > 1")
+        copies = lost.groupBy("cls", "doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("times"))
+        copies = materialise(copies.select(F.col("cls").alias(near), F.col("doc_id").alias(doc), (F.col("doc_id") != F.col("class_id")).alias(gone), F.col("times").alias(times)), "near-copies")
+    drop_tables(df.sparkSession, made, but=[copies, ids])
     named = with_arrow(df, [StructField(cls, LongType())], partial(_class_of, column=text), text)
     own = named.join(ids, doc_id, "left").withColumn(key, F.coalesce(key, F.lit(LOWEST))) if ids is not None else named.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST)))
     kept = own.join(copies, (F.col(cls) == F.col(near)) & (F.col(key) == F.col(doc)), "left").where(F.col(gone).isNull() | ~F.col(gone))

@@ -1,5 +1,7 @@
 """The pipeline against plain Python versions of its stages."""
 
+import os
+import time
 from functools import partial
 
 import numpy as np
@@ -7,7 +9,9 @@ import public_tokenizers
 import pyarrow as pa
 
 import corpus_pipeline
+from strandweave.lineage import shared_folder
 from strandweave.llm import bpe, decontaminate, quality
+from strandweave.llm.common import materialise
 from strandweave.llm.queries import tokenizer_file
 
 from . import test_lines, test_neardup
@@ -54,3 +58,32 @@ def test_stages_take_short_lines(spark, monkeypatch):
     got = {r.doc_id: (r.text, np.frombuffer(r.ids, "<u4").tolist()) for r in corpus_pipeline.run(spark, SF).collect()}
     want = expected(spark)
     assert got == want and 0 < len(want) < spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_"))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before, cleanup = shuffle_bytes(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    out = materialise(spark.range(400_000).repartition(4, "id"), "shuffled")
+    until = time.time() + 10
+    while shuffle_bytes(spark) > before and time.time() < until:
+        time.sleep(0.1)
+    assert shuffle_bytes(spark) <= before and out.count() == 400_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == cleanup
+
+
+def test_stages_leave_only_the_tables_they_read(spark):
+    """Disk must not add up over the steps of a stage, nor over the stages."""
+    folder, docs = shared_folder(spark).removeprefix("file:"), spark.read.parquet(f"{SF}/documents.parquet")
+    for stage, kind in ((corpus_pipeline.line_stage, "line-removals"), (corpus_pipeline.near_stage, "near-copies")):
+        before = set(os.listdir(folder))
+        out = stage(spark, docs, SF)
+        assert [name.rpartition("-")[0] for name in set(os.listdir(folder)) - before] == [kind]
+        assert out.count() > 0
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, SF)
+    assert [name.rpartition("-")[0] for name in set(os.listdir(folder)) - before] == ["stage-3"]
+    assert out.count() > 0
