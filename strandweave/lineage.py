@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder is set where that is unset, in local mode only: on a cluster, other machines wouldn't see it."""
@@ -29,8 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
     Operators that read an input several times call it first: otherwise each
-    reading would plan, and run, all that stands before it once more.
+    reading would plan, and run, all that stands before it once more.  The shuffle
+    files of the write go with its end, not when the driver collects its garbage.
     """
-    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)

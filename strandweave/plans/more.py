@@ -287,8 +287,8 @@ def indel_records(spark, sf_dir):
     return pairs.parse_indels(views.table(spark, sf_dir, "lineitem").select(line.alias("value")))
 
 
-def _doc_junctions(spark, sf_dir):
-    s = views.sequences(spark, sf_dir).where("length(seq) >= 100")
+def _doc_junctions(spark, sf_dir, seqs=None):
+    s = (seqs or views.sequences(spark, sf_dir)).where("length(seq) >= 100")
     n = F.length("seq").cast(L)
     return s.select((F.col("doc_id") + 1).cast("int").alias("junction_no"), F.col("doc_id").cast("string").alias("contig"), F.when(F.col("doc_id") % 2 == 1, "-").otherwise("+").alias("strand"), F.lit(11).cast(L).alias("left_start1"), F.lit(40).cast(L).alias("left_end1"), (n - 60).alias("right_start1"), (n - 31).alias("right_end1"))
 
@@ -452,8 +452,9 @@ _JSEQ = f"{_JUNC}, tile AS (SELECT CAST(junction_no AS VARCHAR) AS read_id, subs
 SELECT read_id, CAST(contig AS INTEGER) AS junction_no, pos0 AS start0, strand, mm, CAST(26 - 2 * mm AS BIGINT) AS score FROM hits""")
 def junction_hits(spark, sf_dir):
     """Reads from the middle of each document's junction, mapped onto all junctions."""
-    chunks = mapping.chunk_reference(_doc_contigs(spark, sf_dir), 256, 64)
-    seqs = cut(junctions.sequences(_doc_junctions(spark, sf_dir), chunks, 256).select("junction_no", "seq"))
+    docs = cut(views.sequences(spark, sf_dir))  # else the texts are cleaned for each of the three readings
+    chunks = mapping.chunk_reference(docs.select(F.col("doc_id").cast("string").alias("contig"), "seq"), 256, 64)
+    seqs = cut(junctions.sequences(_doc_junctions(spark, sf_dir, docs), chunks, 256).select("junction_no", "seq"))
     read = F.substring("seq", 18, 27)
     reads = seqs.select(F.col("junction_no").cast("string").alias("read_id"), F.left(read, F.lit(1)).alias("primer"), color.encode_colors(read).alias("colors"))
     return chain.map_to_junctions(reads, seqs, 26, 2).drop("aln_len")

@@ -108,3 +108,57 @@ def test_many_seeds_stay_out_of_the_driver(spark, monkeypatch):
     for want, got in zip(few, [mapping.map_reads(reads, contigs, 10, 1), merging.sequence_matches(texts, contigs, 8, 1)], strict=True):
         assert sorted(got.collect()) == want and want
         assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seed_masks_are_complete():
+    from itertools import combinations
+
+    for n, most in ((12, 2), (40, 1), (33, 3), (5, 0), (3, 2), (2, 1)):
+        masks = mapping.seed_masks(n, most)
+        wide = [min(31, n - a) for a in range(0, n, 31)]
+        for wrong in combinations(range(n), most):
+            hit = [sum(3 << 2 * (w - 1 - i % 31) for i in wrong if i // 31 == k) for k, w in enumerate(wide)]
+            assert any(all(a & b == 0 for a, b in zip(hit, mask, strict=True)) for mask in masks), (n, most, wrong)
+
+
+@pytest.mark.parametrize(("length", "most", "adjacent"), [(26, 2, False), (26, 2, True), (40, 3, False), (10, 1, True)])
+def test_many_reads_map_as_few(spark, monkeypatch, length, most, adjacent):
+    rng = np.random.default_rng(length)
+    base = ["".join(rng.choice(list("ACGT"), 120)) for _ in range(3)]
+    contigs = [*((f"c{i}", x) for i, x in enumerate(base)), ("copy", base[0]), ("part", base[0][7:]), ("n", base[1][:50] + "N" + base[1][51:]), ("barrier", base[2][:60] + "." + base[2][61:]), ("short", "ACG"), ("none", None)]
+    reads = []
+    for k in range(40):
+        x, at = base[k % 3], int(rng.integers(0, 118 - length))
+        c = ["ACGT".index(a) ^ "ACGT".index(b) for a, b in zip(x[at:], x[at + 1 : at + length + 1])]
+        c = [str(v) for v in (c[::-1] if k % 4 == 0 else c)]
+        for i in rng.integers(1, length, int(rng.integers(0, most + 2))):
+            c[i] = "0123.5"[int(rng.integers(0, 6))]
+        reads.append((f"r{k}", "ACGTN"[k % 5] if k % 4 == 0 else x[at], "".join(c)))
+    reads += [("same", *reads[1][1:]), ("same", *reads[1][1:]), ("short", "A", "0")]
+    reads = spark.createDataFrame(reads, "read_id string, primer string, colors string")
+    got = []
+    for rows, limit in ((contigs, 1 << 17), (contigs, 0), ([*contigs, contigs[0]], 1 << 17), ([*contigs, contigs[0]], 0)):
+        monkeypatch.setattr(mapping, "MOST_SENT", limit)
+        got.append(sorted(mapping.map_reads(reads, spark.createDataFrame(rows, "contig string, seq string"), length, most, adjacent).collect()))
+    assert got[0] and got[0] == got[1] == got[2] == got[3]
+    assert {r.strand for r in got[0]} == {"+", "-"} and {r.mm for r in got[0]} >= {0, 1}
+
+
+def test_copies_do_not_multiply_candidates(spark, monkeypatch):
+    def joined(plan):
+        name = plan.nodeName()
+        inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if "QueryStage" in name else [plan.children().apply(i) for i in range(plan.children().size())]
+        own = plan.metrics().apply("numOutputRows").value() if name == "SortMergeJoin" else 0
+        return own + sum(map(joined, inner))
+
+    text = "ACGTTGCAAGGCTTAACCGGATATTCGCGATTAC"
+    colors = "".join(str("ACGT".index(a) ^ "ACGT".index(b)) for a, b in zip(text, text[1:]))[:27]
+    reads = spark.createDataFrame([(i, "A", colors) for i in range(120)], "read_id int, primer string, colors string")
+    contigs = spark.createDataFrame([(f"c{i}", text) for i in range(120)], "contig string, seq string")
+    written, cut = [], mapping.cut
+    monkeypatch.setattr(mapping, "cut", lambda df: written.append(cut(df)) or written[-1])
+    monkeypatch.setattr(mapping, "MOST_SENT", 0)
+    monkeypatch.setattr(mapping, "LISTS", 4, raising=False)
+    got = mapping.map_reads(reads, contigs, 26, 2)
+    assert len({(r.read_id, r.contig) for r in got.collect()}) == 120 * 120
+    assert max([joined(got._jdf.queryExecution().executedPlan()), *(t.count() for t in written)]) < 120 * 120
